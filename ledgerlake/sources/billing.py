@@ -102,9 +102,9 @@ def split_malformed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def scan_billing_parquet(spark: SparkSession, path: str) -> DataFrame:
+def scan_billing_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Parquet billing export -> raw rows; the account id is read as text."""
-    df = spark.read.parquet(path)
+    df = spark.read.parquet(*([path] if isinstance(path, str) else path))
     check_required_columns(df.columns)
     acct = "lineItem/UsageAccountId"
     return df.withColumn(acct, F.col(f"`{acct}`").cast("string")).withColumn(
