@@ -12,7 +12,8 @@ def scan_checkpoint(spark: SparkSession, prefix: str) -> DataFrame | None:
     """The newest checkpoint under ``prefix`` (names sort by their timestamp), or
     None when there is none (the caller then runs a full extract)."""
     try:
-        df = spark.read.schema(CHECKPOINT).json(prefix).withColumn("_file", F.input_file_name())
+        df = (spark.read.schema(CHECKPOINT).option("recursiveFileLookup", "true").json(prefix)
+              .withColumn("_file", F.input_file_name()))
         newest = df.orderBy(F.col("_file").desc()).limit(1).drop("_file")
         return newest if newest.limit(1).count() else None
     except Exception:  # missing path: no checkpoint yet

@@ -11,35 +11,30 @@ WORK_TYPES = ("salesforce_batch", "cur_batch")
 
 
 def scan_batch_envelopes(messages: DataFrame, column: str = "value") -> DataFrame:
-    """Message bodies -> one row per record.
+    """Message bodies -> one row per record, in one parse and one explode.
 
     Columns: envelope type / batch fields, ``record_index``, ``record``
     (``map<string,string>`` of the raw JSON record) and ``reject_reason`` for
     message-level failures: an unparsable body (``unparsable_message``) or an
-    unknown type (``unknown_message_type``) yields one quarantine row instead
-    of being dropped. An envelope with an empty ``records`` list yields nothing.
+    unknown type (``unknown_message_type``) yields one quarantine row holding
+    the body instead of being dropped. An envelope with no records yields nothing.
     """
-    parsed = messages.select(F.from_json(F.col(column), ENVELOPE).alias("m"),
-                             F.col(column).alias("body"))
-    routed = parsed.select(
-        "body",
+    body = F.col(column)
+    m = F.from_json(body, ENVELOPE)
+    reason = (F.when(F.json_object_keys(body).isNull(), F.lit("unparsable_message"))
+              .when(~F.coalesce(m["type"].isin(*WORK_TYPES), F.lit(False)), F.lit("unknown_message_type")))
+    parsed = messages.select(m.alias("m"), reason.alias("reject_reason"), body.alias("_body"))
+    items = F.when(F.col("reject_reason").isNull(), F.col("m.records")).otherwise(
+        F.array(F.create_map(F.lit("body"), F.col("_body"))))
+    exploded = parsed.select(
         F.col("m.type").alias("message_type"),
         F.col("m.timestamp").alias("message_timestamp"),
         F.col("m.batch_number").alias("batch_number"),
         F.col("m.total_batches").alias("total_batches"),
-        F.col("m.records").alias("records"),
-        F.when(F.json_object_keys(F.col("body")).isNull(), F.lit("unparsable_message"))
-         .when(~F.col("m.type").isin(*WORK_TYPES) | F.col("m.type").isNull(),
-               F.lit("unknown_message_type")).alias("reject_reason"),
-    )
-    good = routed.filter(F.col("reject_reason").isNull()).select(
-        "message_type", "message_timestamp", "batch_number", "total_batches",
-        F.posexplode("records").alias("record_index", "record"), "reject_reason")
-    bad = routed.filter(F.col("reject_reason").isNotNull()).select(
-        "message_type", "message_timestamp", "batch_number", "total_batches",
-        F.lit(None).cast("int").alias("record_index"),
-        F.create_map(F.lit("body"), F.col("body")).alias("record"), "reject_reason")
-    return good.unionByName(bad)
+        F.posexplode(items).alias("record_index", "record"),
+        "reject_reason")
+    return exploded.withColumn("record_index",
+                               F.when(F.col("reject_reason").isNull(), F.col("record_index")))
 
 
 def record_field(name: str, dtype: str = "string"):
