@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.ordering import SHARD, with_range_shards
+from ledgerlake.operators.ordering import SHARD, sharded
 
 DELIVERED, RATE_LIMITED, RETRYABLE, NON_RETRYABLE = "delivered", "rate_limited", "retryable", "non_retryable"
 
@@ -88,8 +88,8 @@ def failure_run_trips(log: DataFrame, sink_col: str = "sink_id", ts_col: str = "
     """Rows where a sink's breaker trips: the ``threshold``-th failure since the last
     success (or since the start). Rate-limited answers neither count nor reset.
 
-    Skew-safe form of a per-sink running count: the log is cut into balanced,
-    contiguous key ranges of (sink, ts, id) (range shards); running counts are taken inside
+    Skew-safe form of a per-sink running count: the log is range-partitioned on
+    (sink, ts, id) into balanced, contiguous shards; running counts are taken inside
     (shard, sink) groups, whose size is bounded by a shard; the failures a
     sink carries into a shard from earlier shards come from a per-(shard, sink)
     summary. Only the first sink of a shard can carry anything in, so the
@@ -98,7 +98,7 @@ def failure_run_trips(log: DataFrame, sink_col: str = "sink_id", ts_col: str = "
     cls = classify_delivery(F.col(status_col))
     ev = log.filter(cls != RATE_LIMITED).withColumns({
         "_succ": (cls == DELIVERED).cast("int"), "_fail": (cls != DELIVERED).cast("int")})
-    sh = with_range_shards(ev, [sink_col, ts_col, id_col], shards)
+    sh = sharded(ev, [sink_col, ts_col, id_col], shards)
 
     w = Window.partitionBy(SHARD, sink_col).orderBy(ts_col, id_col)
     run = Window.partitionBy(SHARD, sink_col, "_seg").orderBy(ts_col, id_col)

@@ -1,87 +1,128 @@
 """Global numbering, batching and family unions without a single-partition step.
 
 A global ``row_number()`` over an un-partitioned window moves every row into
-one task. Here rows get a *range shard*: a small, bounded sample of the order
-key (at most ``SAMPLES_PER_SHARD`` keys per shard) fixes shard boundaries once
-on the driver, and each row's shard is a pure function of its key (a binary
-search compiled into nested comparisons). Rows are numbered inside their
+one task. Here every row gets a *range shard*, a contiguous slice of the key
+order: a seeded sample of the keys (bounded by the shard count) is sorted in
+one task, every k-th sample key becomes a shard boundary, and each row finds
+its shard by binary lifting over the boundary array: ``log2(shards)`` cheap
+projections, independent of the data size. Rows are numbered inside their
 shard and shifted by the prefix sum of the shard sizes, a table with one row
-per shard that is broadcast back; its size is the shard count, a parameter.
-
-Because the shard is a function of the row, every branch of a plan, and every
-re-run of a lost task, assigns the same shard. (``repartitionByRange`` +
-``spark_partition_id()`` does not give that guarantee: the range bounds are
-re-sampled for each exchange that is not reused.)
+per shard that is broadcast back (its size is the shard count, a parameter,
+so the bound is proven).
+
+The shard is a pure function of the row, so every consumer of the sharded
+rows, and every re-run of a lost task, sees the same assignment. (Reading
+``spark_partition_id()`` behind ``repartitionByRange`` is not safe here: the
+range bounds are re-sampled each time the exchange runs, and column pruning
+can give two consumers different exchanges.)
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SHARD = "_shard"
 POS = "_pos"
 SAMPLES_PER_SHARD = 20
+MAX_SAMPLE = 400_000            # keys sent to the driver to pick boundaries
+MAX_SHARDS = MAX_SAMPLE // SAMPLES_PER_SHARD
+MAX_LITERAL_SHARDS = 1024       # beyond this, shards are materialized (see ``sharded``)
+TARGET_ROWS_PER_SHARD = 1_000_000
 SAMPLE_SEED = 17
 
 
-def _shard_count(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
+def range_bounds(df: DataFrame, order: Sequence[str], shards: int | None = None) -> list[str]:
+    """Boundary keys (as Spark JSON objects) splitting ``order`` into about
+    ``shards`` equal ranges.
 
-def range_bounds(df: DataFrame, order: Sequence[str], shards: int) -> list[tuple]:
-    """At most ``shards - 1`` boundary keys from a seeded sample of the key columns."""
+    Without ``shards`` the count follows the data: at least 4 per shuffle
+    partition, at most ``TARGET_ROWS_PER_SHARD`` rows each, capped at
+    ``MAX_SHARDS``. At most ``MAX_SAMPLE`` sample keys reach the driver.
+    """
     keys = df.select(*order)
     total = keys.count()
+    if shards is None:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        shards = max(4 * parts, math.ceil(total / TARGET_ROWS_PER_SHARD))
+    shards = min(shards, MAX_SHARDS)
     if total == 0 or shards <= 1:
         return []
     frac = min(1.0, 1.5 * shards * SAMPLES_PER_SHARD / total)
     # The sample is bounded by the shard count: sort it in one task, no range exchange.
-    sample = keys.sample(False, frac, SAMPLE_SEED).coalesce(1).sortWithinPartitions(*order).collect()
-    if not sample:
-        return []
-    bounds, last = [], None
+    # Keys travel as Spark's own JSON so every type round-trips exactly.
+    sample = [r[0] for r in keys.sample(False, frac, SAMPLE_SEED).limit(MAX_SAMPLE).coalesce(1)
+              .sortWithinPartitions(*order)
+              .select(F.to_json(F.struct(*order), {"ignoreNullFields": "false"})).collect()]
+    bounds: list[str] = []
     for i in range(1, shards):
-        b = tuple(sample[i * len(sample) // shards])
-        if b != last:
+        if not sample:
+            break
+        b = sample[i * len(sample) // shards]
+        if not bounds or b != bounds[-1]:
             bounds.append(b)
-            last = b
     return bounds
 
 
-def shard_of(df: DataFrame, order: Sequence[str], bounds: list[tuple]) -> Column:
-    """Index of the first boundary greater than the row's key (binary search)."""
-    fields = [df.schema[c] for c in order]
+def with_range_shards(df: DataFrame, order: Sequence[str], shards: int | None = None,
+                      bounds: list[str] | None = None) -> DataFrame:
+    """Add ``_shard`` = number of boundaries <= the row's key (0-based shard index).
+
+    Binary lifting: one projection per bit of the shard count. The level with
+    step ``s`` can only ever test every ``s``-th boundary, so it carries just
+    those as a constant array (parsed once from a JSON literal and folded):
+    about twice the boundary count in total, whatever the number of levels.
+    """
+    bounds = range_bounds(df, order, shards) if bounds is None else bounds
+    if not bounds:
+        return df.withColumn(SHARD, F.lit(0))
+    arr_type = T.ArrayType(T.StructType([T.StructField(c, df.schema[c].dataType) for c in order]))
     key = F.struct(*[F.col(c) for c in order])
+    out = df.withColumn(SHARD, F.lit(0))
+    step = 1 << (len(bounds).bit_length() - 1)
+    while step:
+        level = bounds[step - 1::step]            # boundary number k*step, k = 1, 2, ...
+        arr = F.from_json(F.lit("[" + ",".join(level) + "]"), arr_type)
+        # the count so far is a multiple of 2*step, so the next candidate is level[count / step]
+        probe = F.get(arr, (F.col(SHARD) / step).cast("int"))
+        hit = F.coalesce(key >= probe, F.lit(False))  # NULL beyond the last boundary
+        out = out.withColumn(SHARD, F.when(hit, F.col(SHARD) + step).otherwise(F.col(SHARD)))
+        step >>= 1
+    return out
 
-    def lit_key(b):
-        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, fields)])
 
-    def search(lo: int, hi: int) -> Column:  # shard in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2  # boundary `mid` separates shard mid from mid + 1
-        return F.when(key < lit_key(bounds[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
+def materialized_range_shards(df: DataFrame, order: Sequence[str], shards: int) -> DataFrame:
+    """Spark's range partitioning, pinned by a reliable checkpoint, for shard counts
+    too large for constant boundary arrays. Adds ``_shard`` and ``_pos``."""
+    part = df.repartitionByRange(shards, *order).sortWithinPartitions(*order)
+    pid = F.spark_partition_id()
+    part = part.withColumn(SHARD, pid).withColumn(
+        POS, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
+    return part.checkpoint(eager=True)
 
-    return search(0, len(bounds))
 
+def sharded(df: DataFrame, order: Sequence[str], shards: int | None = None) -> DataFrame:
+    """``df`` plus ``_shard`` (contiguous key ranges) and, when the shards were
+    materialized, ``_pos``. Deterministic in both forms."""
+    n = shards or plan_shard_count(df)
+    if n > MAX_LITERAL_SHARDS:
+        return materialized_range_shards(df, order, n)
+    return with_range_shards(df, order, n)
 
-def with_range_shards(df: DataFrame, order: Sequence[str], shards: int | None = None) -> DataFrame:
-    """Add ``_shard``: contiguous, balanced key ranges, deterministic per row.
 
-    ``order`` must be a total order (add tie-breakers) for exact numbering.
-    """
-    n = _shard_count(df, shards)
-    bounds = range_bounds(df, order, n)
-    return df.withColumn(SHARD, shard_of(df, order, bounds))
+def plan_shard_count(df: DataFrame) -> int:
+    total = df.count()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(4 * parts, math.ceil(total / TARGET_ROWS_PER_SHARD))
 
 
 def shard_offsets(sharded: DataFrame) -> DataFrame:
-    """Per shard: rows before it (``_offset``) and the grand total (``_total``)."""
+    """Per shard: rows before it (``_offset``) and the grand total (``_total``).
+    One row per shard, so the un-partitioned windows here are bounded."""
     counts = sharded.groupBy(SHARD).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy(SHARD).rowsBetween(Window.unboundedPreceding, -1)
     return counts.select(
@@ -93,10 +134,14 @@ def shard_offsets(sharded: DataFrame) -> DataFrame:
 
 def number_rows(df: DataFrame, order: Sequence[str], out: str = "row_number",
                 shards: int | None = None, keep_total: str | None = None) -> DataFrame:
-    """Append the global 1-based position in ``order`` (a distributed row_number)."""
-    sharded = with_range_shards(df, order, shards)
-    offsets = F.broadcast(shard_offsets(sharded))
-    local = sharded.withColumn(POS, F.row_number().over(Window.partitionBy(SHARD).orderBy(*order)) - 1)
+    """Append the global 1-based position in ``order`` (a distributed row_number).
+
+    ``order`` must be a total order (add tie-breakers) for exact numbering.
+    """
+    sh = sharded(df, order, shards)
+    offsets = F.broadcast(shard_offsets(sh))
+    local = sh if POS in sh.columns else sh.withColumn(
+        POS, F.row_number().over(Window.partitionBy(SHARD).orderBy(*order)) - 1)
     numbered = local.join(offsets, SHARD).withColumn(out, F.col("_offset") + F.col(POS) + 1)
     if keep_total:
         numbered = numbered.withColumnRenamed("_total", keep_total)

@@ -149,3 +149,22 @@ def _analyzed(df):
         df.explain(extended=True)
     text = buf.getvalue()
     return text.split("== Analyzed Logical Plan ==")[1].split("== Optimized Logical Plan ==")[0]
+
+
+def test_numbering_materialized_shards_beyond_literal_limit(spark):
+    from ledgerlake.operators.ordering import MAX_LITERAL_SHARDS
+    df = spark.range(5000).select((F.col("id") % 13).alias("k"), F.col("id").alias("tie"))
+    out = number_rows(df, ["k", "tie"], shards=MAX_LITERAL_SHARDS + 10)
+    rows = out.orderBy("row_number").collect()
+    assert [r.row_number for r in rows] == list(range(1, 5001))
+    assert [(r.k, r.tie) for r in rows] == sorted((r.k, r.tie) for r in rows)
+
+
+def test_trips_materialized_shards(spark):
+    from ledgerlake.operators.ordering import MAX_LITERAL_SHARDS
+    seq = [503] * 4 + [200] + [503, 429, 503, 503, 503, 503, 503] * 30
+    log = spark.createDataFrame([(i, i % 2, i, s) for i, s in enumerate(seq)],
+                                "event_id long, sink_id long, ts long, status_code int")
+    small = sorted(r.event_id for r in dl.failure_run_trips(log, shards=3).collect())
+    big = sorted(r.event_id for r in dl.failure_run_trips(log, shards=MAX_LITERAL_SHARDS + 5).collect())
+    assert small == big and small
