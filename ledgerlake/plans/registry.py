@@ -43,11 +43,15 @@ def register(name: str, sql: str | None = None):
 
 # ---------------------------------------------------------------- building blocks
 def accounts_src(spark, sf):
-    return adapter(spark, sf, "v_accounts")
+    """The landed CRM Account extract (Parquet), so filters reach the scan."""
+    from ledgerlake.sources.landing import land_extract
+    return spark.read.parquet(land_extract(spark, sf, "v_accounts"))
 
 
 def opportunities_src(spark, sf):
-    return adapter(spark, sf, "v_opportunities")
+    """The landed CRM Opportunity extract (Parquet)."""
+    from ledgerlake.sources.landing import land_extract
+    return spark.read.parquet(land_extract(spark, sf, "v_opportunities"))
 
 
 def account_map(spark, sf):

@@ -30,6 +30,12 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     return _LANDED[key]
 
 
+def land_extract(spark: SparkSession, sf_dir: str, view: str) -> str:
+    """A CRM extract (adapter view) landed as a Parquet table, as an extract job would."""
+    from ledgerlake.sources.adapters import adapter
+    return _once(spark, sf_dir, f"extract-{view}", lambda path: adapter(spark, sf_dir, view).write.parquet(path))
+
+
 def land_billing_csv(spark: SparkSession, sf_dir: str) -> str:
     """The billing export as header CSV files (one file per billing year)."""
     def write(path):
