@@ -32,11 +32,13 @@ SAMPLES_PER_SHARD = 20
 MAX_SAMPLE = 400_000            # keys sent to the driver to pick boundaries
 MAX_SHARDS = MAX_SAMPLE // SAMPLES_PER_SHARD
 MAX_LITERAL_SHARDS = 1024       # beyond this, shards are materialized (see ``sharded``)
-TARGET_ROWS_PER_SHARD = 1_000_000
+TARGET_ROWS_PER_SHARD = 4_000_000           # rows per window group (literal shards)
+TARGET_ROWS_PER_PARTITION = 50_000_000      # rows per range partition (materialized shards)
 SAMPLE_SEED = 17
 
 
-def range_bounds(df: DataFrame, order: Sequence[str], shards: int | None = None) -> list[str]:
+def range_bounds(df: DataFrame, order: Sequence[str], shards: int | None = None,
+                 total: int | None = None) -> list[str]:
     """Boundary keys (as Spark JSON objects) splitting ``order`` into about
     ``shards`` equal ranges.
 
@@ -45,7 +47,7 @@ def range_bounds(df: DataFrame, order: Sequence[str], shards: int | None = None)
     ``MAX_SHARDS``. At most ``MAX_SAMPLE`` sample keys reach the driver.
     """
     keys = df.select(*order)
-    total = keys.count()
+    total = keys.count() if total is None else total
     if shards is None:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
         shards = max(4 * parts, math.ceil(total / TARGET_ROWS_PER_SHARD))
@@ -69,7 +71,7 @@ def range_bounds(df: DataFrame, order: Sequence[str], shards: int | None = None)
 
 
 def with_range_shards(df: DataFrame, order: Sequence[str], shards: int | None = None,
-                      bounds: list[str] | None = None) -> DataFrame:
+                      bounds: list[str] | None = None, total: int | None = None) -> DataFrame:
     """Add ``_shard`` = number of boundaries <= the row's key (0-based shard index).
 
     Binary lifting: one projection per bit of the shard count. The level with
@@ -77,7 +79,7 @@ def with_range_shards(df: DataFrame, order: Sequence[str], shards: int | None =
     those as a constant array (parsed once from a JSON literal and folded):
     about twice the boundary count in total, whatever the number of levels.
     """
-    bounds = range_bounds(df, order, shards) if bounds is None else bounds
+    bounds = range_bounds(df, order, shards, total) if bounds is None else bounds
     if not bounds:
         return df.withColumn(SHARD, F.lit(0))
     arr_type = T.ArrayType(T.StructType([T.StructField(c, df.schema[c].dataType) for c in order]))
@@ -108,14 +110,22 @@ def materialized_range_shards(df: DataFrame, order: Sequence[str], shards: int)
 def sharded(df: DataFrame, order: Sequence[str], shards: int | None = None) -> DataFrame:
     """``df`` plus ``_shard`` (contiguous key ranges) and, when the shards were
     materialized, ``_pos``. Deterministic in both forms."""
-    n = shards or plan_shard_count(df)
-    if n > MAX_LITERAL_SHARDS:
-        return materialized_range_shards(df, order, n)
-    return with_range_shards(df, order, n)
-
-
-def plan_shard_count(df: DataFrame) -> int:
-    total = df.count()
+    total = None
+    if not shards:
+        total = df.count()
+        shards = plan_shard_count(df, total)
+    if shards > MAX_LITERAL_SHARDS:
+        # Materialized shards are whole partitions numbered by position (no window),
+        # so they can be much larger than window groups.
+        if total is not None:
+            parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+            shards = max(parts, math.ceil(total / TARGET_ROWS_PER_PARTITION))
+        return materialized_range_shards(df, order, shards)
+    return with_range_shards(df, order, shards, total=total)
+
+
+def plan_shard_count(df: DataFrame, total: int) -> int:
+    """At least 4 shards per shuffle partition, at most ``TARGET_ROWS_PER_SHARD`` rows each."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(4 * parts, math.ceil(total / TARGET_ROWS_PER_SHARD))
 

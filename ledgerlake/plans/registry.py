@@ -533,3 +533,37 @@ def q_assign_batches(spark, sf):
     from ledgerlake.sources.adapters import table
     orders = table(spark, sf, "orders").select("o_orderkey")
     return assign_batches(orders, 1000, ["o_orderkey"])
+
+
+# ---------------------------------------------------------------- composites and remaining scans
+@register("sync_crm", Q.compose("""
+SELECT data_type, account_id, NULL::varchar AS opportunity_id, arr, NULL::double AS amount, schema_version,
+       reject_reason, warnings FROM arr_val
+UNION ALL
+SELECT data_type, account_id, opportunity_id, NULL, amount, schema_version, reject_reason, warnings FROM opp_val""",
+                                "arr_val", "opp_val"))
+def q_sync_crm(spark, sf):
+    """Both CRM extracts -> tagged, versioned, validated records in one frame."""
+    from ledgerlake.plans.pipelines import sync_crm
+    out = flat(sync_crm(accounts_src(spark, sf), opportunities_src(spark, sf), CTX))
+    return out.select("data_type", "account_id", "opportunity_id", "arr", "amount", "schema_version",
+                      val.REASON, val.WARNINGS)
+
+
+@register("lineage_struct", Q.compose(f"SELECT account_id, {Q.LINEAGE} FROM arr", "arr"))
+def q_lineage_struct(spark, sf):
+    recs = tag_records(project_accounts(crm.scan_accounts(accounts_src(spark, sf)), CTX), CTX)
+    return flatten_lineage(recs.select("account_id", "obs_lineage"))
+
+
+@register("scan_account_map_json", Q.compose("""
+SELECT account_id, business_unit AS cost_category FROM v_account_items WHERE business_unit IS NOT NULL""",
+                                             "v_account_items"))
+def q_scan_account_map_json(spark, sf):
+    """Mapping fragments stored as JSON object text, one per supplier account;
+    fragments of incomplete items are unparsable text and yield nothing."""
+    from ledgerlake.sources.account_map import scan_account_map_json
+    items = adapter(spark, sf, "v_account_items")
+    text = F.when(F.col("business_unit").isNull(), F.lit("{unparsable")).otherwise(
+        F.to_json(F.create_map(F.col("account_id"), F.col("business_unit"))))
+    return scan_account_map_json(items.select(text.alias("value")))
