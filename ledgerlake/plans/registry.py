@@ -502,7 +502,7 @@ def q_split_dead_letters(spark, sf):
 
 
 @register("failure_run_trips", Q.compose("""
-SELECT sink_id, event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, status_code, since AS failures_since_success
+SELECT sink_id, event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, status_code, cast(since AS bigint) AS failures_since_success
 FROM (SELECT *, sum(1 - succ) OVER (PARTITION BY sink_id, seg ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS since
       FROM (SELECT *, sum(succ) OVER (PARTITION BY sink_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS seg
             FROM (SELECT *, CASE WHEN delivery_class = 'delivered' THEN 1 ELSE 0 END AS succ

@@ -208,12 +208,15 @@ def _rf(name, dtype="string"):
 
 
 @register("scan_batch_envelopes", Q.compose("""
-SELECT message_type, batch_number, total_batches, record_index, data_type, account_id, opportunity_id,
-       obs_correlation_id FROM env""", "env", extra=ENV_EXTRA))
+SELECT message_type, cast(batch_number AS varchar) AS batch_number, cast(total_batches AS varchar) AS total_batches,
+       record_index, data_type, account_id, opportunity_id, obs_correlation_id FROM env""", "env", extra=ENV_EXTRA))
 def q_scan_batch_envelopes(spark, sf):
+    """Round trip of the work messages. CRM messages carry no batch numbers (NULL);
+    batch numbers are rendered as text so NULLs compare alike in any engine."""
     msgs = spark.read.text(_landed_envelopes(spark, sf))
     recs = scan_batch_envelopes(msgs)
-    return recs.select("message_type", "batch_number", "total_batches", "record_index",
+    return recs.select("message_type", F.col("batch_number").cast("string").alias("batch_number"),
+                       F.col("total_batches").cast("string").alias("total_batches"), "record_index",
                        _rf("data_type"), _rf("account_id"), _rf("opportunity_id"), _rf("obs_correlation_id"))
 
 
