@@ -34,8 +34,9 @@ def stream_billing_files(spark: SparkSession, landing: str, columns: list[str],
                          ctx: RunContext = DEFAULT_CONTEXT, max_files_per_trigger: int = 1000):
     """Billing CSV files of one layout (one stream per layout) -> validated Parquet.
 
-    Valid rows are appended to ``sink``, rejected and malformed rows to
-    ``quarantine``; ``foreachBatch`` writes both outputs of a micro-batch.
+    Valid rows go to ``sink``, rejected and malformed rows to ``quarantine``,
+    each micro-batch under its own ``batch_id=<n>`` partition (read the sink
+    with ``spark.read.parquet(sink)``; ``batch_id`` is the partition column).
     """
     schema = string_schema(columns).add(MALFORMED, "string")
     stream = (spark.readStream.schema(schema).options(**CSV_OPTIONS)
@@ -43,13 +44,18 @@ def stream_billing_files(spark: SparkSession, landing: str, columns: list[str],
     raw = stream.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns], F.col(MALFORMED))
 
     def batch(df: DataFrame, batch_id: int):
+        # Each micro-batch owns one ``batch_id=<n>`` folder and overwrites it: a
+        # batch replayed after a failure replaces its own output (idempotent),
+        # so together with the source log every file lands exactly once.
+        part = f"batch_id={batch_id}"
         validated = ingest_billing(df, account_map, ctx)
-        validated.filter(F.col("reject_reason").isNull()).drop("reject_reason").write.mode("append").parquet(sink)
+        (validated.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+         .write.mode("overwrite").parquet(f"{sink}/{part}"))
         rejected = validated.filter(F.col("reject_reason").isNotNull())
         malformed = df.filter(F.col(MALFORMED).isNotNull()).select(
             F.col(MALFORMED).alias("raw_line"), F.lit("malformed_row").alias("reject_reason"))
-        rejected.write.mode("append").parquet(quarantine + "/rejected")
-        malformed.write.mode("append").parquet(quarantine + "/malformed")
+        rejected.write.mode("overwrite").parquet(f"{quarantine}/rejected/{part}")
+        malformed.write.mode("overwrite").parquet(f"{quarantine}/malformed/{part}")
 
     return _run(raw.writeStream.foreachBatch(batch), checkpoint)
 
