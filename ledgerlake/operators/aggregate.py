@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalars import money
-from ledgerlake.operators.validate import REASON, WARNINGS
+from ledgerlake.operators.validate import REASON, WARNING_KINDS, WARNINGS
 
 
 def daily_cost_by_service_account(usage: DataFrame, *, date_col: str = "usage_date",
@@ -37,10 +37,21 @@ def ingest_summary(validated: DataFrame, by: str = "data_type") -> DataFrame:
     )
 
 
-def warning_summary(validated: DataFrame, by: str = "data_type") -> DataFrame:
-    """Counts per warning kind (warnings are per-row log lines in the reference)."""
-    return (validated.select(by, F.explode(WARNINGS).alias("warning"))
-            .groupBy(by, "warning").agg(F.count(F.lit(1)).alias("records")))
+def warning_summary(validated: DataFrame, by: str = "data_type",
+                    kinds: tuple[str, ...] | None = WARNING_KINDS) -> DataFrame:
+    """Records per (group, warning kind); warnings are per-row log lines in the reference.
+
+    With the known kinds (each appears at most once per record) this is one
+    partial + final aggregate of ``count_if(array_contains(...))`` columns,
+    unpivoted; ``kinds=None`` explodes the arrays instead (any kind).
+    """
+    if kinds is None:
+        return (validated.select(by, F.explode(WARNINGS).alias("warning"))
+                .groupBy(by, "warning").agg(F.count(F.lit(1)).alias("records")))
+    wide = validated.groupBy(by).agg(
+        *[F.count_if(F.array_contains(WARNINGS, k)).alias(k) for k in kinds])
+    return (wide.unpivot(by, list(kinds), "warning", "records")
+            .filter(F.col("records") > 0))
 
 
 def reason_summary(validated: DataFrame, by: str = "data_type") -> DataFrame:

@@ -22,44 +22,40 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SHARD = "_shard"
 POS = "_pos"
-SAMPLES_PER_SHARD = 20
-MAX_SAMPLE = 400_000            # keys sent to the driver to pick boundaries
-MAX_SHARDS = MAX_SAMPLE // SAMPLES_PER_SHARD
 MAX_LITERAL_SHARDS = 1024       # beyond this, shards are materialized (see ``sharded``)
+SAMPLES_PER_SHARD = 20
+SAMPLE_SIZE = SAMPLES_PER_SHARD * MAX_LITERAL_SHARDS   # keys sent to the driver for boundaries
 TARGET_ROWS_PER_SHARD = 4_000_000           # rows per window group (literal shards)
 TARGET_ROWS_PER_PARTITION = 50_000_000      # rows per range partition (materialized shards)
 SAMPLE_SEED = 17
 
 
-def range_bounds(df: DataFrame, order: Sequence[str], shards: int | None = None,
-                 total: int | None = None) -> list[str]:
-    """Boundary keys (as Spark JSON objects) splitting ``order`` into about
-    ``shards`` equal ranges.
+def range_bounds(df: DataFrame, order: Sequence[str], shards: int | None = None) -> tuple[list[str], int]:
+    """``(boundaries, row count)``: boundary keys (as Spark JSON objects) splitting
+    ``order`` into about ``shards`` equal ranges, from one pass over the keys.
 
-    Without ``shards`` the count follows the data: at least 4 per shuffle
-    partition, at most ``TARGET_ROWS_PER_SHARD`` rows each, capped at
-    ``MAX_SHARDS``. At most ``MAX_SAMPLE`` sample keys reach the driver.
+    The pass draws a uniform sample of fixed size (the rows with the smallest
+    seeded random tag: a per-partition top-K, so at most ``SAMPLE_SIZE`` keys
+    per task and on the driver) and counts the rows with an ``Observation``.
+    Without ``shards`` the count decides: at least 4 per shuffle partition, at
+    most ``TARGET_ROWS_PER_SHARD`` rows each.
     """
-    keys = df.select(*order)
-    total = keys.count() if total is None else total
-    if shards is None:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        shards = max(4 * parts, math.ceil(total / TARGET_ROWS_PER_SHARD))
-    shards = min(shards, MAX_SHARDS)
-    if total == 0 or shards <= 1:
-        return []
-    frac = min(1.0, 1.5 * shards * SAMPLES_PER_SHARD / total)
-    # The sample is bounded by the shard count: sort it in one task, no range exchange.
+    obs = Observation("range_bounds")
+    keys = df.select(*order).observe(obs, F.count(F.lit(1)).alias("n"))
     # Keys travel as Spark's own JSON so every type round-trips exactly.
-    sample = [r[0] for r in keys.sample(False, frac, SAMPLE_SEED).limit(MAX_SAMPLE).coalesce(1)
-              .sortWithinPartitions(*order)
+    sample = [r[0] for r in keys.withColumn("_u", F.rand(SAMPLE_SEED)).orderBy("_u").limit(SAMPLE_SIZE)
+              .coalesce(1).sortWithinPartitions(*order)
               .select(F.to_json(F.struct(*order), {"ignoreNullFields": "false"})).collect()]
+    total = int(obs.get.get("n", 0))
+    if shards is None:
+        shards = plan_shard_count(df, total)
+    shards = min(shards, MAX_LITERAL_SHARDS)
     bounds: list[str] = []
     for i in range(1, shards):
         if not sample:
@@ -67,11 +63,11 @@ def range_bounds(df: DataFrame, order: Sequence[str], shards: int | None = None,
         b = sample[i * len(sample) // shards]
         if not bounds or b != bounds[-1]:
             bounds.append(b)
-    return bounds
+    return bounds, total
 
 
 def with_range_shards(df: DataFrame, order: Sequence[str], shards: int | None = None,
-                      bounds: list[str] | None = None, total: int | None = None) -> DataFrame:
+                      bounds: list[str] | None = None) -> DataFrame:
     """Add ``_shard`` = number of boundaries <= the row's key (0-based shard index).
 
     Binary lifting: one projection per bit of the shard count. The level with
@@ -79,7 +75,12 @@ def with_range_shards(df: DataFrame, order: Sequence[str], shards: int | None =
     those as a constant array (parsed once from a JSON literal and folded):
     about twice the boundary count in total, whatever the number of levels.
     """
-    bounds = range_bounds(df, order, shards, total) if bounds is None else bounds
+    if bounds is None:
+        bounds, _ = range_bounds(df, order, shards)
+    return _assign_shards(df, order, bounds)
+
+
+def _assign_shards(df: DataFrame, order: Sequence[str], bounds: list[str]) -> DataFrame:
     if not bounds:
         return df.withColumn(SHARD, F.lit(0))
     arr_type = T.ArrayType(T.StructType([T.StructField(c, df.schema[c].dataType) for c in order]))
@@ -110,18 +111,15 @@ def materialized_range_shards(df: DataFrame, order: Sequence[str], shards: int)
 def sharded(df: DataFrame, order: Sequence[str], shards: int | None = None) -> DataFrame:
     """``df`` plus ``_shard`` (contiguous key ranges) and, when the shards were
     materialized, ``_pos``. Deterministic in both forms."""
-    total = None
-    if not shards:
-        total = df.count()
-        shards = plan_shard_count(df, total)
-    if shards > MAX_LITERAL_SHARDS:
+    bounds, total = range_bounds(df, order, shards)
+    wanted = shards or plan_shard_count(df, total)
+    if wanted > MAX_LITERAL_SHARDS:
         # Materialized shards are whole partitions numbered by position (no window),
         # so they can be much larger than window groups.
-        if total is not None:
-            parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-            shards = max(parts, math.ceil(total / TARGET_ROWS_PER_PARTITION))
-        return materialized_range_shards(df, order, shards)
-    return with_range_shards(df, order, shards, total=total)
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        n = shards or max(parts, math.ceil(total / TARGET_ROWS_PER_PARTITION))
+        return materialized_range_shards(df, order, n)
+    return _assign_shards(df, order, bounds)
 
 
 def plan_shard_count(df: DataFrame, total: int) -> int:

@@ -22,6 +22,9 @@ from ledgerlake.schemas import ARR, BILLING, OPPORTUNITY, REGISTRY, latest_versi
 
 REASON = "reject_reason"
 WARNINGS = "warnings"
+# Every warning the dispatcher can emit (each at most once per record).
+WARNING_KINDS = ("account_id_format", "opportunity_id_format", "negative_cost", "unknown_data_type",
+                 "unparsable_amount")
 
 # Identifier formats (warnings only). Anchored with \A..\z so a trailing
 # newline does not pass (Python's `$` would accept it).

@@ -1,13 +1,17 @@
 """Bounded JSON envelopes around batches of records.
 
 Records are numbered in a total order and cut into contiguous batches of at
-most N (``assign_batches``); each batch is gathered by a ``groupBy`` whose
-groups hold at most N rows, so no task ever holds more than one batch per
-group. Record order inside an envelope follows the batch order.
+most N (``assign_batches``). Each record is serialised to compact JSON text
+first; a batch is then gathered by a ``groupBy`` whose groups hold at most N
+(row number, text) pairs, and the envelope is the sorted texts joined inside
+the envelope's own fields. Gathering text rather than nested record structs
+keeps aggregation buffers small and serialises every record exactly once.
+Record order inside an envelope follows the batch order.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -32,25 +36,37 @@ def record_json(df: DataFrame, exclude: Sequence[str] = ()) -> Column:
 
 def batched_records(df: DataFrame, size: int, order: Sequence[str],
                     shards: int | None = None) -> DataFrame:
-    """One row per batch: ``batch_number``, ``total_batches``, ``records`` (array of
-    record structs in order) and ``record_count``."""
-    cols = list(df.columns)
-    numbered = assign_batches(df, size, order, shards, keep_row_number=True)
+    """One row per batch: ``batch_number``, ``total_batches``, ``record_count`` and
+    ``records_json`` (the batch's records as a JSON array text, in order)."""
+    numbered = assign_batches(df.withColumn("_json", record_json(df)), size, order, shards,
+                              keep_row_number=True)
     grouped = numbered.groupBy("batch_number", "total_batches").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("row_number").alias("_rn"),
-                                             F.struct(*cols).alias("_rec")))).alias("_items"))
+        F.sort_array(F.collect_list(F.struct(F.col("row_number").alias("_rn"), F.col("_json")))).alias("_items"))
     return grouped.select(
         "batch_number", "total_batches",
-        F.transform("_items", lambda x: x["_rec"]).alias("records"),
-        F.size("_items").alias("record_count"))
+        F.size("_items").cast("long").alias("record_count"),
+        F.concat(F.lit("["), F.array_join(F.transform("_items", lambda x: x["_json"]), ","),
+                 F.lit("]")).alias("records_json"))
+
+
+def _envelope(fields: list[tuple[str, Column | str | None]]) -> Column:
+    """A JSON object text from (name, value) pairs: Python constants are rendered
+    once on the driver, Columns are JSON texts (records) or integers."""
+    parts: list[Column] = []
+    for i, (name, value) in enumerate(fields):
+        prefix = ("{" if i == 0 else ",") + json.dumps(name) + ":"
+        if isinstance(value, Column):
+            parts += [F.lit(prefix), value.cast("string")]
+        else:
+            parts.append(F.lit(prefix + json.dumps(value)))
+    return F.concat(*parts, F.lit("}"))
 
 
 def envelope_delivery_batches(df: DataFrame, order: Sequence[str], customer_id: str,
                               size: int = DELIVERY_BATCH, shards: int | None = None) -> DataFrame:
     """``{customer_id, data: [<= size records]}`` per batch (collector POST bodies)."""
     b = batched_records(df, size, order, shards)
-    body = F.to_json(F.struct(F.lit(customer_id).alias("customer_id"),
-                              F.col("records").alias("data")), JSON_OPTS)
+    body = _envelope([("customer_id", customer_id), ("data", F.col("records_json"))])
     return b.select("batch_number", "total_batches", "record_count", body.alias("value"))
 
 
@@ -63,11 +79,10 @@ def envelope_work_batches(df: DataFrame, order: Sequence[str], kind: str, sent_a
     size = size or (BILLING_WORK_BATCH if billing else CRM_WORK_BATCH)
     numbered = billing if numbered is None else numbered
     b = batched_records(df, size, order, shards)
-    fields = [F.lit(kind).alias("type"), F.col("records"), F.lit(sent_at).alias("timestamp")]
+    fields = [("type", kind), ("records", F.col("records_json")), ("timestamp", sent_at)]
     if numbered:
-        fields += [F.col("batch_number"), F.col("total_batches")]
-    return b.select("batch_number", "total_batches", "record_count",
-                    F.to_json(F.struct(*fields), JSON_OPTS).alias("value"))
+        fields += [("batch_number", F.col("batch_number")), ("total_batches", F.col("total_batches"))]
+    return b.select("batch_number", "total_batches", "record_count", _envelope(fields).alias("value"))
 
 
 def envelope_dead_letters(df: DataFrame, order: Sequence[str], sent_at: str,
@@ -75,8 +90,7 @@ def envelope_dead_letters(df: DataFrame, order: Sequence[str], sent_at: str,
                           size: int = DEAD_LETTER_CHUNK, shards: int | None = None) -> DataFrame:
     """Dead-letter chunks ``{records <= 10, timestamp[, customer_id, failed_timestamp]}``."""
     b = batched_records(df, size, order, shards)
-    fields = [F.col("records"), F.lit(sent_at).alias("timestamp")]
+    fields = [("records", F.col("records_json")), ("timestamp", sent_at)]
     if customer_id is not None:
-        fields += [F.lit(customer_id).alias("customer_id"), F.lit(failed_at).alias("failed_timestamp")]
-    return b.select("batch_number", "total_batches", "record_count",
-                    F.to_json(F.struct(*fields), JSON_OPTS).alias("value"))
+        fields += [("customer_id", customer_id), ("failed_timestamp", failed_at)]
+    return b.select("batch_number", "total_batches", "record_count", _envelope(fields).alias("value"))
