@@ -25,11 +25,21 @@ def python_float(c: Column) -> Column:
     Differences to Spark's cast that are closed here: Java accepts a trailing
     type suffix (``1.0d``/``2f``) and hex literals, Python does not; Python
     accepts single underscores between digits (``1_000``), Java does not.
+    Fast path: a plain cast, with the regular expressions evaluated only for
+    text that ends in d/f or holds an x (suspect) or an underscore.
     """
     s = c.cast("string")
-    suffix_or_hex = s.rlike(r"[0-9.][dDfF]\s*$") | s.rlike(r"^\s*[+-]?0[xX]")
-    cleaned = F.regexp_replace(s, r"(?<=[0-9])_(?=[0-9])", "")
-    return F.when(suffix_or_hex, F.lit(None).cast("double")).otherwise(cleaned.try_cast("double"))
+    t = F.trim(s)
+    plain = s.try_cast("double")
+    last = F.upper(F.substring(t, -1, 1))
+    suspect = last.isin("D", "F") | F.lower(t).contains("x")
+    java_only = s.rlike(r"[0-9.][dDfF]\s*$") | s.rlike(r"^\s*[+-]?0[xX]")
+    underscored = F.regexp_replace(s, r"(?<=[0-9])_(?=[0-9])", "").try_cast("double")
+    nothing = F.lit(None).cast("double")
+    return (F.when(plain.isNotNull() & ~suspect, plain)
+            .when(suspect, F.when(java_only, nothing).otherwise(plain))
+            .when(s.contains("_"), underscored)
+            .otherwise(nothing))
 
 
 def as_float(c: Column, dtype: T.DataType) -> Column:
