@@ -32,6 +32,7 @@ MAX_LITERAL_SHARDS = 1024       # beyond this, shards are materialized (see ``sh
 SAMPLES_PER_SHARD = 20
 SAMPLE_SIZE = SAMPLES_PER_SHARD * MAX_LITERAL_SHARDS   # keys sent to the driver for boundaries
 TARGET_ROWS_PER_SHARD = 4_000_000           # rows per window group (literal shards)
+MIN_ROWS_PER_SHARD = 100_000                # below this, fewer shards (less parallelism)
 TARGET_ROWS_PER_PARTITION = 50_000_000      # rows per range partition (materialized shards)
 SAMPLE_SEED = 17
 
@@ -43,8 +44,7 @@ def range_bounds(df: DataFrame, order: Sequence[str], shards: int | None = None)
     The pass draws a uniform sample of fixed size (the rows with the smallest
     seeded random tag: a per-partition top-K, so at most ``SAMPLE_SIZE`` keys
     per task and on the driver) and counts the rows with an ``Observation``.
-    Without ``shards`` the count decides: at least 4 per shuffle partition, at
-    most ``TARGET_ROWS_PER_SHARD`` rows each.
+    Without ``shards`` the count decides (``plan_shard_count``).
     """
     obs = Observation("range_bounds")
     keys = df.select(*order).observe(obs, F.count(F.lit(1)).alias("n"))
@@ -123,9 +123,13 @@ def sharded(df: DataFrame, order: Sequence[str], shards: int | None = None) -> D
 
 
 def plan_shard_count(df: DataFrame, total: int) -> int:
-    """At least 4 shards per shuffle partition, at most ``TARGET_ROWS_PER_SHARD`` rows each."""
+    """Shards of at most ``TARGET_ROWS_PER_SHARD`` rows; for parallelism up to 4
+    per shuffle partition, but never below ``MIN_ROWS_PER_SHARD`` rows each (small
+    inputs get one shard and no boundary constants at all)."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(4 * parts, math.ceil(total / TARGET_ROWS_PER_SHARD))
+    by_size = math.ceil(total / TARGET_ROWS_PER_SHARD)
+    by_parallelism = min(4 * parts, total // MIN_ROWS_PER_SHARD)
+    return max(1, by_size, by_parallelism)
 
 
 def shard_offsets(sharded: DataFrame) -> DataFrame:
