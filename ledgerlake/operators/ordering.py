@@ -111,6 +111,12 @@ def materialized_range_shards(df: DataFrame, order: Sequence[str], shards: int)
 def sharded(df: DataFrame, order: Sequence[str], shards: int | None = None) -> DataFrame:
     """``df`` plus ``_shard`` (contiguous key ranges) and, when the shards were
     materialized, ``_pos``. Deterministic in both forms."""
+    return sharded_with_stats(df, order, shards)[0]
+
+
+def sharded_with_stats(df: DataFrame, order: Sequence[str],
+                       shards: int | None = None) -> tuple[DataFrame, int, int]:
+    """``(sharded rows, shard count, row count)``; see ``sharded``."""
     bounds, total = range_bounds(df, order, shards)
     wanted = shards or plan_shard_count(df, total)
     if wanted > MAX_LITERAL_SHARDS:
@@ -118,8 +124,8 @@ def sharded(df: DataFrame, order: Sequence[str], shards: int | None = None) -> D
         # so they can be much larger than window groups.
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
         n = shards or max(parts, math.ceil(total / TARGET_ROWS_PER_PARTITION))
-        return materialized_range_shards(df, order, n)
-    return _assign_shards(df, order, bounds)
+        return materialized_range_shards(df, order, n), n, total
+    return _assign_shards(df, order, bounds), len(bounds) + 1, total
 
 
 def plan_shard_count(df: DataFrame, total: int) -> int:
@@ -150,11 +156,15 @@ def number_rows(df: DataFrame, order: Sequence[str], out: str = "row_number",
 
     ``order`` must be a total order (add tie-breakers) for exact numbering.
     """
-    sh = sharded(df, order, shards)
-    offsets = F.broadcast(shard_offsets(sh))
+    sh, n_shards, total = sharded_with_stats(df, order, shards)
     local = sh if POS in sh.columns else sh.withColumn(
         POS, F.row_number().over(Window.partitionBy(SHARD).orderBy(*order)) - 1)
-    numbered = local.join(offsets, SHARD).withColumn(out, F.col("_offset") + F.col(POS) + 1)
+    if n_shards == 1 and POS not in sh.columns:
+        # One shard (a small input): no offsets to add, and the total is known.
+        numbered = local.withColumns({out: F.col(POS) + 1, "_total": F.lit(total).cast("long")})
+    else:
+        offsets = F.broadcast(shard_offsets(sh))
+        numbered = local.join(offsets, SHARD).withColumn(out, F.col("_offset") + F.col(POS) + 1)
     if keep_total:
         numbered = numbered.withColumnRenamed("_total", keep_total)
     return numbered.drop(SHARD, POS, "_offset", "_total")
