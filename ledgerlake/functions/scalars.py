@@ -114,10 +114,6 @@ def date_parts(d: Column) -> dict[str, Column]:
     }
 
 
-def basename(path: Column) -> Column:
-    return F.substring_index(path, "/", -1)
-
-
 def money(c: Column) -> Column:
     """Exact-cent value for order-independent sums."""
     return c.cast("decimal(18,2)")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.scalars import col_or_lit, iso_timestamp, paired_float
+from ledgerlake.functions.scalars import col_or_lit, paired_float
 from ledgerlake.params import DEFAULT_CONTEXT, RunContext
 from ledgerlake.schemas import (ARR, BILLING, OPPORTUNITY, SOURCE_BILLING, SOURCE_CRM,
                                 STAMPED_VERSION, registered_fields)
@@ -120,7 +120,3 @@ def derive_cost_keys(costs: DataFrame, ctx: RunContext = DEFAULT_CONTEXT,
 def select_registered_fields(df: DataFrame, data_type: str, version: str) -> DataFrame:
     """Order / restrict columns to the registry's required + optional fields that exist."""
     return df.select([F.col(c) for c in registered_fields(data_type, version) if c in df.columns])
-
-
-def render_timestamp(df: DataFrame, column: str, alias: str | None = None) -> DataFrame:
-    return df.withColumn(alias or column, iso_timestamp(F.col(column)))

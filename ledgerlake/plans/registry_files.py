@@ -28,7 +28,7 @@ from ledgerlake.sources import crm
 from ledgerlake.sources import landing
 from ledgerlake.sources.adapters import BILLING_RAW_DUCK, BILLING_RAW_NAMES, billing_raw, table
 from ledgerlake.sources.costs import read_cost_responses, scan_daily_costs, yesterday_window
-from ledgerlake.sources.envelopes import scan_batch_envelopes
+from ledgerlake.sources.envelopes import record_field, scan_batch_envelopes
 from ledgerlake.sources.events import parse_arrival_events
 from ledgerlake.streaming.jobs import stream_batch_envelopes, stream_billing_files
 
@@ -202,11 +202,6 @@ SELECT 'salesforce_batch', NULL, NULL, cast((row_number() OVER (ORDER BY opportu
 }
 
 
-def _rf(name, dtype="string"):
-    v = F.try_element_at(F.col("record"), F.lit(name))
-    return (v if dtype == "string" else v.try_cast(dtype)).alias(name)
-
-
 @register("scan_batch_envelopes", Q.compose("""
 SELECT message_type, cast(batch_number AS varchar) AS batch_number, cast(total_batches AS varchar) AS total_batches,
        record_index, data_type, account_id, opportunity_id, obs_correlation_id FROM env""", "env", extra=ENV_EXTRA))
@@ -217,7 +212,7 @@ def q_scan_batch_envelopes(spark, sf):
     recs = scan_batch_envelopes(msgs)
     return recs.select("message_type", F.col("batch_number").cast("string").alias("batch_number"),
                        F.col("total_batches").cast("string").alias("total_batches"), "record_index",
-                       _rf("data_type"), _rf("account_id"), _rf("opportunity_id"), _rf("obs_correlation_id"))
+                       record_field("data_type"), record_field("account_id"), record_field("opportunity_id"), record_field("obs_correlation_id"))
 
 
 @register("envelope_summary", Q.compose("""
@@ -303,7 +298,7 @@ def q_check_required_fields(spark, sf):
     recs = tagged_arr(spark, sf)
     as_map = recs.select(F.from_json(F.to_json(F.struct(*recs.columns)), "map<string,string>").alias("record"))
     checked = val.validate_raw_records(as_map)
-    return checked.select(_rf("account_id"), val.REASON)
+    return checked.select(record_field("account_id"), val.REASON)
 
 
 # ---------------------------------------------------------------- arrival events
@@ -392,4 +387,4 @@ def q_stream_batch_envelopes(spark, sf):
     sink, ckpt = scratch_path(spark, "env-sink"), scratch_path(spark, "env-ckpt")
     stream_batch_envelopes(spark, _landed_envelopes(spark, sf), sink, ckpt)
     out = spark.read.parquet(sink)
-    return out.select("message_type", _rf("data_type"), _rf("account_id"), _rf("opportunity_id"), val.REASON)
+    return out.select("message_type", record_field("data_type"), record_field("account_id"), record_field("opportunity_id"), val.REASON)

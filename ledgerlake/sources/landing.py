@@ -9,8 +9,6 @@ are written once per session and input directory.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,9 +83,6 @@ def land_cost_responses(spark: SparkSession, sf_dir: str, daily: DataFrame) -> s
     return _once(spark, sf_dir, "cost-responses", write)
 
 
-def land_text(spark: SparkSession, sf_dir: str, name: str, lines: DataFrame) -> str:
-    """Write a one-column ``value`` frame as text lines (messages, events)."""
-    return _once(spark, sf_dir, name, lambda path: lines.select("value").write.text(path))
 
 
 def arrival_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +118,3 @@ def arrival_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(prio == "3", F.to_json(F.struct(sqs.alias("Records"))))
             .otherwise(F.to_json(F.struct(s3_records.alias("Records")))))
     return j.select(F.col("o_orderkey").alias("event_id"), text.alias("value"))
-
-
-def as_of_window(days: int, as_of: _dt.date) -> tuple[_dt.date, _dt.date]:
-    return as_of - _dt.timedelta(days=days), as_of
