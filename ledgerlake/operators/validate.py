@@ -22,6 +22,7 @@ from ledgerlake.schemas import ARR, BILLING, OPPORTUNITY, REGISTRY, latest_versi
 
 REASON = "reject_reason"
 WARNINGS = "warnings"
+_VERSION, _HAS_SCHEMA = "_v_version", "_v_has_schema"  # staged helper columns
 # Every warning the dispatcher can emit (each at most once per record).
 WARNING_KINDS = ("account_id_format", "opportunity_id_format", "negative_cost", "unknown_data_type",
                  "unparsable_amount")
@@ -146,9 +147,13 @@ def _warnings(f, extra: list[Column]) -> Column:
     return F.array_compact(F.array(*items))
 
 
-def validation_columns(f, extra_warnings: list[Column] | None = None) -> dict[str, Column]:
-    """Columns computed by the dispatcher: reason, warnings, resolved version."""
-    version, has_schema = _resolved_version(f)
+def validation_columns(f, extra_warnings: list[Column] | None = None,
+                       version: Column | None = None, has_schema: Column | None = None) -> dict[str, Column]:
+    """Columns computed by the dispatcher: reason, warnings, resolved version.
+
+    ``version`` / ``has_schema`` may be passed as precomputed columns."""
+    if version is None or has_schema is None:
+        version, has_schema = _resolved_version(f)
     reason = _first(
         F.when(~f.present("data_type"), F.lit("missing:data_type")),
         _registry_check(f, version, has_schema),
@@ -171,19 +176,32 @@ def validate_records(df: DataFrame) -> DataFrame:
     extra = []
     if PARSE_FAILED in df.columns:
         extra.append(F.when(F.col(PARSE_FAILED), F.lit("unparsable_amount")))
-    cols = validation_columns(f, extra)
+    version, has_schema = _resolved_version(f)
+    staged = df.withColumns({_VERSION: version, _HAS_SCHEMA: has_schema})
+    cols = validation_columns(f, extra, F.col(_VERSION), F.col(_HAS_SCHEMA))
     if "amount" in df.columns and "data_type" in df.columns:
         cols["amount"] = F.when(
-            (F.col("data_type") == OPPORTUNITY) & cols[REASON].isNull(),
+            (F.col("data_type") == OPPORTUNITY) & F.col(REASON).isNull(),
             F.coalesce(f.number("amount"), F.lit(0.0))).otherwise(F.col("amount").cast("double"))
-    out = df.withColumns(cols)
+        amount = cols.pop("amount")
+        out = staged.withColumns(cols).withColumn("amount", amount)
+    else:
+        out = staged.withColumns(cols)
+    out = out.drop(_VERSION, _HAS_SCHEMA)
     return out.drop(PARSE_FAILED) if PARSE_FAILED in df.columns else out
 
 
 def validate_raw_records(df: DataFrame, column: str = "record") -> DataFrame:
-    """Raw JSON records (``map<string,string>``) -> reason, warnings, filled version."""
-    cols = validation_columns(MapFields(column))
-    return df.withColumns(cols)
+    """Raw JSON records (``map<string,string>``) -> reason, warnings, filled version.
+
+    The resolved version and the schema flag, read by every registry branch,
+    are computed once per row in their own projection.
+    """
+    f = MapFields(column)
+    version, has_schema = _resolved_version(f)
+    staged = df.withColumns({_VERSION: version, _HAS_SCHEMA: has_schema})
+    out = staged.withColumns(validation_columns(f, None, F.col(_VERSION), F.col(_HAS_SCHEMA)))
+    return out.drop(_VERSION, _HAS_SCHEMA)
 
 
 def split_valid_quarantine(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
