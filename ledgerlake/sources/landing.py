@@ -16,7 +16,7 @@ from ledgerlake.session import scratch_path
 from ledgerlake.sources.adapters import billing_raw, table
 
 _LANDED: dict[tuple[str, str, str], str] = {}
-RESPONSE_PAGES = 16  # response documents per day (groups spread by hash)
+GROUPS_PER_RESPONSE = 1000  # target groups per response document (pages spread by hash)
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
@@ -65,13 +65,19 @@ def land_billing_mixed(spark: SparkSession, sf_dir: str) -> list[str]:
 def land_cost_responses(spark: SparkSession, sf_dir: str, daily: DataFrame) -> str:
     """Daily cost rows -> response documents ``{ResultsByTime: [{TimePeriod, Groups}]}``.
 
-    One document per (day, page); a page holds the groups whose key hashes to
-    it, so no document gathers an unbounded number of groups.
+    One document per (day, page). Each day gets ``ceil(groups / 1000)`` pages
+    (from a one-row-per-day count, joined behind the size check) and a group
+    goes to the page its key hashes to, so a document holds about 1000 groups
+    however many accounts a day has.
     """
+    from ledgerlake.operators.joins import lookup_side
+
     def write(path):
-        groups = daily.select(
+        pages = daily.groupBy("cost_date").agg(
+            F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / GROUPS_PER_RESPONSE)).alias("_pages"))
+        groups = daily.join(lookup_side(pages), "cost_date").select(
             "cost_date",
-            F.pmod(F.xxhash64("service", "account_id"), F.lit(RESPONSE_PAGES)).alias("page"),
+            F.pmod(F.xxhash64("service", "account_id"), F.col("_pages")).alias("page"),
             F.struct(F.array("service", "account_id").alias("Keys"),
                      F.struct(F.struct(F.col("amount").alias("Amount"), F.lit("USD").alias("Unit"))
                               .alias("UnblendedCost")).alias("Metrics")).alias("g"))
