@@ -38,15 +38,16 @@ class TypedFields:
 
     def __init__(self, df: DataFrame):
         self.df = df
+        self.names = frozenset(df.columns)
 
     def present(self, name: str) -> Column:
-        return F.lit(name in self.df.columns)
+        return F.lit(name in self.names)
 
     def value(self, name: str) -> Column:
-        return F.col(name) if name in self.df.columns else F.lit(None).cast("string")
+        return F.col(name) if name in self.names else F.lit(None).cast("string")
 
     def number(self, name: str) -> Column:
-        if name not in self.df.columns:
+        if name not in self.names:
             return F.lit(None).cast("double")
         return as_float(F.col(name), self.df.schema[name].dataType)
 

@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python call-site capture costs several JVM round trips per Column function
+    # call while a plan is being built; jobs here build large validation trees.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
