@@ -32,7 +32,7 @@ MAX_LITERAL_SHARDS = 1024       # beyond this, shards are materialized (see ``sh
 SAMPLES_PER_SHARD = 20
 SAMPLE_SIZE = SAMPLES_PER_SHARD * MAX_LITERAL_SHARDS   # keys sent to the driver for boundaries
 TARGET_ROWS_PER_SHARD = 4_000_000           # rows per window group (literal shards)
-MIN_ROWS_PER_SHARD = 100_000                # below this, fewer shards (less parallelism)
+MIN_ROWS_PER_SHARD = 20_000                 # below this, fewer shards (less parallelism)
 TARGET_ROWS_PER_PARTITION = 50_000_000      # rows per range partition (materialized shards)
 SAMPLE_SEED = 17
 
