@@ -337,7 +337,7 @@ SELECT event_id, record_index, kind, bucket, key, body, reason, reason IS NULL A
 
 @register("parse_arrival_events", EVENTS_SQL)
 def q_parse_arrival_events(spark, sf):
-    events = landing.arrival_events(spark, sf)
+    events = spark.read.parquet(landing.land_arrival_events(spark, sf))
     return parse_arrival_events(events, "value", id_col="event_id").select(
         "event_id", F.col("record_index").cast("int").alias("record_index"), "kind", "bucket", "key", "body",
         "reason", "ok")

@@ -89,8 +89,6 @@ def land_cost_responses(spark: SparkSession, sf_dir: str, daily: DataFrame) -> s
     return _once(spark, sf_dir, "cost-responses", write)
 
 
-
-
 def arrival_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrival events derived from orders and their line items.
 
@@ -124,3 +122,10 @@ def arrival_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(prio == "3", F.to_json(F.struct(sqs.alias("Records"))))
             .otherwise(F.to_json(F.struct(s3_records.alias("Records")))))
     return j.select(F.col("o_orderkey").alias("event_id"), text.alias("value"))
+
+
+def land_arrival_events(spark: SparkSession, sf_dir: str) -> str:
+    """The arrival events landed as an event-log table ``(event_id, value)``,
+    as a queue or notification archive would hold them."""
+    return _once(spark, sf_dir, "arrival-events",
+                 lambda path: arrival_events(spark, sf_dir).write.parquet(path))
