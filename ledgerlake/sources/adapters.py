@@ -83,7 +83,7 @@ BILLING_RAW_NAMES = {
 
 
 # Row-heavy tables whose rows feed per-row work (parsing, hashing, JSON).
-FACT_TABLES = ("lineitem", "orders", "events")
+FACT_TABLES = ("lineitem", "orders")
 
 
 def spread(df: DataFrame) -> DataFrame:
