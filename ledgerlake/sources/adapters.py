@@ -96,10 +96,12 @@ def spread(df: DataFrame) -> DataFrame:
     unchanged, so this adds no shuffle at scale. Filters and column pruning
     still reach the scan through the repartition.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD API, e.g. a Spark Connect session)
         return df
-    return df.repartition(cores)
+    return df if splits >= cores else df.repartition(cores)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

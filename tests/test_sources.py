@@ -151,3 +151,21 @@ def test_arrival_events_all_records_and_checks(spark):
         (5, 0, "queue_message", None), (6, 0, "unsupported", "unsupported_event"),
     ]
     assert rows[5].key == "y"
+
+
+def test_spread_only_few_split_scans(spark, tmp_path):
+    """A one-file scan is spread over the cores; rows and pruning are unchanged;
+    an input that already has a split per core is returned as is."""
+    from ledgerlake.sources.adapters import spread
+    cores = spark.sparkContext.defaultParallelism
+    path = str(tmp_path / "one")
+    spark.range(0, 5000).withColumn("v", F.col("id") * 2).coalesce(1).write.parquet(path)
+    one = spark.read.parquet(path)
+    assert one.rdd.getNumPartitions() < cores
+    spread_df = spread(one)
+    assert spread_df.rdd.getNumPartitions() == cores
+    assert sorted(r.id for r in spread_df.select("id").collect()) == list(range(5000))
+    plan = spread_df.select("id").filter(F.col("id") > 10)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint>" in plan and "GreaterThan(id,10)" in plan
+    many = spark.range(0, 100, numPartitions=cores * 2)
+    assert spread(many) is many
