@@ -171,10 +171,14 @@ def tagged_opp(spark, sf) -> DataFrame:
 def work_envelopes(spark, sf) -> DataFrame:
     """Fan-out messages: billing in numbered batches of 1000, CRM families in
     batches of 100 (separate flushes, so a message never mixes families)."""
+    from concurrent.futures import ThreadPoolExecutor
     sent = CTX.ingest_iso
-    bill = envelope_work_batches(tagged_billing(spark, sf), BILL_ORDER, "cur_batch", sent)
-    arr = envelope_work_batches(tagged_arr(spark, sf), ["account_id"], "salesforce_batch", sent)
-    opp = envelope_work_batches(tagged_opp(spark, sf), ["opportunity_id"], "salesforce_batch", sent)
+    # The families are independent: their shard-bound sample jobs run concurrently.
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        bill, arr, opp = pool.map(lambda a: envelope_work_batches(a[0](spark, sf), a[1], a[2], sent), [
+            (tagged_billing, BILL_ORDER, "cur_batch"),
+            (tagged_arr, ["account_id"], "salesforce_batch"),
+            (tagged_opp, ["opportunity_id"], "salesforce_batch")])
     return bill.withColumn("data_type", F.lit("aws_cur")).unionByName(
         arr.withColumn("data_type", F.lit("salesforce_arr"))).unionByName(
         opp.withColumn("data_type", F.lit("salesforce_opportunity")))
