@@ -50,3 +50,64 @@ def op10(spark, sf):
     import public_tokenizers
     from ledgerlake.llm.token_count import count_tokens
     return count_tokens(table(spark, sf, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")), 512)
+
+
+@register("op3_quality_nbsvm")
+def op3(spark, sf):
+    """Quality of every document."""
+    from ledgerlake.llm.quality import classify
+    return classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@register("op4_toxicity_grades")
+def op4(spark, sf):
+    """Severity of every document."""
+    from ledgerlake.llm.toxicity import grade_documents
+    return grade_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@register("op5_warc_revisits", """
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN original END AS refers_to
+FROM (SELECT *, payload_bytes >= 100 AND page_id > original AS again
+      FROM (SELECT page_id, cast(strlen(coalesce(html, '')) AS bigint) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest,
+                   min(page_id) OVER (PARTITION BY coalesce(html, '')) AS original FROM pages))""")
+def op5(spark, sf):
+    """All pages written as WARC archives with revisits, and read back."""
+    from ledgerlake.llm.common import scratch
+    from ledgerlake.llm.warc import archive_pages
+    return archive_pages(table(spark, sf, "pages"), scratch(spark, "warc"))
+
+
+@register("op6_simhash_near_dedup")
+def op6(spark, sf):
+    """SimHash components of all documents: 3-word shingles, two bits."""
+    from ledgerlake.llm.simhash import near_duplicates
+    return near_duplicates(table(spark, sf, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op7_exact_dedup_stream", r"""
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
+FROM (SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, sha256(norm) AS text_sha256
+      FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+      WINDOW same AS (PARTITION BY norm))""")
+def op7(spark, sf):
+    """Exact duplicates of all documents, through a stream with keyed state."""
+    from ledgerlake.llm.exact_dedup import exact_dedup
+    return exact_dedup(spark, f"{sf}/documents.parquet")
+
+
+@register("op2_decontamination")
+def op2(spark, sf):
+    """Passages of benchmark items in all documents."""
+    from ledgerlake.llm.decontamination import find_contamination
+    return find_contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@register("op9_suffix_dedup")
+def op9(spark, sf):
+    """Bytes of all documents without the 50-byte strings that an earlier document holds."""
+    from ledgerlake.llm.suffix_dedup import remove_repeats
+    return remove_repeats(table(spark, sf, "documents"), 50)
