@@ -54,6 +54,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> Column:
+    """A column by its exact name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ship_package, word_count, written
+from ledgerlake.llm.common import quoted, ship_package, word_count, written
 
 MAX_SOURCES = 100_000
 BLOCKS = 1024
@@ -147,13 +147,14 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), total_ratio:
                     F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "pieces"))
 
 
-def emit_mix(docs: DataFrame, plan: DataFrame, seed: int = 17, keep: Sequence[str] | None = None) -> DataFrame:
-    """The mixed rows: every column of ``docs`` (or ``keep``), once per piece; a piece
-    of fewer words has its text cut after them (words then joined by one space). ``n_chars`` follows the text.
+def emit_mix(docs: DataFrame, plan: DataFrame, seed: int = 17, placed: bool = True) -> DataFrame:
+    """The mixed rows: every column of ``docs`` once per piece, and where ``placed``
+    its mix_shard and mix_place; a piece of fewer words has its text cut after them
+    (words then joined by one space), and ``n_chars`` follows the text.
     Rows with equal id and text are matched one to one. Clashing names are safe:
     the source columns travel in one struct."""
-    names = list(keep or docs.columns)
-    cols = F.struct(*[F.col(c) for c in names]).alias("d")
+    names = docs.columns
+    cols = F.struct(*[quoted(c) for c in names]).alias("d")
     same = Window.partitionBy("id", "identity").orderBy(F.lit(0))
     left = docs.select(cols, F.col("doc_id").alias("id"), _identity(seed).alias("identity")) \
         .withColumn("nth", F.row_number().over(same))
@@ -176,7 +177,9 @@ def emit_mix(docs: DataFrame, plan: DataFrame, seed: int = 17, keep: Sequence[st
                        .otherwise(F.length("text2")).cast(docs.schema[c].dataType).alias(c))
         else:
             out.append(F.col("d").getField(c).alias(c))
-    return rows.select(*out, F.col("p.shard").alias("mix_shard"), F.col("p.place").alias("mix_place"))
+    if placed:
+        out += [F.col("p.shard").alias("mix_shard"), F.col("p.place").alias("mix_place")]
+    return rows.select(*out)
 
 
 def write_mix(mixed: DataFrame, path: str, shards: int = SHARDS) -> None:

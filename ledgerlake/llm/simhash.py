@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ship_package, written
+from ledgerlake.llm.common import quoted, ship_package, written
 
 SHINGLE = 3
 SEED = 42
@@ -88,6 +88,8 @@ def _near(a: str, b: str, bits: int) -> Column:
 def links(nodes: DataFrame) -> DataFrame:
     """Links (a, b) between distinct fingerprints that leave components as all pairs
     within two bits would."""
+    # 64 keys come from each row: spread the rows before, however few bytes they are
+    nodes = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     sizes = written(_variants(nodes).groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "simhash-keys")
     two = sizes.where("n = 2").select("a", "b").where(_near("a", "b", 2))
@@ -150,7 +152,7 @@ def drop_near_duplicates(docs: DataFrame, width: int = SHINGLE, max_bits: int =
     kept = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root")
             .agg(F.min(F.struct("identity", name.alias("name"))).alias("k"))
             .select(F.col("k.identity").alias("k1"), F.col("k.name").alias("k2")).distinct())
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("d"),
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("d"),
                        F.xxhash64("doc_id", "text").alias("k1"), name.alias("k2"))
     equal = Window.partitionBy("k1", "k2").orderBy(F.lit(0))
     return (rows.join(kept, ["k1", "k2"]).withColumn("nth", F.row_number().over(equal)).where("nth = 1")
