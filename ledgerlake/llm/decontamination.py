@@ -78,8 +78,9 @@ class LengthClass:
         self.tables = WALKS * per_walk
 
     def keys(self, words: np.ndarray, stop: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
-        """One array of keys per table for windows at ``starts``; a walk that passes
-        ``stop`` (its text's end) emits zero from there."""
+        """One array of keys per table for windows at ``starts``; a walk that passes its
+        window or ``stop`` (its text's end) emits zero from there."""
+        stop = np.minimum(stop, starts + self.window)
         padded = np.append(words, np.uint64(0))
         end = len(words)
         with np.errstate(over="ignore"):
