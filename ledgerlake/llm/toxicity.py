@@ -17,10 +17,11 @@ toxic); an empty table gives an empty result; other columns don't matter.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ship_package
+from ledgerlake.llm.common import buffers, chunks, ship_package
 from ledgerlake.llm.features import BITS, SAMPLE, held_out, labelled_sample, present, score_texts
 
 FEATURES = 4096
@@ -135,13 +136,11 @@ def _scorer(docs: DataFrame, labels: DataFrame, sample: int):
 
 def toxic_column(docs: DataFrame, labels: DataFrame, text: Column | str = "text", sample: int = SAMPLE) -> Column:
     """The probability of grade 1 or more as a column over ``docs``."""
-    import pyarrow as pa
     ship_package(docs.sparkSession)
     run = _scorer(docs, labels, sample)
 
     @F.arrow_udf("double")
     def p_toxic(col: pa.Array) -> pa.Array:
-        from ledgerlake.llm.common import buffers, chunks
         raw, offsets = buffers(col)
         parts = [run(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])[2] for i, j in chunks(offsets)]
         return pa.array(np.concatenate(parts)) if parts else pa.array([], pa.float64())
