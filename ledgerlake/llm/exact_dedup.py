@@ -50,6 +50,8 @@ def run_stream(spark: SparkSession, path: str, state: str, table: str, digest=sh
     own = spark.newSession()  # the caller's settings stay as they are
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # many small stores: no room is claimed ahead for their logs
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     reader = own.readStream.schema(spark.read.parquet(path).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
