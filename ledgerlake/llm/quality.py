@@ -33,8 +33,10 @@ def log_ratios(y: np.ndarray, rows: np.ndarray, feature: np.ndarray, smooth: flo
 
 
 def dual_descent(y: np.ndarray, indptr: np.ndarray, feature: np.ndarray, value: np.ndarray, cost: np.ndarray,
-                 rounds: int = 20, seed: int = 3) -> np.ndarray:
-    """Weights (the last is the intercept) of min |w|^2/2 + sum cost * hinge."""
+                 part: np.ndarray | None = None, rounds: int = 20, seed: int = 3) -> np.ndarray:
+    """Weights (the last is the intercept) of min |w|^2/2 + sum cost * hinge over the
+    texts in ``part`` (all)."""
+    part = np.arange(len(y)) if part is None else part
     w = np.zeros((1 << BITS) + 1)
     sign = np.where(y == 1, 1.0, -1.0)
     alpha = np.zeros(len(y))
@@ -42,7 +44,7 @@ def dual_descent(y: np.ndarray, indptr: np.ndarray, feature: np.ndarray, value:
     rng = np.random.default_rng(seed)
     for _ in range(rounds):
         moved = 0.0
-        for i in rng.permutation(len(y)):
+        for i in rng.permutation(part):
             a, b = indptr[i], indptr[i + 1]
             f, v = feature[a:b], value[a:b]
             gradient = sign[i] * (w[f] @ v + w[-1]) - 1.0
@@ -77,14 +79,14 @@ def logistic_map(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def scaled(indptr: np.ndarray, feature: np.ndarray, r: np.ndarray):
     """Features with a ratio, their values scaled to length 1 per text."""
-    rows = np.repeat(np.arange(len(indptr) - 1), np.diff(indptr))
-    keep = np.flatnonzero(r[feature])
-    rows, feature = rows[keep], feature[keep]
-    value = r[feature]
+    keep = r[feature] != 0
+    rows = np.repeat(np.arange(len(indptr) - 1, dtype=np.int32), np.diff(indptr))[keep]
+    feature = feature[keep]
+    value = r[feature].astype(np.float32)
     norm = np.sqrt(np.bincount(rows, weights=value * value, minlength=len(indptr) - 1))
     norm[norm == 0] = 1
     cuts = np.searchsorted(rows, np.arange(len(indptr)))
-    return cuts, rows, feature, value / norm[rows]
+    return cuts, rows, feature, value / norm.astype(np.float32)[rows]
 
 
 def fit(y: np.ndarray, indptr: np.ndarray, feature: np.ndarray, cost: float = 4.0) -> dict:
@@ -97,15 +99,15 @@ def fit(y: np.ndarray, indptr: np.ndarray, feature: np.ndarray, cost: float = 4.
     for c in (0, 1):  # a fifth of either class is kept for the logistic map
         at = rng.permutation(np.flatnonzero(y == c))
         aside[at[:max(1, len(at) // 5)]] = True
-    rows = np.repeat(np.arange(len(y)), np.diff(indptr))
+    rows = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(indptr))
     seen = ~aside[rows]
     r = log_ratios(np.where(aside, -1, y), rows[seen], feature[seen])
+    del rows, seen
     cuts, row, feat, value = scaled(indptr, feature, r)
+    del feature
     part = np.flatnonzero(~aside)
-    pick = ~aside[row]
-    sub = np.searchsorted(part, row[pick])
     weight = np.where(y == 1, 0.5 / np.mean(y == 1), 0.5 / np.mean(y == 0)) ** 0.5
-    w = dual_descent(y[part], np.searchsorted(sub, np.arange(len(part) + 1)), feat[pick], value[pick], cost * weight[part])
+    w = dual_descent(y, cuts, feat, value, cost * weight, part)
     margin = np.bincount(row, weights=w[feat] * value, minlength=len(y)) + w[-1]
     a, b = logistic_map(margin[aside], y[aside])
     used = np.flatnonzero(r)
