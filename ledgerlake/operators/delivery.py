@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.ordering import SHARD, sharded
+from ledgerlake.session import materialized
 
 DELIVERED, RATE_LIMITED, RETRYABLE, NON_RETRYABLE = "delivered", "rate_limited", "retryable", "non_retryable"
 
@@ -90,20 +91,21 @@ def failure_run_trips(log: DataFrame, sink_col: str = "sink_id", ts_col: str = "
 
     Skew-safe form of a per-sink running count: the log is range-partitioned on
     (sink, ts, id) into balanced, contiguous shards; running counts are taken inside
-    (shard, sink) groups, whose size is bounded by a shard; the failures a
-    sink carries into a shard from earlier shards come from a per-(shard, sink)
+    (shard, sink) groups, whose size is bounded by a shard, and written once for both
+    the summary and the trips; the failures a sink carries into a shard from earlier shards come from a per-(shard, sink)
     summary. Only the first sink of a shard can carry anything in, so the
     carry table has at most one row per shard and is broadcast.
     """
     cls = classify_delivery(F.col(status_col))
     ev = log.filter(cls != RATE_LIMITED).withColumns({
         "_succ": (cls == DELIVERED).cast("int"), "_fail": (cls != DELIVERED).cast("int")})
-    sh = sharded(ev, [sink_col, ts_col, id_col], shards)
+    sh = sharded(ev.select(sink_col, ts_col, id_col, status_col, "_succ", "_fail"), [sink_col, ts_col, id_col], shards)
 
     w = Window.partitionBy(SHARD, sink_col).orderBy(ts_col, id_col)
     run = Window.partitionBy(SHARD, sink_col, "_seg").orderBy(ts_col, id_col)
-    local = (sh.withColumn("_seg", F.sum("_succ").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-               .withColumn("_since", F.sum("_fail").over(run.rowsBetween(Window.unboundedPreceding, 0))))
+    local = materialized(
+        sh.withColumn("_seg", F.sum("_succ").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_since", F.sum("_fail").over(run.rowsBetween(Window.unboundedPreceding, 0))), "failure-runs")
 
     # Per (shard, sink): did a success occur, and failures after the last one.
     summary = local.groupBy(SHARD, sink_col).agg(
@@ -126,5 +128,23 @@ def failure_run_trips(log: DataFrame, sink_col: str = "sink_id", ts_col: str = "
     return trips.select(sink_col, id_col, ts_col, status_col, "failures_since_success")
 
 
+def deliver_batches(batches: DataFrame, outcomes: DataFrame, batch_col: str = "batch_no") -> DataFrame:
+    """Each numbered record (``batch_col``) with its batch's ``outcome`` from
+    ``split_dead_letters``; a batch that the log does not mention is ``pending``.
+    Many records meet one outcome row, so a large batch splits on the records' side."""
+    known = outcomes.select(F.col(batch_col).alias("_batch"), "outcome")
+    return (batches.join(known, batches[batch_col] == known["_batch"], "left").drop("_batch")
+            .withColumn("outcome", F.coalesce("outcome", F.lit("pending"))))
+
+
+def delivery_summary(delivered: DataFrame, by: str = "data_type") -> DataFrame:
+    """Records per group that were delivered, dead-lettered, or are still pending."""
+    return delivered.groupBy(by).agg(
+        F.count(F.lit(1)).alias("total_records"),
+        F.count_if(F.col("outcome") == "delivered").alias("delivered"),
+        F.count_if(F.col("outcome") == "dead_letter").alias("dead_lettered"),
+        F.count_if(F.col("outcome") == "pending").alias("pending"))
+
+
 def trips_per_sink(trips: DataFrame, sink_col: str = "sink_id") -> DataFrame:
     return trips.groupBy(sink_col).agg(F.count(F.lit(1)).alias("trips"))

@@ -1,147 +1,53 @@
 """Global numbering, batching and family unions without a single-partition step.
 
-A global ``row_number()`` over an un-partitioned window moves every row into
-one task. Here every row gets a *range shard*, a contiguous slice of the key
-order: a seeded sample of the keys (bounded by the shard count) is sorted in
-one task, every k-th sample key becomes a shard boundary, and each row finds
-its shard by binary lifting over the boundary array: ``log2(shards)`` cheap
-projections, independent of the data size. Rows are numbered inside their
-shard and shifted by the prefix sum of the shard sizes, a table with one row
-per shard that is broadcast back (its size is the shard count, a parameter,
-so the bound is proven).
-
-The shard is a pure function of the row, so every consumer of the sharded
-rows, and every re-run of a lost task, sees the same assignment. (Reading
-``spark_partition_id()`` behind ``repartitionByRange`` is not safe here: the
-range bounds are re-sampled each time the exchange runs, and column pruning
-can give two consumers different exchanges.)
+A global ``row_number()`` over an un-partitioned window moves every row into one
+task. Here Spark's range partitioning cuts the rows into contiguous, sorted key ranges,
+and the result is pinned by writing it once to the shared folder: the bounds are
+sampled anew each time such an exchange runs, so only a written table gives every
+consumer, and every re-run of a lost task, the same ranges. A row's position in its range
+is kept with it; range sizes (one row per range) become offsets. There is one path for
+every size.
+
+The order is made total by a hash of the whole row behind the given keys, so that a hot
+key spreads over ranges and batch membership is deterministic; rows equal in every
+column are interchangeable.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ledgerlake.session import materialized
 
 SHARD = "_shard"
 POS = "_pos"
-MAX_LITERAL_SHARDS = 1024       # beyond this, shards are materialized (see ``sharded``)
-SAMPLES_PER_SHARD = 20
-SAMPLE_SIZE = SAMPLES_PER_SHARD * MAX_LITERAL_SHARDS   # keys sent to the driver for boundaries
-TARGET_ROWS_PER_SHARD = 4_000_000           # rows per window group (literal shards)
-MIN_ROWS_PER_SHARD = 100_000                # below this, fewer shards (less parallelism)
-TARGET_ROWS_PER_PARTITION = 50_000_000      # rows per range partition (materialized shards)
-SAMPLE_SEED = 17
-
-
-def range_bounds(df: DataFrame, order: Sequence[str], shards: int | None = None) -> tuple[list[str], int]:
-    """``(boundaries, row count)``: boundary keys (as Spark JSON objects) splitting
-    ``order`` into about ``shards`` equal ranges, from one pass over the keys.
-
-    The pass draws a uniform sample of fixed size (the rows with the smallest
-    seeded random tag: a per-partition top-K, so at most ``SAMPLE_SIZE`` keys
-    per task and on the driver) and counts the rows with an ``Observation``.
-    Without ``shards`` the count decides (``plan_shard_count``).
-    """
-    obs = Observation("range_bounds")
-    keys = df.select(*order).observe(obs, F.count(F.lit(1)).alias("n"))
-    # Keys travel as Spark's own JSON so every type round-trips exactly.
-    sample = [r[0] for r in keys.withColumn("_u", F.rand(SAMPLE_SEED)).orderBy("_u").limit(SAMPLE_SIZE)
-              .coalesce(1).sortWithinPartitions(*order)
-              .select(F.to_json(F.struct(*order), {"ignoreNullFields": "false"})).collect()]
-    total = int(obs.get.get("n", 0))
-    if shards is None:
-        shards = plan_shard_count(df, total)
-    shards = min(shards, MAX_LITERAL_SHARDS)
-    bounds: list[str] = []
-    for i in range(1, shards):
-        if not sample:
-            break
-        b = sample[i * len(sample) // shards]
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    return bounds, total
-
-
-def with_range_shards(df: DataFrame, order: Sequence[str], shards: int | None = None,
-                      bounds: list[str] | None = None) -> DataFrame:
-    """Add ``_shard`` = number of boundaries <= the row's key (0-based shard index).
-
-    Binary lifting: one projection per bit of the shard count. The level with
-    step ``s`` can only ever test every ``s``-th boundary, so it carries just
-    those as a constant array (parsed once from a JSON literal and folded):
-    about twice the boundary count in total, whatever the number of levels.
-    """
-    if bounds is None:
-        bounds, _ = range_bounds(df, order, shards)
-    return _assign_shards(df, order, bounds)
-
-
-def _assign_shards(df: DataFrame, order: Sequence[str], bounds: list[str]) -> DataFrame:
-    if not bounds:
-        return df.withColumn(SHARD, F.lit(0))
-    arr_type = T.ArrayType(T.StructType([T.StructField(c, df.schema[c].dataType) for c in order]))
-    key = F.struct(*[F.col(c) for c in order])
-    out = df.withColumn(SHARD, F.lit(0))
-    step = 1 << (len(bounds).bit_length() - 1)
-    while step:
-        level = bounds[step - 1::step]            # boundary number k*step, k = 1, 2, ...
-        arr = F.from_json(F.lit("[" + ",".join(level) + "]"), arr_type)
-        # the count so far is a multiple of 2*step, so the next candidate is level[count / step]
-        probe = F.get(arr, (F.col(SHARD) / step).cast("int"))
-        hit = F.coalesce(key >= probe, F.lit(False))  # NULL beyond the last boundary
-        out = out.withColumn(SHARD, F.when(hit, F.col(SHARD) + step).otherwise(F.col(SHARD)))
-        step >>= 1
-    return out
 
 
-def materialized_range_shards(df: DataFrame, order: Sequence[str], shards: int) -> DataFrame:
-    """Spark's range partitioning, pinned by a reliable checkpoint, for shard counts
-    too large for constant boundary arrays. Adds ``_shard`` and ``_pos``."""
-    part = df.repartitionByRange(shards, *order).sortWithinPartitions(*order)
-    pid = F.spark_partition_id()
-    part = part.withColumn(SHARD, pid).withColumn(
-        POS, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
-    return part.checkpoint(eager=True)
+def _row_hash(df: DataFrame):
+    """A hash of all columns (maps, which cannot be hashed, as their entries)."""
+    cols = [F.map_entries(F.col(f"`{f.name}`")) if f.dataType.typeName() == "map" else F.col(f"`{f.name}`")
+            for f in df.schema.fields]
+    return F.xxhash64(*cols)
 
 
 def sharded(df: DataFrame, order: Sequence[str], shards: int | None = None) -> DataFrame:
-    """``df`` plus ``_shard`` (contiguous key ranges) and, when the shards were
-    materialized, ``_pos``. Deterministic in both forms."""
-    return sharded_with_stats(df, order, shards)[0]
-
-
-def sharded_with_stats(df: DataFrame, order: Sequence[str],
-                       shards: int | None = None) -> tuple[DataFrame, int, int]:
-    """``(sharded rows, shard count, row count)``; see ``sharded``."""
-    bounds, total = range_bounds(df, order, shards)
-    wanted = shards or plan_shard_count(df, total)
-    if wanted > MAX_LITERAL_SHARDS:
-        # Materialized shards are whole partitions numbered by position (no window),
-        # so they can be much larger than window groups.
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        n = shards or max(parts, math.ceil(total / TARGET_ROWS_PER_PARTITION))
-        return materialized_range_shards(df, order, n), n, total
-    return _assign_shards(df, order, bounds), len(bounds) + 1, total
-
-
-def plan_shard_count(df: DataFrame, total: int) -> int:
-    """Shards of at most ``TARGET_ROWS_PER_SHARD`` rows; for parallelism up to 4
-    per shuffle partition, but never below ``MIN_ROWS_PER_SHARD`` rows each (small
-    inputs get one shard and no boundary constants at all)."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    by_size = math.ceil(total / TARGET_ROWS_PER_SHARD)
-    by_parallelism = min(4 * parts, total // MIN_ROWS_PER_SHARD)
-    return max(1, by_size, by_parallelism)
-
-
-def shard_offsets(sharded: DataFrame) -> DataFrame:
-    """Per shard: rows before it (``_offset``) and the grand total (``_total``).
-    One row per shard, so the un-partitioned windows here are bounded."""
-    counts = sharded.groupBy(SHARD).agg(F.count(F.lit(1)).alias("_n"))
+    """``df`` in contiguous ranges of ``order``, written once: adds ``_shard`` (range
+    number) and ``_pos`` (0-based position inside the range)."""
+    n = shards or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    keys = [*order, "_tie"]
+    part = (df.withColumn("_tie", _row_hash(df)).repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("_tie"))
+    pid = F.spark_partition_id()
+    return materialized(part.withColumns({
+        SHARD: pid, POS: F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)}), "ranges")
+
+
+def shard_offsets(ranges: DataFrame) -> DataFrame:
+    """Per range: rows before it (``_offset``) and the grand total (``_total``).
+    One row per range, so the un-partitioned windows here are bounded."""
+    counts = ranges.groupBy(SHARD).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy(SHARD).rowsBetween(Window.unboundedPreceding, -1)
     return counts.select(
         SHARD,
@@ -152,19 +58,12 @@ def shard_offsets(sharded: DataFrame) -> DataFrame:
 
 def number_rows(df: DataFrame, order: Sequence[str], out: str = "row_number",
                 shards: int | None = None, keep_total: str | None = None) -> DataFrame:
-    """Append the global 1-based position in ``order`` (a distributed row_number).
-
-    ``order`` must be a total order (add tie-breakers) for exact numbering.
-    """
-    sh, n_shards, total = sharded_with_stats(df, order, shards)
-    local = sh if POS in sh.columns else sh.withColumn(
-        POS, F.row_number().over(Window.partitionBy(SHARD).orderBy(*order)) - 1)
-    if n_shards == 1 and POS not in sh.columns:
-        # One shard (a small input): no offsets to add, and the total is known.
-        numbered = local.withColumns({out: F.col(POS) + 1, "_total": F.lit(total).cast("long")})
-    else:
-        offsets = F.broadcast(shard_offsets(sh))
-        numbered = local.join(offsets, SHARD).withColumn(out, F.col("_offset") + F.col(POS) + 1)
+    """Append the global 1-based position in ``order`` (a distributed row_number);
+    ties are ordered by a hash of the row."""
+    ranges = sharded(df, order, shards)
+    # one row per range: its size is the partition count, a setting
+    numbered = ranges.join(F.broadcast(shard_offsets(ranges)), SHARD).withColumn(
+        out, F.col("_offset") + F.col(POS) + 1)
     if keep_total:
         numbered = numbered.withColumnRenamed("_total", keep_total)
     return numbered.drop(SHARD, POS, "_offset", "_total")

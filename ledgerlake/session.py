@@ -6,7 +6,6 @@ Library code never changes the caller's session beyond what is listed here;
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -44,8 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system folder and
-    is used as is. Only when it is unset (local tests) a fresh temporary folder
-    is created and registered.
+    is used as is. Only a local master (tests) gets a fresh temporary folder when
+    it is unset: executors on other machines could not see one, so a cluster
+    session without the setting raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -61,7 +63,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "ledgerlake-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/ledgerlake-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialized(df, name: str):
+    """``df`` written once as a Parquet table in the shared folder and read back:
+    every consumer, and every re-run of a lost task, sees the same rows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

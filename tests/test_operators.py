@@ -151,20 +151,60 @@ def _analyzed(df):
     return text.split("== Analyzed Logical Plan ==")[1].split("== Optimized Logical Plan ==")[0]
 
 
-def test_numbering_materialized_shards_beyond_literal_limit(spark):
-    from ledgerlake.operators.ordering import MAX_LITERAL_SHARDS
-    df = spark.range(5000).select((F.col("id") % 13).alias("k"), F.col("id").alias("tie"))
-    out = number_rows(df, ["k", "tie"], shards=MAX_LITERAL_SHARDS + 10)
-    rows = out.orderBy("row_number").collect()
-    assert [r.row_number for r in rows] == list(range(1, 5001))
-    assert [(r.k, r.tie) for r in rows] == sorted((r.k, r.tie) for r in rows)
-
-
-def test_trips_materialized_shards(spark):
-    from ledgerlake.operators.ordering import MAX_LITERAL_SHARDS
+def test_all_equal_keys_spread_over_ranges(spark):
+    from ledgerlake.operators.ordering import SHARD, sharded
+    df = spark.range(8000).select(F.lit(1).alias("k"), F.col("id").alias("payload"))
+    sizes = [r["count"] for r in sharded(df, ["k"], 8).groupBy(SHARD).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2500
+    a = {(r.payload, r.row_number) for r in number_rows(df, ["k"], shards=8).collect()}
+    b = {(r.payload, r.row_number) for r in number_rows(df.repartition(3), ["k"], shards=5).collect()}
+    assert a == b and {n for _, n in a} == set(range(1, 8001))
+
+
+def test_delivery_outcomes_by_record(spark):
+    log = spark.createDataFrame([(1, 503), (1, 503), (1, 503), (2, 200)], "batch_no long, status_code int")
+    recs = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("b", 1)], "data_type string, batch_no long")
+    sent = dl.deliver_batches(recs, dl.split_dead_letters(log))
+    got = {r.data_type: (r.total_records, r.delivered, r.dead_lettered, r.pending) for r in dl.delivery_summary(sent).collect()}
+    assert got == {"a": (2, 1, 1, 0), "b": (2, 0, 1, 1)}
+
+
+def test_daily_cost_keeps_sub_cent_amounts_and_survives_odd_ones(spark):
+    from ledgerlake.operators.aggregate import daily_cost_by_service_account
+    rows = [("2025-04-01", "s", "a", 0.0042)] * 1000 + [("2025-04-01", "s", "b", 1e300), ("2025-04-01", "s", "b", 2.5),
+                                                        ("2025-04-01", "s", "c", float("nan")), ("2025-04-01", "s", "d", None)]
+    df = spark.createDataFrame(rows, "usage_date string, service string, account_id string, cost double")
+    got = {r.account_id: (r.cost, r.usage_rows, r.unsummed_rows) for r in daily_cost_by_service_account(df).collect()}
+    assert got == {"a": (4.2, 1000, 0), "b": (2.5, 2, 1), "c": (None, 1, 1), "d": (None, 1, 1)}
+
+
+def test_masking_maps_of_any_value_type(spark):
+    df = spark.sql("""SELECT map('api_token', 123, 'port', 5) AS numbers, map('password', struct('hunter2' AS v)) AS structs,
+                             map('token', array(1, 2), 'list', array(3)) AS arrays, map(7, 'x') AS by_number""")
+    r = mask_sensitive_fields(df).first()
+    assert r.numbers == {"api_token": "********", "port": "5"}
+    assert r.structs == {"password": "********"}
+    assert r.arrays == {"token": "********", "list": "[3]"} and r.by_number == {7: "x"}
+
+
+def test_crosswalk_join(spark):
+    from ledgerlake.functions.scalars import correlation_id
+    from ledgerlake.operators.enrich import join_on_crosswalk
+    bill = spark.createDataFrame([("1", 5.0), ("2", 6.0), ("9", 7.0)], "account_id string, cost double") \
+        .withColumn("obs_correlation_id", correlation_id(F.col("account_id")))
+    crm = spark.createDataFrame([("A", "x"), ("B", "y")], "id string, name string").select(
+        "name", correlation_id(F.col("id")).alias("obs_correlation_id"))
+    cross = spark.createDataFrame([("1", "A"), ("2", "B"), ("3", "B")], "account_id string, crm_account_id string")
+    got = sorted((r.account_id, r.name) for r in join_on_crosswalk(bill, crm, cross).collect())
+    assert got == [("1", "x"), ("2", "y")]
+    left = sorted((r.account_id, r.name) for r in join_on_crosswalk(bill, crm, cross, "left").collect())
+    assert left == [("1", "x"), ("2", "y"), ("9", None)]
+
+
+def test_trips_over_many_ranges(spark):
     seq = [503] * 4 + [200] + [503, 429, 503, 503, 503, 503, 503] * 30
     log = spark.createDataFrame([(i, i % 2, i, s) for i, s in enumerate(seq)],
                                 "event_id long, sink_id long, ts long, status_code int")
     small = sorted(r.event_id for r in dl.failure_run_trips(log, shards=3).collect())
-    big = sorted(r.event_id for r in dl.failure_run_trips(log, shards=MAX_LITERAL_SHARDS + 5).collect())
+    big = sorted(r.event_id for r in dl.failure_run_trips(log, shards=60).collect())
     assert small == big and small
