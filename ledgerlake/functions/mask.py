@@ -5,7 +5,8 @@ by ``'********'`` when its value is truthy (non-empty text or container,
 non-zero number, true) and by NULL otherwise; a matching container is replaced
 whole. Other structs, arrays and maps are descended. The walk is compiled from
 the schema into ``withField`` / ``transform`` / ``transform_values``
-expressions, so masking is one projection.
+expressions, so masking is one projection. A map's keys are data, so any value may turn
+out sensitive: maps come back as maps of text (nested values as masked JSON).
 """
 
 from __future__ import annotations
@@ -61,11 +62,15 @@ def _walk(c: Column, dtype: T.DataType) -> Column:
         return F.transform(c, lambda x: _walk(x, dtype.elementType))
     if isinstance(dtype, T.MapType):
         vt = dtype.valueType
+        hit = lambda k: F.lower(k.cast("string")).rlike("|".join(SENSITIVE))
         if isinstance(vt, T.StringType):
-            return F.transform_values(c, lambda k, v: F.when(
-                F.lower(k).rlike("|".join(SENSITIVE)), masked(v, vt)).otherwise(v))
-        if _nested(vt):
-            return F.transform_values(c, lambda k, v: _walk(v, vt))
+            plain = lambda v: v
+        elif _nested(vt):
+            plain = lambda v: F.to_json(_walk(v, vt))
+        else:
+            plain = lambda v: v.cast("string")
+        # one value type must hold masks and values: a map of text
+        return F.transform_values(c, lambda k, v: F.when(hit(k), masked(v, vt)).otherwise(plain(v)))
     return c
 
 

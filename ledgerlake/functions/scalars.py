@@ -29,7 +29,7 @@ def python_float(c: Column) -> Column:
     text that ends in d/f or holds an x (suspect) or an underscore.
     """
     s = c.cast("string")
-    t = F.trim(s)
+    t = F.btrim(s, F.lit(" \t\n\r\x0b\x0c"))
     plain = s.try_cast("double")
     last = F.upper(F.substring(t, -1, 1))
     suspect = last.isin("D", "F") | F.lower(t).contains("x")
@@ -115,5 +115,6 @@ def date_parts(d: Column) -> dict[str, Column]:
 
 
 def money(c: Column) -> Column:
-    """Exact-cent value for order-independent sums."""
-    return c.cast("decimal(18,2)")
+    """Exact decimal value for order-independent sums, to 12 places: sub-cent costs
+    keep their value. NULL for NaN and for amounts of 1e16 or more."""
+    return c.try_cast("decimal(28,12)")

@@ -15,17 +15,20 @@ def daily_cost_by_service_account(usage: DataFrame, *, date_col: str = "usage_da
                                   cost_col: str = "cost") -> DataFrame:
     """SUM of unblended cost per DAILY bucket x SERVICE x LINKED_ACCOUNT.
 
-    The sum is exact (cents as decimal) so the result does not depend on the
-    order rows arrive in; ``cost`` is returned as the decimal's double value
-    and ``amount`` as its text (the response field is text).
+    The sum is exact (decimal with 12 places, never rounded to cents) so the
+    result does not depend on the order rows arrive in; ``cost`` is returned as the
+    decimal's double value and ``amount`` as its text (the response field is text).
+    Rows without a usable cost (unparsable, NaN, out of range) stay out of the sum
+    and are counted in ``unsummed_rows``; a sum beyond 38 digits is NULL. Neither ends the job.
     """
     agg = usage.groupBy(
         F.date_format(F.col(date_col), "yyyy-MM-dd").alias("cost_date"),
         F.col(service_col).alias("service"), F.col(account_col).alias("account_id"),
-    ).agg(F.sum(money(F.col(cost_col))).alias("_sum"), F.count(F.lit(1)).alias("usage_rows"))
+    ).agg(F.try_sum(money(F.col(cost_col))).alias("_sum"), F.count(F.lit(1)).alias("usage_rows"),
+          F.count_if(money(F.col(cost_col)).isNull()).alias("unsummed_rows"))
     return agg.select("cost_date", "service", "account_id",
                       F.col("_sum").cast("double").alias("cost"),
-                      F.col("_sum").cast("string").alias("amount"), "usage_rows")
+                      F.col("_sum").cast("string").alias("amount"), "usage_rows", "unsummed_rows")
 
 
 def ingest_summary(validated: DataFrame, by: str = "data_type") -> DataFrame:
@@ -54,11 +57,6 @@ def warning_summary(validated: DataFrame, by: str = "data_type",
             .filter(F.col("records") > 0))
 
 
-def reason_summary(validated: DataFrame, by: str = "data_type") -> DataFrame:
-    return (validated.filter(F.col(REASON).isNotNull())
-            .groupBy(by, REASON).agg(F.count(F.lit(1)).alias("records")))
-
-
 def landed_file_stats(landed: DataFrame, date_col: str = "cost_date") -> DataFrame:
     """``record-count`` and ``cost-date`` metadata per landed day file."""
     return landed.groupBy(F.col(date_col).alias("cost_date")).agg(

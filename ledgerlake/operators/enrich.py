@@ -65,6 +65,21 @@ def join_on_correlation(left: DataFrame, right: DataFrame, how: str = "inner",
     return prefixed(left, left_prefix).join(prefixed(right, right_prefix), "obs_correlation_id", how)
 
 
+def join_on_crosswalk(left: DataFrame, right: DataFrame, crosswalk: DataFrame, how: str = "inner",
+                      left_id: str = "account_id", crm_id: str = "crm_account_id") -> DataFrame:
+    """Join families whose ids come from different systems (billing accounts and CRM
+    accounts) through a crosswalk ``(account_id, crm_account_id)``: the left rows
+    take the CRM account's correlation key, then join on it. Without an
+    entry a left row matches nothing. The crosswalk has one row per pair and is only
+    broadcast behind the size check; AQE splits a hot account on the left side."""
+    pairs = crosswalk.select(F.col(left_id).alias("_left_id"), correlation_id(F.col(crm_id)).alias("_key"))
+    side = lookup_side(pairs)
+    keyed = (left.drop("obs_correlation_id").join(side, left[left_id] == side["_left_id"],
+                                                  "left" if how != "inner" else "inner")
+             .drop("_left_id").withColumnRenamed("_key", "obs_correlation_id"))
+    return join_on_correlation(keyed, right, how)
+
+
 def flatten_lineage(df: DataFrame, column: str = "obs_lineage") -> DataFrame:
     """Lineage struct -> three flat columns (for flat sinks and comparisons)."""
     return df.select(

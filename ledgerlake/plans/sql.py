@@ -52,6 +52,16 @@ FROM billing_r""",
 SELECT Id AS account_id, Name AS account_name, Industry AS industry, Type AS customer_type, Arr AS arr,
        '{TS}' AS timestamp, 'salesforce_arr' AS data_type, 'salesforce' AS source
 FROM v_accounts WHERE Type = 'Customer'""",
+    "arr_all": f"""
+SELECT Id AS account_id, Name AS account_name, Industry AS industry, Type AS customer_type, Arr AS arr,
+       '{TS}' AS timestamp, 'salesforce_arr' AS data_type, 'salesforce' AS source
+FROM v_accounts""",
+    "opp_all": f"""
+SELECT Id AS opportunity_id, Name AS opportunity_name, AccountId AS account_id, Amount AS amount,
+       StageName AS stage, strftime(CloseDate, '%Y-%m-%d') AS close_date, Type AS type,
+       Probability AS probability, IsClosed AS is_closed, IsWon AS is_won,
+       '{TS}' AS timestamp, 'salesforce_opportunity' AS data_type, 'salesforce' AS source
+FROM v_opportunities""",
     "arr_tag": f"SELECT *, {tags('account_id')}, 'v1' AS schema_version FROM arr",
     "arr_r": """
 SELECT *, CASE WHEN arr IS NULL THEN 'arr_not_number' WHEN arr < 0 THEN 'arr_negative'
@@ -76,6 +86,9 @@ SELECT * REPLACE (CASE WHEN reject_reason IS NULL THEN coalesce(amount, 0.0) ELS
           CASE WHEN NOT regexp_matches(opportunity_id, {CRM_RX}) THEN 'opportunity_id_format' END,
           CASE WHEN NOT regexp_matches(account_id, {CRM_RX}) THEN 'account_id_format' END) ELSE '' END AS warnings
 FROM opp_r""",
+    "all_full": """
+SELECT * EXCLUDE (line_item_id, usage_start, parse_failed) FROM billing_val
+UNION ALL BY NAME SELECT * FROM arr_val UNION ALL BY NAME SELECT * FROM opp_val""",
     "all_val": """
 SELECT data_type, account_id, CAST(NULL AS varchar) AS opportunity_id, reject_reason, warnings FROM billing_val
 UNION ALL SELECT data_type, account_id, NULL, reject_reason, warnings FROM arr_val
@@ -90,18 +103,18 @@ SELECT cast(usage_start AS date) AS usage_date, product_code AS service, account
        try_cast(unblended_cost AS double) AS cost FROM v_billing_raw""",
     "daily": """
 SELECT strftime(usage_date, '%Y-%m-%d') AS cost_date, service, account_id,
-       cast(sum(cast(cost AS decimal(18,2))) AS double) AS cost,
-       cast(sum(cast(cost AS decimal(18,2))) AS varchar) AS amount, count(*) AS usage_rows
-FROM usage GROUP BY 1, 2, 3""",
+       cast(cast(sum(exact) AS varchar) AS double) AS cost, cast(sum(exact) AS varchar) AS amount,
+       count(*) AS usage_rows, count(*) - count(exact) AS unsummed_rows
+FROM (SELECT *, try_cast(cast(cost AS varchar) AS decimal(28,12)) AS exact FROM usage) GROUP BY 1, 2, 3""",
 }
 
 # Dependencies of each CTE (adapter views are prefixed v_).
 DEPS: dict[str, list[str]] = {
     "b_parse": ["v_billing_raw"], "billing": ["b_parse"], "billing_cat": ["billing", "v_account_map"],
     "billing_tag": ["billing_cat"], "billing_r": ["billing_tag"], "billing_val": ["billing_r"],
-    "arr": ["v_accounts"], "arr_tag": ["arr"], "arr_r": ["arr_tag"], "arr_val": ["arr_r"],
+    "arr_all": ["v_accounts"], "opp_all": ["v_opportunities"], "arr": ["v_accounts"], "arr_tag": ["arr"], "arr_r": ["arr_tag"], "arr_val": ["arr_r"],
     "opp": ["v_opportunities"], "opp_tag": ["opp"], "opp_r": ["opp_tag"], "opp_val": ["opp_r"],
-    "all_val": ["billing_val", "arr_val", "opp_val"], "dlog": ["v_delivery_log"],
+    "all_full": ["billing_val", "arr_val", "opp_val"], "all_val": ["billing_val", "arr_val", "opp_val"], "dlog": ["v_delivery_log"],
     "usage": ["v_billing_raw"], "daily": ["usage"],
 }
 
