@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.aggregate import daily_cost_by_service_account
@@ -17,12 +17,14 @@ from ledgerlake.operators.enrich import map_cost_category, tag_records
 from ledgerlake.operators.ordering import union_families
 from ledgerlake.operators.project import (derive_cost_keys, flatten_daily_costs, project_accounts,
                                           project_billing, project_opportunities)
-from ledgerlake.operators.validate import split_valid_quarantine, validate_records
+from ledgerlake.operators.validate import REASON, WARNINGS, split_valid_quarantine, validate_records
 from ledgerlake.params import DEFAULT_CONTEXT, RunContext
-from ledgerlake.sinks.files import write_failed_records, write_partitioned_csv
-from ledgerlake.sources.billing import split_malformed
+from ledgerlake.session import materialized
+from ledgerlake.sinks.files import write_checkpoint, write_failed_records, write_partitioned_csv
+from ledgerlake.sources.billing import MALFORMED, split_malformed
+from ledgerlake.sources.checkpoint import scan_checkpoint
 from ledgerlake.sources.costs import scan_daily_costs, yesterday_window
-from ledgerlake.sources.crm import scan_accounts, scan_opportunities
+from ledgerlake.sources.crm import keyset_page, scan_accounts, scan_opportunities
 
 
 def transform_billing(raw: DataFrame, account_map: DataFrame,
@@ -35,18 +37,25 @@ def ingest_billing(raw: DataFrame, account_map: DataFrame, ctx: RunContext = DEF
                    quarantine_path: str | None = None) -> DataFrame:
     """scan rows -> (malformed split) -> transform -> tag -> validate.
 
-    Returns every well-formed row with ``reject_reason``/``warnings``; when a
-    quarantine path is given, rejected and malformed rows are written there.
+    Returns every row of ``raw`` with ``reject_reason``/``warnings``; a malformed one
+    has no fields but its text (``raw_line``) and the reason ``malformed_row``. When a
+    quarantine path is given, the rows are materialized once, the rejected and malformed ones
+    are written there whole, and the result reads the same rows.
     """
     good, malformed = split_malformed(raw)
-    validated = transform_billing(good.drop("_source_file") if "_source_file" in good.columns else good,
-                                  account_map, ctx).transform(lambda d: tag_records(d, ctx)).transform(
+    validated = transform_billing(good, account_map, ctx).transform(lambda d: tag_records(d, ctx)).transform(
         validate_records)
+    if MALFORMED in malformed.columns:
+        lines = malformed.select(F.col(MALFORMED).alias("raw_line"), REASON,
+                                 F.array().cast("array<string>").alias(WARNINGS))
+        validated = validated.withColumn("raw_line", F.lit(None).cast("string")).unionByName(
+            lines, allowMissingColumns=True)
+    else:
+        validated = validated.withColumn("raw_line", F.lit(None).cast("string"))
     if quarantine_path:
+        validated = materialized(validated, "ingested")
         _, rejected = split_valid_quarantine(validated)
-        write_failed_records(rejected, quarantine_path, ctx.as_of)
-        if malformed.limit(1).count():
-            write_failed_records(malformed, quarantine_path, ctx.as_of)
+        write_failed_records(rejected, quarantine_path, ctx)
     return validated
 
 
@@ -90,7 +99,16 @@ def daily_costs_from_usage(raw: DataFrame) -> DataFrame:
     return daily_cost_by_service_account(usage_costs(raw))
 
 
-def write_quarantine(spark: SparkSession, validated: DataFrame, path: str,
-                     ctx: RunContext = DEFAULT_CONTEXT) -> str:
-    _, rejected = split_valid_quarantine(validated)
-    return write_failed_records(rejected, path, ctx.as_of)
+def resume_extract(src: DataFrame, prefix: str, page_size: int, ctx: RunContext = DEFAULT_CONTEXT,
+                   key: str = "Id", query: str = "extract") -> DataFrame:
+    """The next page of a keyset extract: newest checkpoint below ``prefix`` -> rows after
+    its key -> page; the page's last key is saved as the next checkpoint. A page
+    without rows saves nothing. Several pages of one run need distinct ``ctx.ingest_ts``."""
+    spark = src.sparkSession
+    saved = scan_checkpoint(spark, prefix)
+    last, done = (None, 0) if saved is None else saved.select("last_id", "processed_count").first()
+    page = keyset_page(src, page_size, last, key)
+    found = page.agg(F.max(key).alias("last"), F.count(F.lit(1)).alias("n")).first()
+    if found["n"]:
+        write_checkpoint(spark, prefix, query, found["last"], done + found["n"], ctx.ingest_ts)
+    return page

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.scalars import correlation_id, date_parts, iso_timestamp
+from ledgerlake.functions.scalars import correlation_id, date_parts, iso_timestamp, money
 from ledgerlake.operators import aggregate as agg
 from ledgerlake.operators import delivery as dl
 from ledgerlake.operators import validate as val
@@ -101,13 +101,14 @@ TAG_OUT_SQL = ", ".join(TAG_OUT)
 
 # ---------------------------------------------------------------- flagship
 @register("billing_cost_by_category", Q.compose("""
-SELECT cost_category, cast(sum(cast(cost AS decimal(18,2))) AS double) AS total_cost, count(*) AS records,
+SELECT cost_category, cast(cast(sum(try_cast(cast(cost AS varchar) AS decimal(28,12))) AS varchar) AS double) AS total_cost,
+       count(*) AS records,
        count(*) FILTER (WHERE reject_reason IS NULL) AS valid_records
 FROM billing_val GROUP BY cost_category""", "billing_val"))
 def q_billing_cost_by_category(spark, sf):
     recs = billing_records(spark, sf)
     return recs.groupBy("cost_category").agg(
-        F.sum(F.col("cost").cast("decimal(18,2)")).cast("double").alias("total_cost"),
+        F.try_sum(money(F.col("cost"))).cast("double").alias("total_cost"),
         F.count(F.lit(1)).alias("records"),
         F.count_if(F.col(val.REASON).isNull()).alias("valid_records"))
 
@@ -137,22 +138,22 @@ def q_default_if_absent(spark, sf):
 
 
 @register("project_accounts", Q.compose("""
-SELECT account_id, account_name, industry, customer_type, arr, timestamp, data_type, source FROM arr""", "arr"))
+SELECT account_id, account_name, industry, customer_type, arr, timestamp, data_type, source FROM arr_all""", "arr_all"))
 def q_project_accounts(spark, sf):
-    return project_accounts(crm.scan_accounts(accounts_src(spark, sf)), CTX)
+    return project_accounts(accounts_src(spark, sf), CTX)
 
 
 @register("project_opportunities", Q.compose("""
 SELECT opportunity_id, opportunity_name, account_id, amount, stage, close_date, type, probability,
-       is_closed, is_won, timestamp, data_type, source FROM opp""", "opp"))
+       is_closed, is_won, timestamp, data_type, source FROM opp_all""", "opp_all"))
 def q_project_opportunities(spark, sf):
-    return project_opportunities(crm.scan_opportunities(opportunities_src(spark, sf), CTX.as_of), CTX)
+    return project_opportunities(opportunities_src(spark, sf), CTX)
 
 
 @register("select_registered_fields", Q.compose("""
-SELECT account_id, account_name, arr, timestamp, data_type, source, industry, customer_type FROM arr""", "arr"))
+SELECT account_id, account_name, arr, timestamp, data_type, source, industry, customer_type FROM arr_all""", "arr_all"))
 def q_select_registered_fields(spark, sf):
-    recs = project_accounts(crm.scan_accounts(accounts_src(spark, sf)), CTX)
+    recs = project_accounts(accounts_src(spark, sf), CTX)
     return select_registered_fields(recs, "salesforce_arr", "v2")
 
 
@@ -281,10 +282,10 @@ def q_correlation_id(spark, sf):
 
 
 @register("data_version", Q.compose(f"""
-SELECT account_id, md5(timestamp || '-' || source) AS obs_data_version FROM arr""", "arr"))
+SELECT account_id, md5(timestamp || '-' || source) AS obs_data_version FROM arr_all""", "arr_all"))
 def q_data_version(spark, sf):
     from ledgerlake.functions.scalars import data_version
-    recs = project_accounts(crm.scan_accounts(accounts_src(spark, sf)), CTX)
+    recs = project_accounts(accounts_src(spark, sf), CTX)
     return recs.select("account_id", data_version(F.col("timestamp"), F.col("source")).alias("obs_data_version"))
 
 
@@ -350,18 +351,18 @@ def q_warning_summary(spark, sf):
 
 @register("check_arr", Q.compose("""
 SELECT account_id, arr, CASE WHEN arr IS NULL THEN 'arr_not_number' WHEN arr < 0 THEN 'arr_negative' END AS arr_check
-FROM arr""", "arr"))
+FROM arr_all""", "arr_all"))
 def q_check_arr(spark, sf):
-    recs = project_accounts(crm.scan_accounts(accounts_src(spark, sf)), CTX)
+    recs = project_accounts(accounts_src(spark, sf), CTX)
     return recs.select("account_id", "arr", val.check_arr(F.col("arr")).alias("arr_check"))
 
 
 @register("check_amount", Q.compose("""
 SELECT opportunity_id, CASE WHEN amount < 0 THEN 'amount_negative' END AS amount_check,
        CASE WHEN amount < 0 THEN amount ELSE coalesce(amount, 0.0) END AS amount
-FROM opp""", "opp"))
+FROM opp_all""", "opp_all"))
 def q_check_amount(spark, sf):
-    recs = project_opportunities(crm.scan_opportunities(opportunities_src(spark, sf), CTX.as_of), CTX)
+    recs = project_opportunities(opportunities_src(spark, sf), CTX)
     text = F.col("amount").cast("string")
     chk = val.check_amount(text)
     return recs.select("opportunity_id", chk.alias("amount_check"),
@@ -408,17 +409,18 @@ def q_flag_negative_cost(spark, sf):
 
 
 @register("fill_schema_version", Q.compose("""
-SELECT account_id, 'v2' AS schema_version, reject_reason FROM arr_r""", "arr_r"))
+SELECT account_id, 'v2' AS schema_version, CASE WHEN arr IS NULL THEN 'arr_not_number' WHEN arr < 0 THEN 'arr_negative'
+       WHEN account_id IS NULL THEN 'account_id_null' END AS reject_reason FROM arr_all""", "arr_all"))
 def q_fill_schema_version(spark, sf):
     """Untagged ARR records carry no version: the latest registered one (v2) is stamped."""
-    recs = project_accounts(crm.scan_accounts(accounts_src(spark, sf)), CTX).transform(val.validate_records)
+    recs = project_accounts(accounts_src(spark, sf), CTX).transform(val.validate_records)
     return recs.select("account_id", "schema_version", val.REASON)
 
 
 @register("stamp_schema_version", Q.compose("""
-SELECT account_id, schema_version FROM arr_tag""", "arr_tag"))
+SELECT account_id, 'v1' AS schema_version FROM arr_all""", "arr_all"))
 def q_stamp_schema_version(spark, sf):
-    recs = tag_records(project_accounts(crm.scan_accounts(accounts_src(spark, sf)), CTX), CTX, stamp_version=True)
+    recs = tag_records(project_accounts(accounts_src(spark, sf), CTX), CTX, stamp_version=True)
     return recs.select("account_id", "schema_version")
 
 
@@ -550,9 +552,9 @@ def q_sync_crm(spark, sf):
                       val.REASON, val.WARNINGS)
 
 
-@register("lineage_struct", Q.compose(f"SELECT account_id, {Q.LINEAGE} FROM arr", "arr"))
+@register("lineage_struct", Q.compose(f"SELECT account_id, {Q.LINEAGE} FROM arr_all", "arr_all"))
 def q_lineage_struct(spark, sf):
-    recs = tag_records(project_accounts(crm.scan_accounts(accounts_src(spark, sf)), CTX), CTX)
+    recs = tag_records(project_accounts(accounts_src(spark, sf), CTX), CTX)
     return flatten_lineage(recs.select("account_id", "obs_lineage"))
 
 
@@ -567,3 +569,68 @@ def q_scan_account_map_json(spark, sf):
     text = F.when(F.col("business_unit").isNull(), F.lit("{unparsable")).otherwise(
         F.to_json(F.create_map(F.col("account_id"), F.col("business_unit"))))
     return scan_account_map_json(items.select(text.alias("value")))
+
+
+# ---------------------------------------------------------------- registry, fallbacks, resume, crosswalk
+@register("latest_schema_version", Q.compose("""
+SELECT data_type, max('v' || cast(1 + length(account_id) % 12 AS varchar)) AS latest_version, count(*) AS records
+FROM all_val WHERE account_id IS NOT NULL GROUP BY data_type""", "all_val"))
+def q_latest_schema_version(spark, sf):
+    """Latest version per family of a registry table with one row per record (versions
+    v1 to v12 from the id's length): the text maximum, so v9 is later than v12."""
+    recs = all_records(spark, sf).where("account_id IS NOT NULL")
+    rows = recs.select("data_type", F.concat(F.lit("v"), (F.length("account_id") % 12 + 1).cast("string")).alias("version"))
+    counts = rows.groupBy("data_type").agg(F.count(F.lit(1)).alias("records"))
+    return agg.latest_schema_version(rows).join(counts, "data_type")
+
+
+@register("account_map_default", Q.compose("""
+SELECT b.line_item_id, CASE b.account_id WHEN '123456789012' THEN 'production' WHEN '234567890123' THEN 'staging'
+       WHEN '345678901234' THEN 'development' ELSE 'unallocated' END AS cost_category FROM billing b""", "billing"))
+def q_account_map_default(spark, sf):
+    """Billing records against an account map that turned out empty: the default applies."""
+    from ledgerlake.sources.account_map import account_map_or_default
+    empty = scan_account_map_items(adapter(spark, sf, "v_account_items").where("business_unit = 'no such unit'"))
+    recs = project_billing(billing_raw(spark, sf), CTX, keep=["identity/LineItemId"])
+    return map_cost_category(recs, account_map_or_default(spark, empty)).select(
+        F.col("`identity/LineItemId`").alias("line_item_id"), "cost_category")
+
+
+@register("resume_extract", Q.compose(f"""
+SELECT *, cast((rn - 1) // {PAGE} + 1 AS integer) AS page FROM (
+  SELECT Id, Name, AccountId, row_number() OVER (ORDER BY Id) AS rn FROM v_opportunities) WHERE rn <= 3 * {PAGE}""",
+                                    "v_opportunities"))
+def q_resume_extract(spark, sf):
+    """Three runs of an extract that saves a checkpoint after each page and resumes from it."""
+    import dataclasses
+    import datetime
+    from ledgerlake.plans.pipelines import resume_extract
+    from ledgerlake.session import scratch_path
+    prefix, src = scratch_path(spark, "resume"), opportunities_src(spark, sf).select("Id", "Name", "AccountId")
+    pages = []
+    for k in range(3):
+        ctx = dataclasses.replace(CTX, ingest_ts=CTX.ingest_ts + datetime.timedelta(minutes=k))
+        pages.append(resume_extract(src, prefix, PAGE, ctx).withColumn("page", F.lit(k + 1)))
+    out = pages[0].unionByName(pages[1]).unionByName(pages[2])
+    from pyspark.sql import Window
+    return out.withColumn("rn", F.row_number().over(Window.orderBy("Id")).cast("bigint"))
+
+
+@register("join_on_crosswalk", Q.compose("""
+SELECT b.line_item_id, b.account_id, a.Name AS account_name, a.Arr AS arr, sha256(a.Id) AS obs_correlation_id
+FROM billing b
+JOIN (SELECT DISTINCT s_suppkey, lpad(cast(s_suppkey AS varchar), 12, '0') AS account_id,
+             'ACC' || lpad(cast(s_suppkey AS varchar), 15, '0') AS crm_account_id FROM supplier) x
+  ON x.account_id = b.account_id
+JOIN v_accounts a ON a.Id = x.crm_account_id""", "billing", "v_accounts"))
+def q_join_on_crosswalk(spark, sf):
+    """Billing records joined to CRM accounts through a crosswalk of their ids."""
+    from ledgerlake.operators.enrich import join_on_crosswalk
+    from ledgerlake.sources.adapters import table
+    number = F.col("s_suppkey").cast("string")
+    crosswalk = table(spark, sf, "supplier").select(F.lpad(number, 12, "0").alias("account_id"), F.concat(
+        F.lit("ACC"), F.lpad(number, 15, "0")).alias("crm_account_id")).distinct()
+    bill = tag_records(project_billing(billing_raw(spark, sf), CTX, keep=["identity/LineItemId"]), CTX).withColumnRenamed(
+        "identity/LineItemId", "line_item_id").select("line_item_id", "account_id", "obs_correlation_id")
+    accs = tag_records(project_accounts(accounts_src(spark, sf), CTX), CTX).select("obs_correlation_id", "account_name", "arr")
+    return join_on_crosswalk(bill, accs, crosswalk).select("line_item_id", "account_id", "account_name", "arr", "obs_correlation_id")

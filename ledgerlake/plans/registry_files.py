@@ -8,6 +8,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.functions.mask import mask_sensitive_fields
 from ledgerlake.operators import aggregate as agg
@@ -62,19 +63,34 @@ def q_convert_parquet_to_csv(spark, sf):
     return _raw_out(good)
 
 
-@register("scan_by_format", RAW_SQL)
+# lines with an unquoted comma, as the landed exports hold them
+MALFORMED_EXTRA = {"broken": (f"""
+SELECT concat_ws(',', {', '.join(f"{k} || ',x'" if k == "resource_id" else k if k != "usage_start" else "cast(usage_start AS varchar)"
+                                 for k in BILLING_RAW_NAMES)}) AS raw_line
+FROM v_billing_raw WHERE line_item_id LIKE '%00-1'""", ["v_billing_raw"])}
+
+
+@register("scan_by_format", Q.compose(f"""
+SELECT {BILLING_RAW_DUCK}, NULL::varchar AS raw_line FROM v_billing_raw
+UNION ALL BY NAME SELECT raw_line FROM broken""", "v_billing_raw", "broken", extra=MALFORMED_EXTRA))
 def q_scan_by_format(spark, sf):
-    return _raw_out(bsrc.scan_by_format(spark, landing.land_billing_mixed(spark, sf)))
+    """Every row of a mixed folder, the malformed ones as their raw text."""
+    raw = bsrc.scan_by_format(spark, landing.land_billing_mixed(spark, sf))
+    return raw.select(*[F.col(f"`{c}`") for c in RAW_COLS], F.col(bsrc.MALFORMED).alias("raw_line"))
 
 
 INGEST_OUT_SQL = f"{BILLING_OUT_SQL}, cost_category, {TAG_OUT_SQL}, reject_reason, warnings"
 
 
-@register("ingest_billing", Q.compose(f"SELECT {INGEST_OUT_SQL} FROM billing_val", "billing_val"))
+@register("ingest_billing", Q.compose(f"""
+SELECT {INGEST_OUT_SQL}, NULL::varchar AS raw_line FROM billing_val
+UNION ALL BY NAME SELECT raw_line, 'malformed_row' AS reject_reason, '' AS warnings FROM broken""",
+                                      "billing_val", "broken", extra=MALFORMED_EXTRA))
 def q_ingest_billing(spark, sf):
+    """The whole job with its quarantine: valid, rejected and malformed rows."""
     raw = bsrc.scan_billing_csv(spark, landing.land_billing_csv(spark, sf))
-    out = ingest_billing(raw, account_map(spark, sf), CTX)
-    return flat(out).select(*BILLING_OUT, "cost_category", *TAG_OUT, val.REASON, val.WARNINGS)
+    out = ingest_billing(raw, account_map(spark, sf), CTX, quarantine_path=scratch_path(spark, "ingest-quarantine"))
+    return flat(out).select(*BILLING_OUT, "cost_category", *TAG_OUT, val.REASON, val.WARNINGS, "raw_line")
 
 
 # ---------------------------------------------------------------- cost responses and landing
@@ -247,59 +263,133 @@ def q_envelope_work_batches(spark, sf):
                       F.col("record_count").cast("bigint").alias("record_count"))
 
 
-@register("envelope_delivery_batches", Q.compose("""
-SELECT data_type, cast((rn - 1) // 1000 + 1 AS bigint) AS batch_number, cast(ceil(n / 1000.0) AS bigint) AS total_batches,
-       count(*) AS record_count
-FROM (SELECT data_type, row_number() OVER (PARTITION BY data_type) AS rn, count(*) OVER (PARTITION BY data_type) AS n
-      FROM all_val WHERE reject_reason IS NULL) GROUP BY 1, 2, 3""", "all_val"))
+DELIVERED_TEXT = ["account_id", "opportunity_id", "line_item_id", "service", "stage", "obs_correlation_id",
+                  "schema_version"]
+# Line item ids repeat in the given tables: more fields make the order total.
+ITEM_ORDER = ["line_item_id", "resource_id", "account_id", "billing_period", "cost", "usage_amount"]
+NUMBERED = {"numbered": ("""
+SELECT *, cast((rn - 1) // 1000 + 1 AS bigint) AS batch_number, cast(ceil(n / 1000.0) AS bigint) AS total_batches,
+       cast((rn - 1) % 1000 AS integer) AS record_index
+FROM (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY line_item_id, resource_id, account_id, billing_period,
+                                                               cost, usage_amount) AS rn, count(*) OVER () AS n
+                     FROM billing_val WHERE reject_reason IS NULL)
+      UNION ALL BY NAME
+      SELECT * FROM (SELECT *, row_number() OVER (ORDER BY account_id) AS rn, count(*) OVER () AS n
+                     FROM arr_val WHERE reject_reason IS NULL)
+      UNION ALL BY NAME
+      SELECT * FROM (SELECT *, row_number() OVER (ORDER BY opportunity_id) AS rn, count(*) OVER () AS n
+                     FROM opp_val WHERE reject_reason IS NULL))""", ["billing_val", "arr_val", "opp_val"])}
+
+
+def identified_billing(spark, sf) -> DataFrame:
+    """Validated billing records that keep their line item id: a unique order."""
+    from ledgerlake.operators.enrich import map_cost_category
+    from ledgerlake.operators.project import project_billing
+    recs = project_billing(billing_raw(spark, sf), CTX, keep=["identity/LineItemId"]).withColumnRenamed(
+        "identity/LineItemId", "line_item_id")
+    return (map_cost_category(recs, account_map(spark, sf)).transform(lambda d: tag_records(d, CTX))
+            .transform(val.validate_records))
+
+
+@register("envelope_delivery_batches", Q.compose(f"""
+SELECT data_type, batch_number, total_batches, '{CTX.customer_id}' AS customer_id, record_index,
+       {', '.join(DELIVERED_TEXT)}, cost, arr, amount FROM numbered""", "numbered", extra=NUMBERED))
 def q_envelope_delivery_batches(spark, sf):
-    """Collector POST bodies of <= 1000 valid records, one flush per family."""
+    """Collector POST bodies of <= 1000 valid records, one flush per family, opened again."""
     from ledgerlake.plans.registry import arr_records, opportunity_records
     out = None
-    for fam, records, order in (("aws_cur", billing_records, BILL_ORDER),
+    for fam, records, order in (("aws_cur", identified_billing, ITEM_ORDER),
                                 ("salesforce_arr", arr_records, ["account_id"]),
                                 ("salesforce_opportunity", opportunity_records, ["opportunity_id"])):
         valid, _ = val.split_valid_quarantine(records(spark, sf))
         env = envelope_delivery_batches(valid.drop(val.WARNINGS), order, CTX.customer_id)
         env = env.withColumn("data_type", F.lit(fam))
         out = env if out is None else out.unionByName(env)
-    return out.select("data_type", "batch_number", "total_batches",
-                      F.col("record_count").cast("bigint").alias("record_count"))
-
-
-@register("envelope_dead_letters", Q.compose("""
-SELECT cast((rn - 1) // 10 + 1 AS bigint) AS batch_number, count(*) AS record_count
-FROM (SELECT row_number() OVER () AS rn FROM all_val WHERE reject_reason IS NOT NULL) GROUP BY 1""", "all_val"))
+    # the bodies themselves, record by record: place, identity and a digest of all fields
+    body = F.from_json("value", "customer_id string, data array<map<string,string>>")
+    rec = out.select("data_type", "batch_number", "total_batches", body["customer_id"].alias("customer_id"),
+                     F.posexplode(body["data"]).alias("record_index", "r"))
+    return rec.select("data_type", "batch_number", "total_batches", "customer_id", "record_index",
+                      *[F.col("r").getItem(c).alias(c) for c in DELIVERED_TEXT],
+                      *[F.col("r").getItem(c).cast("double").alias(c) for c in ("cost", "arr", "amount")])
+
+
+OUTCOMES = {**NUMBERED, "sent": ("""
+SELECT n.*, coalesce(o.outcome, 'pending') AS outcome FROM numbered n LEFT JOIN (
+  SELECT batch_no, CASE WHEN bool_or(delivery_class = 'delivered') THEN 'delivered'
+            WHEN bool_or(delivery_class = 'non_retryable') OR count(*) FILTER (WHERE delivery_class = 'retryable') >= 3
+            THEN 'dead_letter' ELSE 'pending' END AS outcome
+  FROM dlog GROUP BY batch_no) o ON o.batch_no = n.batch_number""", ["numbered", "dlog"])}
+
+
+def sent_records(spark, sf) -> DataFrame:
+    """Valid records of all families in their delivery batches, with the outcome that
+    the delivery log gives each batch."""
+    from ledgerlake.operators.delivery import deliver_batches, split_dead_letters
+    from ledgerlake.operators.ordering import assign_batches, union_families
+    from ledgerlake.plans.registry import arr_records, delivery_log, opportunity_records
+    families = [assign_batches(val.split_valid_quarantine(flat(f(spark, sf)))[0], 1000, order)
+                for f, order in ((identified_billing, ITEM_ORDER), (arr_records, ["account_id"]),
+                                 (opportunity_records, ["opportunity_id"]))]
+    records = union_families(*families).withColumnRenamed("batch_number", "batch_no")
+    return deliver_batches(records, split_dead_letters(delivery_log(spark, sf)))
+
+
+@register("delivery_summary", Q.compose("""
+SELECT data_type, count(*) AS total_records, count(*) FILTER (WHERE outcome = 'delivered') AS delivered,
+       count(*) FILTER (WHERE outcome = 'dead_letter') AS dead_lettered,
+       count(*) FILTER (WHERE outcome = 'pending') AS pending FROM sent GROUP BY data_type""", "sent", extra=OUTCOMES))
+def q_delivery_summary(spark, sf):
+    """Delivered and dead-lettered counts per family."""
+    from ledgerlake.operators.delivery import delivery_summary
+    return delivery_summary(sent_records(spark, sf))
+
+
+DEAD_TEXT = ["data_type", "account_id", "opportunity_id", "line_item_id", "service", "resource_id", "usage_type",
+             "billing_period", "cost_category", "stage", "source", "schema_version", "obs_correlation_id",
+             "obs_data_version", "lineage_data_owner"]
+
+
+@register("envelope_dead_letters", Q.compose(f"""
+SELECT cast((dn - 1) // 10 + 1 AS bigint) AS batch_number, cast((dn - 1) % 10 AS integer) AS record_index,
+       '{CTX.customer_id}' AS customer_id, {', '.join(DEAD_TEXT)}, cost, usage_amount, arr, amount
+FROM (SELECT *, row_number() OVER (ORDER BY data_type NULLS FIRST, line_item_id NULLS FIRST, resource_id NULLS FIRST,
+                                            account_id NULLS FIRST, billing_period NULLS FIRST, cost NULLS FIRST,
+                                            usage_amount NULLS FIRST, opportunity_id NULLS FIRST) AS dn
+      FROM sent WHERE outcome = 'dead_letter')""", "sent", extra=OUTCOMES))
 def q_envelope_dead_letters(spark, sf):
-    """Undelivered (quarantined) records in dead-letter chunks of 10."""
-    _, quarantine = val.split_valid_quarantine(all_records(spark, sf))
-    q = quarantine.select("data_type", "account_id", "opportunity_id", val.REASON)
-    env = envelope_dead_letters(q, ["data_type", "account_id", "opportunity_id"], CTX.ingest_iso,
+    """Records of undelivered batches, whole, in dead-letter chunks of 10, opened again."""
+    dead = sent_records(spark, sf).where("outcome = 'dead_letter'").drop("outcome", "batch_no", "total_batches")
+    env = envelope_dead_letters(dead, ["data_type", *ITEM_ORDER, "opportunity_id"], CTX.ingest_iso,
                                 CTX.customer_id, CTX.ingest_iso)
-    return env.select("batch_number", F.col("record_count").cast("bigint").alias("record_count"))
+    body = F.from_json("value", "customer_id string, records array<map<string,string>>")
+    rec = env.select("batch_number", body["customer_id"].alias("customer_id"),
+                     F.posexplode(body["records"]).alias("record_index", "r"))
+    return rec.select("batch_number", "record_index", "customer_id", *[F.col("r").getItem(c).alias(c) for c in DEAD_TEXT],
+                      *[F.col("r").getItem(c).cast("double").alias(c) for c in ("cost", "usage_amount", "arr", "amount")])
 
 
 # ---------------------------------------------------------------- failed records
 @register("write_failed_records", Q.compose(f"""
-SELECT data_type, account_id, opportunity_id, reject_reason, '{CTX.as_of_iso}' AS failed_date
-FROM all_val WHERE reject_reason IS NOT NULL""", "all_val"))
+SELECT *, '{CTX.as_of_iso}' AS failed_date FROM all_full WHERE reject_reason IS NOT NULL""", "all_full"))
 def q_write_failed_records(spark, sf):
-    _, quarantine = val.split_valid_quarantine(all_records(spark, sf))
+    """Rejected records with every column, written twice: the second run replaces the first."""
+    _, quarantine = val.split_valid_quarantine(flat(all_records(spark, sf)))
     path = scratch_path(spark, "failed-records")
-    write_failed_records(quarantine.select("data_type", "account_id", "opportunity_id", val.REASON), path,
-                         CTX.as_of)
-    schema = "data_type string, account_id string, opportunity_id string, reject_reason string, failed_date string"
-    return spark.read.schema(schema).json(path)
+    write_failed_records(quarantine, path, CTX)
+    write_failed_records(quarantine, path, CTX)
+    schema = T.StructType([*quarantine.schema.fields, T.StructField("failed_date", T.StringType())])
+    return spark.read.schema(schema).option("basePath", path).json(path).drop("run")
 
 
 # ---------------------------------------------------------------- checks on raw JSON records
 @register("check_required_fields", Q.compose("""
 SELECT account_id, CASE WHEN arr IS NULL THEN 'missing:arr' WHEN arr < 0 THEN 'arr_negative' END AS reject_reason
-FROM arr""", "arr"))
+FROM arr_all""", "arr_all"))
 def q_check_required_fields(spark, sf):
     """ARR records serialised the way a JSON writer that drops NULLs does: a NULL
     ``arr`` becomes an absent key, caught by the registry's required fields."""
-    recs = tagged_arr(spark, sf)
+    recs = tag_records(project_accounts(accounts_src(spark, sf), CTX), CTX, stamp_version=True)
     as_map = recs.select(F.from_json(F.to_json(F.struct(*recs.columns)), "map<string,string>").alias("record"))
     checked = val.validate_raw_records(as_map)
     return checked.select(record_field("account_id"), val.REASON)
@@ -354,7 +444,9 @@ SELECT c_custkey, c_name AS username,
        CASE WHEN c_nationkey <> 0 THEN '********' END AS api_token,
        c_mktsegment AS settings_region,
        CASE WHEN c_acctbal <> 0 THEN '********' END AS settings_secret_key,
-       CASE WHEN c_name <> '' THEN '********' END AS tag_token, c_mktsegment AS tag_label
+       CASE WHEN c_name <> '' THEN '********' END AS tag_token, c_mktsegment AS tag_label,
+       CASE WHEN c_custkey <> 0 THEN '********' END AS map_password, cast(c_nationkey AS varchar) AS map_port,
+       '********' AS map_secret
 FROM customer""")
 def q_mask_sensitive_fields(spark, sf):
     """Configuration-like nested records built from customers, masked by field name."""
@@ -364,13 +456,17 @@ def q_mask_sensitive_fields(spark, sf):
         F.when(F.col("c_acctbal") > 5000, F.concat("c_name", F.lit("-pw"))).otherwise(F.lit("")).alias("Password"),
         F.col("c_nationkey").alias("api_token"),
         F.struct(F.col("c_mktsegment").alias("region"), F.col("c_acctbal").alias("secret_key")).alias("settings"),
-        F.array(F.struct(F.col("c_name").alias("token"), F.col("c_mktsegment").alias("label"))).alias("tags"))
+        F.array(F.struct(F.col("c_name").alias("token"), F.col("c_mktsegment").alias("label"))).alias("tags"),
+        F.create_map(F.lit("db_password"), F.col("c_custkey"), F.lit("port"), F.col("c_nationkey")).alias("numbers"),
+        F.create_map(F.lit("Secret"), F.struct(F.col("c_name").alias("v"))).alias("structs"))
     m = mask_sensitive_fields(rec)
     first = F.get("tags", 0)
     return m.select("c_custkey", "username", "Password", "api_token",
                     F.col("settings.region").alias("settings_region"),
                     F.col("settings.secret_key").alias("settings_secret_key"),
-                    first["token"].alias("tag_token"), first["label"].alias("tag_label"))
+                    first["token"].alias("tag_token"), first["label"].alias("tag_label"),
+                    m["numbers"]["db_password"].alias("map_password"), m["numbers"]["port"].alias("map_port"),
+                    m["structs"]["Secret"].alias("map_secret"))
 
 
 # ---------------------------------------------------------------- streaming
@@ -381,7 +477,7 @@ def q_stream_billing_files(spark, sf):
     """Each landed export file is picked up once by a file stream and ingested."""
     landing_dir = landing.land_billing_csv(spark, sf)
     sink, quarantine, ckpt = (scratch_path(spark, n) for n in ("stream-sink", "stream-quarantine", "stream-ckpt"))
-    stream_billing_files(spark, landing_dir, RAW_COLS, account_map(spark, sf), sink, quarantine, ckpt, CTX)
+    stream_billing_files(spark, landing_dir, account_map(spark, sf), sink, quarantine, ckpt, CTX)
     return flat(spark.read.parquet(sink)).select(*BILLING_OUT, "cost_category", *TAG_OUT, val.WARNINGS)
 
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 S = T.StringType()
-D = T.DoubleType()
-B = T.BooleanType()
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must equal the reference for identical validation results)
@@ -74,38 +72,8 @@ def registered_fields(data_type: str, version: str) -> list[str]:
     return list(entry["required_fields"]) + list(entry["optional_fields"])
 
 
-# Trailer added by tagging, shared by every family.
-LINEAGE = T.StructType([
-    T.StructField("environment", S), T.StructField("ingest_pipeline_version", S),
-    T.StructField("data_owner", S),
-])
-
-TRAILER = [
-    T.StructField("timestamp", S), T.StructField("data_type", S), T.StructField("source", S),
-    T.StructField("schema_version", S), T.StructField("obs_correlation_id", S),
-    T.StructField("obs_ingest_timestamp", S), T.StructField("obs_data_version", S),
-    T.StructField("obs_lineage", LINEAGE),
-]
-
-ARR_COLUMNS = T.StructType([
-    T.StructField("account_id", S), T.StructField("account_name", S), T.StructField("industry", S),
-    T.StructField("customer_type", S), T.StructField("arr", D),
-])
-
-OPPORTUNITY_COLUMNS = T.StructType([
-    T.StructField("opportunity_id", S), T.StructField("opportunity_name", S),
-    T.StructField("account_id", S), T.StructField("amount", D), T.StructField("stage", S),
-    T.StructField("close_date", S), T.StructField("type", S), T.StructField("probability", D),
-    T.StructField("is_closed", B), T.StructField("is_won", B),
-])
-
-BILLING_COLUMNS = T.StructType([
-    T.StructField("account_id", S), T.StructField("service", S), T.StructField("resource_id", S),
-    T.StructField("cost", D), T.StructField("usage_amount", D), T.StructField("usage_type", S),
-    T.StructField("billing_period", S), T.StructField("cost_category", S),
-])
-
-# Raw billing layouts (all strings, slash-named).
+# FIXED VALUES: raw and landed billing column lists and wire formats below must match
+# the files and messages that are exchanged. Raw billing layouts (all strings, slash-named).
 FULL_BILLING_LAYOUT = [
     "identity/LineItemId", "identity/TimeInterval",
     "bill/InvoiceId", "bill/BillingEntity", "bill/BillType", "bill/PayerAccountId",

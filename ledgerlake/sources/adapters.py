@@ -34,14 +34,15 @@ SELECT 'OPP' || lpad(cast(o_orderkey AS string), CASE WHEN o_orderkey % 17 = 0 T
        cast(substr(o_orderpriority, 1, 1) AS int) * 20.0E0 AS Probability,
        o_orderstatus <> 'O' AS IsClosed, o_orderstatus = 'F' AS IsWon
 FROM {orders}""",
-    # Billing usage rows: 'n/a' costs, blank usage, credits, malformed account ids.
+    # Billing usage rows: 'n/a' costs, sub-cent costs, blank usage, credits, malformed account ids.
     "v_billing_raw": """
 SELECT 'li-' || cast(l_orderkey AS string) || '-' || cast(l_linenumber AS string) AS line_item_id,
        CASE l_suppkey % 5 WHEN 0 THEN '123456789012' WHEN 1 THEN '234567890123' WHEN 2 THEN '345678901234'
             WHEN 3 THEN lpad(cast(l_suppkey AS string), 12, '0') ELSE 'short-' || cast(l_suppkey AS string) END AS account_id,
        'svc-' || cast(l_partkey % 20 AS string) AS product_code, 'i-' || cast(l_partkey AS string) AS resource_id,
        'Use:' || l_returnflag || l_linestatus AS usage_type,
-       CASE WHEN l_linenumber = 7 THEN 'n/a' WHEN l_returnflag = 'R' THEN cast(-l_extendedprice AS string)
+       CASE WHEN l_linenumber = 7 THEN 'n/a'
+            WHEN l_linenumber = 5 THEN '0.00' || lpad(cast(cast(l_quantity AS int) AS string), 2, '0') WHEN l_returnflag = 'R' THEN cast(-l_extendedprice AS string)
             ELSE cast(l_extendedprice AS string) END AS unblended_cost,
        CASE WHEN l_linenumber = 6 AND l_returnflag = 'N' THEN '' ELSE cast(l_quantity AS string) END AS usage_amount,
        substr(cast(l_shipdate AS string), 1, 7) AS billing_period, l_shipdate AS usage_start
@@ -96,12 +97,8 @@ def spread(df: DataFrame) -> DataFrame:
     unchanged, so this adds no shuffle at scale. Filters and column pruning
     still reach the scan through the repartition.
     """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no RDD API, e.g. a Spark Connect session)
-        return df
-    return df if splits >= cores else df.repartition(cores)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

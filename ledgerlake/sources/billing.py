@@ -2,14 +2,16 @@
 
 Files with different headers must never be read together: Spark's CSV reader
 maps columns by position from the first file's header. Layouts are found by a
-distributed scan for header lines, then each layout is read with its own
-all-string schema and the results are unioned by name.
+distributed scan for first lines, then each layout is read with its own
+all-string schema and the results are unioned by name. A file without the required
+header is an error, never skipped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,6 @@ SOURCE_FILE = "_source_file"
 
 CSV_OPTIONS = {
     "header": "true",
-    "multiLine": "true",   # quoted cells may hold newlines
     "escape": '"',         # "" inside a quoted cell is a literal quote
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": MALFORMED,
@@ -44,49 +45,91 @@ def _split_header(line: str) -> list[str]:
     return next(csv.reader([line]))
 
 
-def billing_layouts(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Distinct CSV headers under ``path`` -> files carrying each header.
+def inspect_csv(spark: SparkSession, paths: list[str] | str) -> tuple[dict[tuple[str, ...], list[str]], dict[str, str]]:
+    """``(layouts, rejected)`` of CSV files: distinct headers -> their files, and the
+    files that cannot be read -> why (empty, or a required column is missing).
 
-    A header line is recognised by the required slash-named column names, so
-    the lookup is one distributed text scan returning one row per file.
+    The header is the first line of a file, whatever it holds. It is found by one
+    distributed text scan: the first row of each file's first split, reduced to one row per
+    distinct header before the driver sees it (file names are what Spark's own
+    reader keeps there, too). Pass ``columns`` to the scans to skip this pass.
     """
-    lines = spark.read.text(path).select(F.input_file_name().alias("file"), "value")
-    marker = F.lit(False)
-    for c in REQUIRED_BILLING_COLUMNS:
-        marker = marker | F.col("value").contains(c)
-    headers = lines.filter(marker).groupBy("file").agg(F.min("value").alias("header"))
+    lines = spark.read.text(paths)
+    at_start = F.col("_metadata.file_block_start") == 0
+    firsts = (lines.select(F.col("_metadata.file_path").alias("file"), at_start.alias("start"), "value",
+                           F.monotonically_increasing_id().alias("nth"))
+              .where("start").groupBy("file").agg(F.min_by("value", "nth").alias("header")))
+    found = firsts.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in headers.collect():  # one row per file: metadata, not data
-        layouts.setdefault(tuple(_split_header(row["header"])), []).append(row["file"])
-    return layouts
+    rejected: dict[str, str] = {}
+    for row in found:
+        columns = tuple(_split_header(row["header"])) if row["header"].strip() else ()
+        try:
+            check_required_columns(columns)
+            layouts.setdefault(columns, []).extend(row["files"])
+        except BillingFileError as e:
+            rejected.update({f: str(e) for f in row["files"]})
+    seen = {_plain(f) for row in found for f in row["files"]}
+    rejected.update({f: "Empty CSV file (no header found)" for f in _all_files(spark, paths) if _plain(f) not in seen})
+    return layouts, rejected
 
 
-def read_csv_layout(spark: SparkSession, files: list[str] | str, columns: list[str]) -> DataFrame:
+def _plain(uri: str) -> str:
+    """One spelling for a file's name (``file:///a`` and ``file:/a`` are the same)."""
+    from urllib.parse import unquote
+    scheme, _, rest = uri.rpartition(":")
+    return f"{scheme}:/{unquote(rest).lstrip('/')}"
+
+
+def _all_files(spark: SparkSession, paths: list[str] | str) -> list[str]:
+    """Every file below ``paths``, empty ones included (they have no split): names only."""
+    return list(spark.read.text(paths).inputFiles())
+
+
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Billing files below ``path`` without a byte."""
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.{csv,parquet}").load(path).select("path")
+    filled = {_plain(r["path"]) for r in names.collect()}
+    return [f for f in names.inputFiles() if _plain(f) not in filled]
+
+
+def read_csv_layout(spark: SparkSession, files: list[str] | str, columns: list[str],
+                    multi_line: bool = True) -> DataFrame:
     """Read header CSV files sharing one header, all cells as text.
 
     Malformed rows (too few or too many cells) keep their raw text in
-    ``_malformed``; blanks become '' as in Python's csv module.
+    ``_malformed`` and have no cells; blanks become '' as in Python's csv module.
+    With ``multi_line`` quoted cells may hold newlines and a file is one task; turn it
+    off where the writer promises there are none, and large files split.
     """
     check_required_columns(columns)
     schema = string_schema(columns).add(MALFORMED, "string")
-    df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(files)
+    df = spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", multi_line).csv(files)
+    ok = F.col(MALFORMED).isNull()
+    # the raw text also names a cell: Spark refuses to read the corrupt record alone
+    cell = F.col(f"`{columns[0]}`")
+    raw_text = F.when(~ok, F.concat(F.col(MALFORMED), F.when(F.length(cell) < 0, cell).otherwise(F.lit(""))))
     return df.select(
-        *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns],
-        F.col(MALFORMED), F.input_file_name().alias(SOURCE_FILE))
+        *[F.when(ok, F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for c in columns],
+        raw_text.alias(MALFORMED), F.input_file_name().alias(SOURCE_FILE))
 
 
-def scan_billing_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def scan_billing_csv(spark: SparkSession, path: list[str] | str, columns: list[str] | None = None,
+                     multi_line: bool = True) -> DataFrame:
     """All billing CSV files under ``path`` -> raw string rows, unioned by column name.
 
-    Raises for a path holding no header (empty file) and for a layout lacking
-    a required column.
+    Raises for every file without a header or without a required column; no file is
+    skipped. Malformed rows are kept, marked in ``_malformed``.
     """
     if columns is not None:
-        return read_csv_layout(spark, path, columns)
-    layouts = billing_layouts(spark, path)
-    if not layouts:
-        raise BillingFileError(f"Empty or invalid CSV input (no header found): {path}")
-    frames = [read_csv_layout(spark, files, list(cols)) for cols, files in layouts.items()]
+        return read_csv_layout(spark, path, columns, multi_line)
+    layouts, rejected = inspect_csv(spark, path)
+    if rejected or not layouts:
+        raise BillingFileError(f"Empty or invalid CSV input: {rejected or path}")
+    return _union([read_csv_layout(spark, files, list(cols), multi_line) for cols, files in layouts.items()])
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
@@ -120,31 +163,39 @@ def file_format(key: str) -> str:
     raise BillingFileError("Only CSV and Parquet billing files are supported: " + key)
 
 
-def scan_by_format(spark: SparkSession, files: list[str]) -> DataFrame:
-    """Mixed CSV / Parquet files -> one raw DataFrame, columns matched by name."""
+def scan_by_format(spark: SparkSession, files: list[str], multi_line: bool = True) -> DataFrame:
+    """Mixed CSV / Parquet files -> one raw DataFrame, columns matched by name.
+
+    Every row of every file is in the result: malformed CSV rows are marked in
+    ``_malformed`` (NULL for all others) and leave by ``split_malformed``.
+    """
     by_format: dict[str, list[str]] = {}
     for f in files:
         by_format.setdefault(file_format(f), []).append(f)
     frames = []
     if "csv" in by_format:
-        frames.append(split_malformed(_scan_csv_files(spark, by_format["csv"]))[0])
+        frames.append(scan_billing_csv(spark, by_format["csv"], multi_line=multi_line))
     if "parquet" in by_format:
-        frames.append(scan_billing_parquet(spark, by_format["parquet"]))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
-
-
-def _scan_csv_files(spark: SparkSession, files: list[str]) -> DataFrame:
-    layouts = billing_layouts(spark, files)
-    if not layouts:
-        raise BillingFileError("Empty or invalid CSV input (no header found)")
-    frames = [read_csv_layout(spark, fs, list(cols)) for cols, fs in layouts.items()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+        frames.append(scan_billing_parquet(spark, by_format["parquet"])
+                      .withColumn(MALFORMED, F.lit(None).cast("string")))
+    if not frames:
+        raise BillingFileError("No billing files given")
+    return _union(frames)
+
+
+def readable_files(spark: SparkSession, files: list[str]) -> tuple[list[str], dict[str, str]]:
+    """Files that the scans accept, and the others with the reason."""
+    csv = [f for f in files if f.endswith(".csv")]
+    layouts, bad = inspect_csv(spark, csv) if csv else ({}, {})
+    good = [f for fs in layouts.values() for f in fs]
+    for f in files:
+        if f.endswith(".parquet"):
+            try:
+                check_required_columns(spark.read.parquet(f).columns)
+                good.append(f)
+            except (BillingFileError, AnalysisException) as e:
+                bad[f] = str(e).splitlines()[0]
+    return good, bad
 
 
 def convert_parquet_to_csv(spark: SparkSession, src: str, dst: str) -> str:

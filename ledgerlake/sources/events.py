@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlake.schemas import ARRIVAL_EVENT
 
 # FIXED VALUES: bucket-name rule and key-length limit applied to arrival events.
-BUCKET_NAME = r"^[a-z0-9][a-z0-9\.\-]{1,61}[a-z0-9]$"
+BUCKET_NAME = r"\A[a-z0-9][a-z0-9\.\-]{1,61}[a-z0-9]\z"
 MAX_KEY_LENGTH = 1024
 DIRECT_ACTIONS = ("salesforce", "cur")
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.session import scratch_path
-from ledgerlake.sources.adapters import billing_raw, table
+from ledgerlake.sources.adapters import BILLING_RAW_NAMES, billing_raw, table
 
 _LANDED: dict[tuple[str, str, str], str] = {}
 GROUPS_PER_RESPONSE = 1000  # target groups per response document (pages spread by hash)
@@ -34,12 +34,32 @@ def land_extract(spark: SparkSession, sf_dir: str, view: str) -> str:
     return _once(spark, sf_dir, f"extract-{view}", lambda path: adapter(spark, sf_dir, view).write.parquet(path))
 
 
+ROWS_PER_EXPORT = 100_000  # an export file is one scan task where cells may hold newlines
+
+
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export lines with one cell too many (an unquoted comma), from first line items
+    of every hundredth order."""
+    raw = billing_raw(spark, sf_dir).filter(F.col("`identity/LineItemId`").endswith("00-1"))
+    cells = [F.concat(F.col(f"`{c}`"), F.lit(",x")) if c == "lineItem/ResourceId" else F.col(f"`{c}`")
+             for c in raw.columns]
+    return raw.select(F.concat_ws(",", *cells).alias("line"))
+
+
+def _write_malformed(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """As a CSV file under the export's own header; a separator that no cell holds
+    keeps Spark from quoting the lines."""
+    header = ",".join(BILLING_RAW_NAMES.values())
+    (malformed_lines(spark, sf_dir).withColumnRenamed("line", header).coalesce(1)
+     .write.mode("append").option("header", "true").option("sep", "\u0001").csv(path))
+
+
 def land_billing_csv(spark: SparkSession, sf_dir: str) -> str:
-    """The billing export as header CSV files (one file per billing year)."""
+    """The billing export as header CSV files of bounded length, some lines malformed."""
     def write(path):
-        raw = billing_raw(spark, sf_dir)
-        (raw.repartition(F.substring(F.col("`bill/BillingPeriod`"), 1, 4))
-            .write.option("header", "true").option("escape", '"').csv(path))
+        (billing_raw(spark, sf_dir).write.option("maxRecordsPerFile", ROWS_PER_EXPORT)
+         .option("header", "true").option("escape", '"').csv(path))
+        _write_malformed(spark, sf_dir, path)
     return _once(spark, sf_dir, "billing-csv", write)
 
 
@@ -50,12 +70,13 @@ def land_billing_parquet(spark: SparkSession, sf_dir: str) -> str:
 
 
 def land_billing_mixed(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Open line items as CSV and final ones as Parquet, in one folder."""
+    """Open line items and malformed lines as CSV, final ones as Parquet, in one folder."""
     def write(path):
         raw = billing_raw(spark, sf_dir)
         is_open = F.col("`lineItem/UsageType`").endswith("O")
         raw.filter(is_open).write.option("header", "true").option("escape", '"').csv(path + "/open")
         raw.filter(~is_open).write.parquet(path + "/final")
+        _write_malformed(spark, sf_dir, path + "/open")
     path = _once(spark, sf_dir, "billing-mixed", write)
     csv_files = spark.read.text(path + "/open").inputFiles()
     pq_files = spark.read.parquet(path + "/final").inputFiles()
@@ -65,17 +86,20 @@ def land_billing_mixed(spark: SparkSession, sf_dir: str) -> list[str]:
 def land_cost_responses(spark: SparkSession, sf_dir: str, daily: DataFrame) -> str:
     """Daily cost rows -> response documents ``{ResultsByTime: [{TimePeriod, Groups}]}``.
 
-    One document per (day, page). Each day gets ``ceil(groups / 1000)`` pages
+    One document per (day, page), landed under ``cost_date=<day>/`` so that a window
+    reads its days only. Each day gets ``ceil(groups / 1000)`` pages
     (from a one-row-per-day count, joined behind the size check) and a group
     goes to the page its key hashes to, so a document holds about 1000 groups
-    however many accounts a day has.
+    however many accounts a day has. The aggregate runs once.
     """
     from ledgerlake.operators.joins import lookup_side
+    from ledgerlake.session import materialized
 
     def write(path):
-        pages = daily.groupBy("cost_date").agg(
+        rows = materialized(daily, "daily")
+        pages = rows.groupBy("cost_date").agg(
             F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / GROUPS_PER_RESPONSE)).alias("_pages"))
-        groups = daily.join(lookup_side(pages), "cost_date").select(
+        groups = rows.join(lookup_side(pages), "cost_date").select(
             "cost_date",
             F.pmod(F.xxhash64("service", "account_id"), F.col("_pages")).alias("page"),
             F.struct(F.array("service", "account_id").alias("Keys"),
@@ -84,8 +108,9 @@ def land_cost_responses(spark: SparkSession, sf_dir: str, daily: DataFrame) -> s
         docs = groups.groupBy("cost_date", "page").agg(F.collect_list("g").alias("Groups"))
         period = F.struct(F.col("cost_date").alias("Start"),
                           F.date_format(F.date_add(F.to_date("cost_date"), 1), "yyyy-MM-dd").alias("End"))
-        docs.select(F.to_json(F.struct(F.array(F.struct(period.alias("TimePeriod"), "Groups"))
-                                       .alias("ResultsByTime"))).alias("value")).write.text(path)
+        docs.select("cost_date", F.to_json(F.struct(F.array(F.struct(period.alias("TimePeriod"), "Groups"))
+                                                    .alias("ResultsByTime"))).alias("value")) \
+            .repartition("cost_date").write.partitionBy("cost_date").text(path)
     return _once(spark, sf_dir, "cost-responses", write)
 
 

@@ -10,14 +10,14 @@ is there and stops, which suits a scheduled run; a continuous deployment uses
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.validate import validate_raw_records
 from ledgerlake.params import DEFAULT_CONTEXT, RunContext
 from ledgerlake.plans.pipelines import ingest_billing
-from ledgerlake.schemas import string_schema
-from ledgerlake.sources.billing import CSV_OPTIONS, MALFORMED
+from ledgerlake.sources.billing import empty_files, readable_files, scan_by_format
 from ledgerlake.sources.envelopes import scan_batch_envelopes
 
 
@@ -29,35 +29,50 @@ def _run(query_builder, checkpoint: str, available_now: bool = True):
     return q
 
 
-def stream_billing_files(spark: SparkSession, landing: str, columns: list[str], account_map: DataFrame,
+def stream_billing_files(spark: SparkSession, landing: str, account_map: DataFrame,
                          sink: str, quarantine: str, checkpoint: str,
                          ctx: RunContext = DEFAULT_CONTEXT, max_files_per_trigger: int = 1000):
-    """Billing CSV files of one layout (one stream per layout) -> validated Parquet.
+    """Billing CSV and Parquet files of any layout -> validated Parquet.
 
-    Valid rows go to ``sink``, rejected and malformed rows to ``quarantine``,
-    each micro-batch under its own ``batch_id=<n>`` partition (read the sink
-    with ``spark.read.parquet(sink)``; ``batch_id`` is the partition column).
+    The stream is the list of new ``.csv`` / ``.parquet`` files (names only, at most
+    ``max_files_per_trigger`` per micro-batch); each micro-batch reads its files by
+    format and header, so columns are matched by name whatever their order. Valid
+    rows go to ``sink``, rejected and malformed rows to ``quarantine/rejected``, files that
+    cannot be read (empty, required column missing) with their reason to
+    ``quarantine/files``, each under ``batch_id=<n>`` (the partition column; -1 for files
+    without a byte).
     """
-    schema = string_schema(columns).add(MALFORMED, "string")
-    stream = (spark.readStream.schema(schema).options(**CSV_OPTIONS)
-              .option("maxFilesPerTrigger", max_files_per_trigger).csv(landing))
-    raw = stream.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns], F.col(MALFORMED))
+    files = (spark.readStream.format("binaryFile")
+             .schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.{csv,parquet}")
+             .option("maxFilesPerTrigger", max_files_per_trigger).load(landing).select("path"))
 
     def batch(df: DataFrame, batch_id: int):
-        # Each micro-batch owns one ``batch_id=<n>`` folder and overwrites it: a
+        # Each micro-batch owns its ``batch_id=<n>`` folders and overwrites them: a
         # batch replayed after a failure replaces its own output (idempotent),
         # so together with the source log every file lands exactly once.
         part = f"batch_id={batch_id}"
-        validated = ingest_billing(df, account_map, ctx)
-        (validated.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-         .write.mode("overwrite").parquet(f"{sink}/{part}"))
-        rejected = validated.filter(F.col("reject_reason").isNotNull())
-        malformed = df.filter(F.col(MALFORMED).isNotNull()).select(
-            F.col(MALFORMED).alias("raw_line"), F.lit("malformed_row").alias("reject_reason"))
-        rejected.write.mode("overwrite").parquet(f"{quarantine}/rejected/{part}")
-        malformed.write.mode("overwrite").parquet(f"{quarantine}/malformed/{part}")
+        paths = [r["path"] for r in df.collect()]  # bounded by max_files_per_trigger
+        readable, unreadable = readable_files(df.sparkSession, paths)
+        if readable:
+            raw = scan_by_format(df.sparkSession, readable)
+            rows = ingest_billing(raw, account_map, ctx).persist(StorageLevel.DISK_ONLY)  # evaluated once
+            try:
+                (rows.filter(F.col("reject_reason").isNull()).drop("reject_reason", "raw_line")
+                 .write.mode("overwrite").parquet(f"{sink}/{part}"))
+                (rows.filter(F.col("reject_reason").isNotNull())
+                 .write.mode("overwrite").parquet(f"{quarantine}/rejected/{part}"))
+            finally:
+                rows.unpersist()
+        if unreadable:
+            df.sparkSession.createDataFrame(sorted(unreadable.items()), "path string, reason string").write.mode(
+                "overwrite").parquet(f"{quarantine}/files/{part}")
 
-    return _run(raw.writeStream.foreachBatch(batch), checkpoint)
+    query = _run(files.writeStream.foreachBatch(batch), checkpoint)
+    # files without a byte make no rows in any source: listed as of the end of the run
+    if empty := empty_files(spark, landing):
+        spark.createDataFrame([(f, "Empty file") for f in sorted(empty)], "path string, reason string").write.mode(
+            "overwrite").parquet(f"{quarantine}/files/batch_id=-1")
+    return query
 
 
 def stream_batch_envelopes(spark: SparkSession, landing: str, sink: str, checkpoint: str):

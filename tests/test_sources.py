@@ -68,6 +68,87 @@ def test_required_column_missing_raises_before_reading(spark, tmp_path):
         b.check_required_columns(["lineItem/UsageAccountId"])
 
 
+def test_no_file_is_skipped(spark, tmp_path):
+    write(tmp_path / "in" / "good.csv", H7 + "\na,t,1,S,1,p,1\n")
+    write(tmp_path / "in" / "wrong.csv", "x,y\n1,2\n")
+    write(tmp_path / "in" / "empty.csv", "")
+    layouts, bad = b.inspect_csv(spark, str(tmp_path / "in"))
+    assert list(layouts) == [tuple(LANDED_DAILY_LAYOUT)] and sorted(f.rsplit("/", 1)[1] for f in bad) == ["empty.csv", "wrong.csv"]
+    with pytest.raises(b.BillingFileError, match="wrong.csv"):
+        b.scan_billing_csv(spark, str(tmp_path / "in"))
+    with pytest.raises(b.BillingFileError):
+        b.scan_by_format(spark, [])
+
+
+def test_header_is_the_first_line_only(spark, tmp_path):
+    body = H7 + "\na,t,1,S,1,p,1\n" + "0 lineItem/UnblendedCost,t,1,S,2,p,1\n"
+    write(tmp_path / "in" / "f.csv", body)
+    rows = b.scan_billing_csv(spark, str(tmp_path / "in")).collect()
+    assert sorted(r["identity/LineItemId"] for r in rows) == ["0 lineItem/UnblendedCost", "a"]
+
+
+def test_malformed_rows_are_counted_and_quarantined_once(spark, tmp_path):
+    from ledgerlake.params import DEFAULT_CONTEXT
+    from ledgerlake.plans.pipelines import ingest_billing
+    write(tmp_path / "in" / "f.csv", H7 + "\n" + "a,t,123456789012,S,1,p,1\n" + "short,t\n" + "long,t,1,S,1,p,1,extra\n")
+    raw = b.scan_by_format(spark, [str(tmp_path / "in" / "f.csv")])
+    good, bad = b.split_malformed(raw)
+    assert (raw.count(), good.count(), bad.count()) == (3, 1, 2)
+    assert bad.select(b.MALFORMED).count() == 2 and sorted(r[0] for r in bad.select(b.MALFORMED).collect())[0].startswith("long")
+    for _ in range(2):  # a second run of the day replaces its own output
+        out = ingest_billing(raw, account_map_default(spark), DEFAULT_CONTEXT, quarantine_path=str(tmp_path / "q"))
+        assert sorted(str(r.reject_reason) for r in out.collect()) == ["None", "malformed_row", "malformed_row"]
+        kept = spark.read.json(str(tmp_path / "q")).collect()
+        assert sorted(r.raw_line for r in kept) == ["long,t,1,S,1,p,1,extra", "short,t"]
+        assert "account_id" in kept[0].asDict() and str(kept[0].failed_date) == DEFAULT_CONTEXT.as_of_iso
+
+
+def test_corrupt_checkpoint_raises(spark, tmp_path):
+    write(tmp_path / "c" / "checkpoint-1.json" / "part-0.json", "{not json")
+    with pytest.raises(Exception):
+        scan_checkpoint(spark, str(tmp_path / "c"))
+
+
+def test_extract_resumes_page_by_page(spark, tmp_path):
+    import dataclasses
+    from ledgerlake.params import DEFAULT_CONTEXT
+    from ledgerlake.plans.pipelines import resume_extract
+    src = spark.createDataFrame([(f"{i:03d}",) for i in range(25)], "Id string")
+    seen = []
+    for k in range(4):
+        ctx = dataclasses.replace(DEFAULT_CONTEXT, ingest_ts=dt.datetime(2025, 4, 1, 0, 0, k))
+        seen.append([r.Id for r in resume_extract(src, str(tmp_path / "ck"), 10, ctx).orderBy("Id").collect()])
+    assert [len(p) for p in seen] == [10, 10, 5, 0] and sum(seen, []) == [f"{i:03d}" for i in range(25)]
+    row = scan_checkpoint(spark, str(tmp_path / "ck")).first()
+    assert (row.last_id, row.processed_count) == ("024", 25)
+
+
+def test_bucket_names_take_no_line_break(spark):
+    ev = spark.createDataFrame([(1, json.dumps({"action": "cur", "bucket": "abc\n", "key": "k"}))], "id long, value string")
+    assert parse_arrival_events(ev, id_col="id").first().reason == "invalid_bucket"
+
+
+def test_cost_windows_prune_folders(spark, tmp_path):
+    from ledgerlake.sources.costs import read_cost_responses, scan_daily_costs
+    for day in ("2025-04-01", "2025-04-02"):
+        doc = {"ResultsByTime": [{"TimePeriod": {"Start": day, "End": day}, "Groups": [
+            {"Keys": ["s", "a"], "Metrics": {"UnblendedCost": {"Amount": "1", "Unit": "USD"}}}]}]}
+        write(tmp_path / "r" / f"cost_date={day}" / "p.json", json.dumps(doc))
+    got = scan_daily_costs(read_cost_responses(spark, str(tmp_path / "r")), dt.date(2025, 4, 2), dt.date(2025, 4, 3))
+    assert got.count() == 1
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "cost_date" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_a_large_day_is_several_files(spark, tmp_path, monkeypatch):
+    from ledgerlake.sinks import files
+    monkeypatch.setattr(files, "ROWS_PER_FILE", 100)
+    df = spark.range(350).select(F.col("id").alias("v"), F.lit("2025-04-01").alias("cost_date"))
+    files.write_partitioned_csv(df, str(tmp_path / "d"))
+    assert len(list((tmp_path / "d").rglob("*.csv"))) >= 4
+    assert files.read_partitioned_csv(spark, str(tmp_path / "d"), ["v"]).count() == 350
+
+
 def test_two_layouts_in_one_folder_match_by_name(spark, tmp_path):
     write(tmp_path / "mix" / "daily.csv", H7 + "\nd1,t,123456789012,SvcA,2.5,2025-04,1\n")
     full_vals = {c: "" for c in FULL_BILLING_LAYOUT}

@@ -14,12 +14,13 @@ def test_billing_stream_runs_twice_once(spark, tmp_path):
     landing.mkdir()
     (landing / "a.csv").write_text(H7 + "\nx1,t,123456789012,S,1.5,2025-04,1\nx2,t,999,S,n/a,2025-04,1\nbad,row\n")
     sink, quarantine, ckpt = (str(tmp_path / n) for n in ("sink", "quarantine", "ckpt"))
-    args = (spark, str(landing), LANDED_DAILY_LAYOUT, account_map_default(spark), sink, quarantine, ckpt)
+    args = (spark, str(landing), account_map_default(spark), sink, quarantine, ckpt)
     stream_billing_files(*args)
     first = spark.read.parquet(sink)
     assert first.count() == 2  # both well-formed rows valid (cost parse failure zeroes, never rejects)
     assert {r.cost_category for r in first.collect()} == {"production", "unallocated"}
-    assert spark.read.parquet(quarantine + "/malformed").count() == 1
+    bad = spark.read.parquet(quarantine + "/rejected").collect()
+    assert [(r.reject_reason, r.raw_line) for r in bad] == [("malformed_row", "bad,row")]
     stream_billing_files(*args)
     assert spark.read.parquet(sink).count() == 2
     (landing / "b.csv").write_text(H7 + "\nx3,t,234567890123,S,2,2025-04,1\n")
@@ -27,6 +28,29 @@ def test_billing_stream_runs_twice_once(spark, tmp_path):
     assert spark.read.parquet(sink).count() == 3
 
 
+def test_billing_stream_takes_mixed_files_by_name(spark, tmp_path):
+    """Reordered headers, Parquet, unreadable and foreign files in one folder."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.csv").write_text(H7 + "\nx1,t,123456789012,SvcA,1.5,2025-04,1\n")
+    turned = list(reversed(LANDED_DAILY_LAYOUT))
+    cells = dict(zip(LANDED_DAILY_LAYOUT, ["x2", "t", "234567890123", "SvcB", "2.5", "2025-04", "1"]))
+    (landing / "b.csv").write_text(",".join(turned) + "\n" + ",".join(cells[c] for c in turned) + "\n")
+    spark.createDataFrame([("x3", "t", "345678901234", "SvcC", "3.5", "2025-04", "1")], LANDED_DAILY_LAYOUT).coalesce(
+        1).write.parquet(str(tmp_path / "pq"))
+    next((tmp_path / "pq").glob("*.parquet")).rename(landing / "c.parquet")
+    (landing / "empty.csv").write_text("")
+    (landing / "wrong.csv").write_text("a,b\n1,2\n")
+    (landing / "notes.txt").write_text("not a billing file")
+    sink, quarantine, ckpt = (str(tmp_path / n) for n in ("sink", "quarantine", "ckpt"))
+    stream_billing_files(spark, str(landing), account_map_default(spark), sink, quarantine, ckpt)
+    got = sorted((r.account_id, r.service, r.cost, r.cost_category) for r in spark.read.parquet(sink).collect())
+    assert got == [("123456789012", "SvcA", 1.5, "production"), ("234567890123", "SvcB", 2.5, "staging"),
+                   ("345678901234", "SvcC", 3.5, "development")]
+    bad = spark.read.parquet(quarantine + "/files").collect()
+    assert sorted(r.path.rsplit("/", 1)[1] for r in bad) == ["empty.csv", "wrong.csv"]
+
+
 def test_envelope_stream_runs_twice_once(spark, tmp_path):
     landing = tmp_path / "msgs"
     landing.mkdir()
