@@ -38,8 +38,9 @@ def batched_records(df: DataFrame, size: int, order: Sequence[str],
                     shards: int | None = None) -> DataFrame:
     """One row per batch: ``batch_number``, ``total_batches``, ``record_count`` and
     ``records_json`` (the batch's records as a JSON array text, in order)."""
-    numbered = assign_batches(df.withColumn("_json", record_json(df)), size, order, shards,
-                              keep_row_number=True)
+    # only the order keys and the text travel through the numbering
+    numbered = assign_batches(df.select(*[F.col(f"`{c}`") for c in order], record_json(df).alias("_json")), size, order,
+                              shards, keep_row_number=True)
     grouped = numbered.groupBy("batch_number", "total_batches").agg(
         F.sort_array(F.collect_list(F.struct(F.col("row_number").alias("_rn"), F.col("_json")))).alias("_items"))
     return grouped.select(
