@@ -22,7 +22,7 @@ from ledgerlake.llm.common import (LOWER, buffers, chunks, ship_package, splitmi
                                    word_spans)
 
 BITS = 20
-SAMPLE = 10_000
+SAMPLE = 6_000
 _MASK = np.uint64((1 << BITS) - 1)
 _TWICE, _FOUR = 0x5A5A5, 0xA5A5A  # a word start's slot, moved for its repeats
 _SALTS = splitmix(np.arange(1, 8, dtype=np.uint64))
@@ -119,11 +119,25 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, lower: bool,
 
     got = texts.select(F.col("doc_id").cast("string").alias("doc_id"), "y", "text") \
         .mapInArrow(run, "doc_id string, y int, f array<int>").toArrow()
-    got = got.take(pa.compute.sort_indices(got, [("doc_id", "ascending")])) if got.num_rows else got
-    found = got.column("f").chunks
-    lists = pa.concat_arrays(found) if found else pa.array([], pa.list_(pa.int32()))
-    indptr = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
-    return (np.asarray(got.column("y").to_pylist(), np.int64), indptr, lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+    return _matrix(got)
+
+
+def _matrix(got: pa.Table, least: int = 3):
+    """The sample as (labels, indptr, features), in the order of the ids; features of
+    fewer than ``least`` texts are left out (most are, and no fit uses them)."""
+    many = np.zeros(1 << BITS, np.int32)
+    parts = []
+    for b in got.to_batches():
+        lists = b.column("f")
+        flat, cuts = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+        many += np.bincount(flat[cuts[0]:cuts[-1]], minlength=1 << BITS).astype(np.int32)
+        ids, y = b.column("doc_id").to_pylist(), b.column("y").to_pylist()
+        parts += [(ids[k], y[k], flat[cuts[k]:cuts[k + 1]]) for k in range(b.num_rows)]
+    parts.sort(key=lambda p: (p[0], len(p[2]), int(p[2].sum(dtype=np.int64))))
+    kept = [f[many[f] >= least] for _, _, f in parts]
+    indptr = np.concatenate([[0], np.cumsum([len(f) for f in kept])]).astype(np.int64)
+    feature = np.concatenate(kept) if kept else np.zeros(0, np.int32)
+    return np.array([y for _, y, _ in parts], np.int64), indptr, feature
 
 
 def score_texts(docs: DataFrame, columns: list[str], score_run, out: str) -> DataFrame:
