@@ -30,7 +30,7 @@ import numpy as np
 
 SPILL = 64 << 20
 BLOCK = 1 << 16
-_BASE = 4096
+_BASE = 1 << 21  # names that are sorted in memory, where the recursion ends
 
 
 def stored(a: np.ndarray) -> np.ndarray:
@@ -101,6 +101,10 @@ class Runs:
         return [np.concatenate(c) for c in zip(*parts)] if parts else None
 
 
+def _narrow(pos: np.ndarray, n: int) -> np.ndarray:
+    return pos.astype(np.int32 if n < 1 << 31 else np.int64)
+
+
 def _types(t: np.ndarray):
     """(is S, run length capped at 255) of every position; the last symbol is S."""
     n = len(t)
@@ -126,8 +130,9 @@ def _induce(t: np.ndarray, down: bool, seeds, keep_prefix: bool, out) -> None:
     L, descending; symbols compare in reverse). ``seeds`` are (position, prefix with
     the seed before, run), in scan order. ``out`` receives arrays (position, prefix, run)."""
     top = int(t.max())
-    # keys that ascend in scan order
-    key_of = (lambda p: top - t[p].astype(np.int64)) if down else (lambda p: t[p].astype(np.int64))
+    # keys that ascend in scan order; narrow ones sort by radix
+    kind = np.int16 if top < 1 << 15 else np.int32 if top < 1 << 31 else np.int64
+    key_of = (lambda p: kind(top) - t[p].astype(kind)) if down else (lambda p: t[p].astype(kind))
     queue = Runs()
     s_pos, s_low, s_run = seeds
     at, n_seeds = 0, len(s_pos)
@@ -152,11 +157,11 @@ def _induce(t: np.ndarray, down: bool, seeds, keep_prefix: bool, out) -> None:
         least_all = low.min()
         if len(w):
             dw = d[w]
-            order = np.argsort(dw.astype(np.uint16) if top < 65536 else dw, kind="stable")
+            order = np.argsort(dw, kind="stable")
             ds, idx = dw[order], w[order]
             first = np.concatenate([[True], ds[1:] != ds[:-1]])
             a = np.where(first, 0, np.concatenate([[0], idx[:-1] + 1]))
-            least = _least_between(low, a, idx + 1).astype(np.int64)
+            least = _least_between(low, a, idx + 1).astype(np.int16)
             f = np.flatnonzero(first)
             df = ds[f]
             least[f] = np.where(here[df], np.minimum(least[f], since[df]), 0)
@@ -170,7 +175,7 @@ def _induce(t: np.ndarray, down: bool, seeds, keep_prefix: bool, out) -> None:
             since[ds[last]] = rest
             here[ds[last]] = True
             ever[ds[last]] = True
-            runs = np.where(ds == c, np.minimum(run[idx].astype(np.int64) + 1, 255), 1)
+            runs = np.where(ds == c, np.minimum(run[idx].astype(np.int16) + 1, 255), 1)
             queue.push(ds, pos[idx] - 1, prefix.astype(np.uint8), runs.astype(np.uint8))
         else:
             np.minimum(since, least_all, out=since)
@@ -271,7 +276,7 @@ class _Collected:
     def whole(self):
         self._close()
         if not self.parts:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint8), np.zeros(0, np.uint8)
+            return np.zeros(0, np.int32), np.zeros(0, np.uint8), np.zeros(0, np.uint8)
         return tuple(stored(np.concatenate(c)) for c in zip(*self.parts))
 
 
@@ -305,21 +310,31 @@ def _name(t: np.ndarray, stars: np.ndarray, cap: int) -> np.ndarray:
     return names
 
 
-def _small_order(t: np.ndarray) -> np.ndarray:
-    """Suffix order of a short string by prefix doubling."""
+def _small_order(t: np.ndarray, cap: int) -> np.ndarray:
+    """Suffix order (to ``cap`` names) of a string that fits in memory, by prefix
+    doubling; only suffixes that still tie are sorted again."""
     n = len(t)
-    rank = np.unique(t, return_inverse=True)[1].astype(np.int64)
+    order = np.argsort(t, kind="stable")
+    s = t[order]
+    start = np.concatenate([[True], s[1:] != s[:-1]])
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(start, np.arange(n), 0))  # place of the group's first
     k = 1
-    while True:
-        second = np.full(n, -1, np.int64)
-        second[:n - k] = rank[k:] if k < n else second[:0]
-        order = np.lexsort((second, rank))
-        r = np.concatenate([[0], np.cumsum((rank[order][1:] != rank[order][:-1]) | (second[order][1:] != second[order][:-1]))])
-        rank = np.empty(n, np.int64)
-        rank[order] = r
-        if r[-1] == n - 1 or k >= n:
-            return order
+    while k < min(cap, n):
+        at = np.flatnonzero(~(start & np.append(start[1:], True)))  # places in groups of several
+        if not len(at):
+            break
+        who = order[at]
+        second = np.where(who + k < n, rank[np.minimum(who + k, n - 1)], -1)
+        group = rank[who]
+        by = np.lexsort((second, group))
+        who, second, group = who[by], second[by], group[by]
+        order[at] = who
+        new = np.concatenate([[True], (group[1:] != group[:-1]) | (second[1:] != second[:-1])])
+        start[at] = new
+        rank[who] = np.maximum.accumulate(np.where(new, at, 0))
         k *= 2
+    return order
 
 
 def _star_order(t: np.ndarray, is_s: np.ndarray, cap: int) -> np.ndarray:
@@ -327,15 +342,15 @@ def _star_order(t: np.ndarray, is_s: np.ndarray, cap: int) -> np.ndarray:
     stars = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     names = _name(t, stars, cap)
     if int(names.max()) + 1 == len(names):
-        return stars[np.argsort(names)]
-    return stars[_order(names.astype(np.uint32), max(2, cap // 2 + 1))]
+        return _narrow(stars[np.argsort(names)], len(t))
+    return _narrow(stars[_order(names.astype(np.uint32), max(2, cap // 2 + 1))], len(t))
 
 
 def _order(t: np.ndarray, cap: int) -> np.ndarray:
     """Suffix order of a string of names (recursion)."""
     n = len(t)
     if n <= _BASE:
-        return _small_order(t)
+        return _small_order(t, cap)
     is_s, run = _types(t)
     stars = _star_order(t, is_s, cap)
     none = np.zeros(len(stars), np.uint8)

@@ -3,7 +3,9 @@
 A byte is removed if a ``length``-byte string over it also starts in a document with a
 smaller id. Equal strings must meet in one shard wherever their documents are:
 
-1. Texts are dealt into packs of about ``PACK_BYTES`` by a hash of the row. The smallest
+1. Texts are dealt into packs by a hash of the row. Packs grow with the square root of the
+   input (4 MB for a few GB, 256 MB for 100 TB), since blocks between packs and shards
+   grow with the product of their numbers; a task needs about ten times its pack. The smallest
    hash of the ``ANCHOR``-byte strings inside a window of ``length`` bytes is the window's
    anchor: equal windows have equal anchors. Neighbouring windows with one anchor form
    a segment (at most ``2 * length - ANCHOR`` bytes).
@@ -24,7 +26,8 @@ packs' exchange is the same one in steps 2, 3 and 5.
 
 Edges: null and empty texts have no bytes; texts shorter than ``length`` stay; a null
 id counts as larger than any other, and rows of one id (or null) never cut each other;
-texts of any length are handled whole, white space and control bytes are bytes like others;
+texts of any length are handled whole, white space and control bytes are bytes like others
+(bytes that no UTF-8 text holds raise);
 an empty table gives an empty result; other columns don't matter. Ids must be integers.
 """
 
@@ -32,6 +35,8 @@ from __future__ import annotations
 
 import hashlib
 import math
+import tempfile
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,10 +45,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import ship_package, splitmix
-from ledgerlake.llm.induced import ordered_suffixes, stored
+from ledgerlake.llm.induced import SPILL, ordered_suffixes, stored
 
-ANCHOR = 24
-PACK_BYTES = 16 << 20
+ANCHOR = 16
+LEAST_PACK, MOST_PACK = 4 << 20, 256 << 20
+MOST_BUCKETS, MOST_SHARDS = 65_536, 16_384
 PIECE = 1 << 19
 NOBODY = np.iinfo(np.int64).max
 _SEPARATOR, _POSITION = 0xFE, np.uint64((1 << 20) - 1)
@@ -215,12 +221,11 @@ class Shard:
 
     def __init__(self):
         self.number: dict[bytes, int] = {}
-        self.least: list[np.ndarray] = []
-        self.texts: list[bytes] = []
+        self.file = tempfile.SpooledTemporaryFile(max_size=SPILL)  # the text, on disk when large
         self.refs: list[tuple] = []
         self.count = 0
         self.docs = np.zeros(0, np.int64)
-        self.lens: list[int] = []
+        self.lens = array("H")
 
     def add(self, pack: int, numbers: bytes, lens: bytes, docs: bytes, data: bytes) -> None:
         n = np.frombuffer(lens, np.uint16).astype(np.int64)
@@ -232,7 +237,8 @@ class Shard:
             if at is None:
                 at = self.count
                 self.count += 1
-                self.texts.append(s)
+                self.file.write(s)
+                self.file.write(b"\xfd")
                 self.lens.append(b - a)
                 if len(self.number) < self.KNOWN:  # beyond, copies are sorted with the rest
                     self.number[s] = at
@@ -246,27 +252,30 @@ class Shard:
         self.refs.append((pack, np.frombuffer(numbers, np.uint32), ids, least))
 
     def results(self, length: int):
-        """(pack, segment numbers, windows, smallest document per window) where some
-        window has an earlier document than the pack's own."""
+        """(pack, segment numbers, run lengths, smallest document of each run) where some
+        window has an earlier document than the pack's own; runs are of windows in order."""
+        self.number = {}
         lens = np.array(self.lens, np.int64)
         begin = np.concatenate([[0], np.cumsum(lens + 1)])
         total = int(begin[-1])
-        text = np.empty(total + 1, np.uint8)
-        body = np.frombuffer(b"\xfd".join(self.texts) + b"\xfd", np.uint8)
-        if (body > 0xFD).any():
-            raise ValueError("text is not UTF-8")
-        np.add(body, 1, out=text[:total])
-        text[total] = 0
-        del body
-        self.texts = []
-        self.number = {}
-        text = stored(text)
+        self.file.write(b"\xff")  # becomes the smallest symbol, 0
+        self.file.seek(0)
+        if total < SPILL:
+            text = np.frombuffer(self.file.read(), np.uint8) + np.uint8(1)
+        else:
+            self.file.rollover()
+            text = np.memmap(self.file._file, np.uint8, "r+", shape=(total + 1,))
+            for a in range(0, total + 1, 1 << 22):
+                text[a:a + (1 << 22)] += np.uint8(1)
+        for a in range(0, total, 1 << 22):
+            if (text[a:min(total, a + (1 << 22))] - np.uint8(1) > 0xFD).any():
+                raise ValueError("text is not UTF-8")
         docs = self.docs[:self.count]
         windows = lens - length + 1
         # the smallest document per window; segments lie one after the other
         base = np.concatenate([[0], np.cumsum(windows)])
         best = stored(np.repeat(docs, windows))
-        owner_of = np.repeat(np.arange(self.count), lens + 1)
+        owner_of = stored(np.repeat(np.arange(self.count, dtype=np.int32), lens + 1))
 
         def slot(pos):
             """Index into ``best`` of suffixes that start a window, else -1."""
@@ -301,14 +310,22 @@ class Shard:
         for c, x in long_runs:
             best[x] = same[c]
         for pack, numbers, ids, least in self.refs:
+            if not len(ids):
+                continue
             n = windows[ids]
             first = np.cumsum(n) - n
             values = best[np.repeat(base[ids] - first, n) + np.arange(int(n.sum()))]
             news = np.minimum.reduceat(values, first) < least
             if news.any():
                 keep = np.flatnonzero(news)
-                yield (pack, numbers[keep].tobytes(), n[keep].astype(np.uint16).tobytes(),
-                       values[np.repeat(news, n)].tobytes())
+                values, n = values[np.repeat(news, n)], n[keep]
+                # runs of one document: (windows, document) pairs
+                begins = np.zeros(len(values), bool)
+                begins[np.cumsum(n) - n] = True
+                begins[1:] |= values[1:] != values[:-1]
+                at = np.flatnonzero(begins)
+                yield (pack, numbers[keep].tobytes(), np.diff(np.append(at, len(values))).astype(np.uint16).tobytes(),
+                       values[at].tobytes())
 
 
 def cut_pack(table: pa.Table, known: list[bytes], results: list[tuple[bytes, bytes, bytes]], length: int):
@@ -319,17 +336,27 @@ def cut_pack(table: pa.Table, known: list[bytes], results: list[tuple[bytes, byt
     base = np.concatenate([[0], np.cumsum(size)])
     best = np.repeat(least, size)
     for numbers, counts, values in results:
-        k, n = np.frombuffer(numbers, np.uint32).astype(np.int64), np.frombuffer(counts, np.uint16).astype(np.int64)
+        k = np.frombuffer(numbers, np.uint32).astype(np.int64)
+        n = size[k]
         first = np.cumsum(n) - n
-        best[np.repeat(base[k] - first, n) + np.arange(int(n.sum()))] = np.frombuffer(values, np.int64)
-    cover = np.zeros(len(raw) + 1, np.int32)
-    first = np.cumsum(windows) - windows
-    within = np.arange(int(windows.sum())) - np.repeat(first, windows)
-    marked = best[np.repeat(base[which], windows) + within] < np.repeat(ids[doc], windows)
-    at = (np.repeat(start, windows) + within)[marked]
-    np.add.at(cover, at, 1)
-    np.add.at(cover, at + length, -1)
-    gone = np.cumsum(cover[:-1]) > 0
+        best[np.repeat(base[k] - first, n) + np.arange(int(n.sum()))] = np.repeat(
+            np.frombuffer(values, np.int64), np.frombuffer(counts, np.uint16))
+    begins = np.zeros(len(raw) + length + 1, bool)
+    for a in range(0, len(start), 1 << 15):  # segments in blocks: their windows are many
+        n = windows[a:a + (1 << 15)]
+        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        marked = best[np.repeat(base[which[a:a + (1 << 15)]], n) + within] < np.repeat(ids[doc[a:a + (1 << 15)]], n)
+        begins[(np.repeat(start[a:a + (1 << 15)], n) + within)[marked]] = True
+    # a byte goes if a marked window begins at it or at one of the length - 1 before it
+    gone, width = begins, 1
+    while width * 2 <= length:
+        gone = gone.copy()
+        gone[width:] |= gone[:-width].copy()
+        width *= 2
+    if width < length:
+        gone = gone.copy()
+        gone[length - width:] |= gone[:-(length - width)].copy()
+    gone = gone[:len(raw)]
     for k, row in enumerate(rows):
         a, b = offsets[k], offsets[k + 1]
         g = gone[a:b]
@@ -342,7 +369,12 @@ def _packed(docs: DataFrame, packs: int) -> DataFrame:
                        F.pmod(F.xxhash64("doc_id", "text"), F.lit(packs)).cast("int").alias("pack"))
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, pack_bytes: int = PACK_BYTES, spans: bool = False) -> DataFrame:
+def pack_size(total: int) -> int:
+    """Bytes of a pack for this many bytes of text."""
+    return int(min(MOST_PACK, max(LEAST_PACK, 25 * math.sqrt(total))))
+
+
+def remove_repeats(docs: DataFrame, length: int = 50, pack_bytes: int | None = None, spans: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row; with ``spans``
     also ``removed`` (array of start, end) and ``kept`` (the remaining bytes)."""
     if length <= ANCHOR:
@@ -352,13 +384,13 @@ def remove_repeats(docs: DataFrame, length: int = 50, pack_bytes: int = PACK_BYT
     spark = docs.sparkSession
     ship_package(spark)
     total = docs.agg(F.sum(F.octet_length(F.coalesce(F.col("text"), F.lit("")))).alias("n")).first().n or 0
-    packs = max(1, math.ceil(total / pack_bytes))
+    packs = max(1, math.ceil(total / (pack_bytes or pack_size(total))))
     packed = _packed(docs, packs)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def anchors(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         from ledgerlake.llm import suffix_dedup as s
-        got = list(s.pack_anchors(table, length, packs))
+        got = list(s.pack_anchors(table, length, min(packs, s.MOST_BUCKETS)))
         return pa.table({"bucket": pa.array([g[0] for g in got], pa.int32()),
                          "pack": pa.array([key[0].as_py()] * len(got), pa.int32()),
                          "anchors": pa.array([g[1] for g in got], pa.binary()), "several": pa.array([g[2] for g in got], pa.binary())})
@@ -370,7 +402,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, pack_bytes: int = PACK_BYT
 
     def to_shards(key: tuple[pa.Scalar, ...], table: pa.Table, known: pa.Table) -> pa.Table:
         from ledgerlake.llm import suffix_dedup as s
-        got = list(s.pack_segments(table, known.column("known").to_pylist(), length, packs))
+        got = list(s.pack_segments(table, known.column("known").to_pylist(), length, min(packs, s.MOST_SHARDS)))
         return pa.table({"shard": pa.array([g[0] for g in got], pa.int32()),
                          "pack": pa.array([key[0].as_py()] * len(got), pa.int32()),
                          **{c: pa.array([g[k] for g in got], pa.binary()) for k, c in
@@ -416,7 +448,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, pack_bytes: int = PACK_BYT
              .groupBy("bucket").applyInArrow(repeated, "pack int, known binary"))
     pieces = by_pack.cogroup(known.groupBy("pack")).applyInArrow(
         to_shards, "shard int, pack int, numbers binary, lens binary, docs binary, data binary")
-    results = (pieces.repartition(packs, "shard").sortWithinPartitions("shard")
+    results = (pieces.repartition(min(packs, MOST_SHARDS), "shard").sortWithinPartitions("shard")
                .mapInArrow(sort_shard, "pack int, numbers binary, counts binary, docs binary"))
     null = F.lit(None).cast("binary")
     aux = known.select("pack", "known", null.alias("numbers"), null.alias("counts"), null.alias("docs")).unionByName(
