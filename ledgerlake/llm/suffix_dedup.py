@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ship_package, splitmix
+from ledgerlake.llm.common import chunks, ship_package, splitmix
 from ledgerlake.llm.induced import SPILL, ordered_suffixes, stored
 
 ANCHOR = 16
@@ -206,12 +206,13 @@ def _repeats(table: pa.Table, known: list[bytes], length: int):
 
 
 def pack_segments(table: pa.Table, known: list[bytes], length: int, shards: int):
-    """(shard, segment numbers, lengths, smallest documents, bytes) of a pack."""
+    """(shard, segment numbers, lengths, smallest documents, packed bytes) of a pack."""
     *_, strings, least, place = _repeats(table, known, length)
     for shard, k in _slice_by((splitmix(place) % np.uint64(shards)).astype(np.int64)):
+        k = np.array(sorted(k.tolist(), key=strings.__getitem__))  # alike side by side: they pack better
         picked = [strings[x] for x in k]
         yield (shard, k.astype(np.uint32).tobytes(), np.fromiter(map(len, picked), np.uint16, len(k)).tobytes(),
-               least[k].tobytes(), b"".join(picked))
+               least[k].tobytes(), pa.compress(b"".join(picked), "zstd", asbytes=True))
 
 
 class Shard:
@@ -230,6 +231,7 @@ class Shard:
     def add(self, pack: int, numbers: bytes, lens: bytes, docs: bytes, data: bytes) -> None:
         n = np.frombuffer(lens, np.uint16).astype(np.int64)
         ends = np.cumsum(n)
+        data = pa.decompress(data, int(ends[-1]) if len(n) else 0, "zstd", asbytes=True)
         ids = np.empty(len(n), np.int64)
         for k, (a, b) in enumerate(zip((ends - n).tolist(), ends.tolist())):
             s = data[a:b]
@@ -251,6 +253,22 @@ class Shard:
         np.minimum.at(self.docs, ids, least)
         self.refs.append((pack, np.frombuffer(numbers, np.uint32), ids, least))
 
+    @staticmethod
+    def _alone(raw: np.ndarray, begin: np.ndarray, lens: np.ndarray, length: int) -> np.ndarray:
+        """Which segments are the only ones with their anchor in this shard (all
+        segments of an anchor are in it)."""
+        found = []
+        for a, b in chunks(begin):
+            part = np.delete(raw[begin[a]:begin[b]], begin[a + 1:b + 1] - begin[a] - 1)  # without separators
+            anchor, doc, _, _ = segments(part, np.concatenate([[0], np.cumsum(lens[a:b])]), length)
+            if len(anchor) != b - a:
+                raise AssertionError("a segment has one anchor")
+            found.append(anchor)
+        if not found:
+            return np.zeros(0, bool)
+        _, which, times = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+        return times[which] == 1
+
     def results(self, length: int):
         """(pack, segment numbers, run lengths, smallest document of each run) where some
         window has an earlier document than the pack's own; runs are of windows in order."""
@@ -258,34 +276,42 @@ class Shard:
         lens = np.array(self.lens, np.int64)
         begin = np.concatenate([[0], np.cumsum(lens + 1)])
         total = int(begin[-1])
-        self.file.write(b"\xff")  # becomes the smallest symbol, 0
         self.file.seek(0)
         if total < SPILL:
-            text = np.frombuffer(self.file.read(), np.uint8) + np.uint8(1)
+            raw = np.frombuffer(self.file.read(), np.uint8)
         else:
             self.file.rollover()
-            text = np.memmap(self.file._file, np.uint8, "r+", shape=(total + 1,))
-            for a in range(0, total + 1, 1 << 22):
-                text[a:a + (1 << 22)] += np.uint8(1)
-        for a in range(0, total, 1 << 22):
-            if (text[a:min(total, a + (1 << 22))] - np.uint8(1) > 0xFD).any():
+            raw = np.memmap(self.file._file, np.uint8, "r", shape=(total,))
+        # a segment that is its anchor's only one has nothing to be compared with
+        alone = self._alone(raw, begin, lens, length)
+        sorted_ = np.flatnonzero(~alone)
+        place = np.concatenate([[0], np.cumsum(lens[sorted_] + 1)])
+        size = int(place[-1])
+        text = stored(np.zeros(size + 1, np.uint8))  # ends with the smallest symbol, 0
+        at = 0
+        for a, b in chunks(begin):
+            part = raw[begin[a]:begin[b]][np.repeat(~alone[a:b], lens[a:b] + 1)]
+            if (part > 0xFD).any():
                 raise ValueError("text is not UTF-8")
+            np.add(part, 1, out=text[at:at + len(part)])
+            at += len(part)
         docs = self.docs[:self.count]
         windows = lens - length + 1
         # the smallest document per window; segments lie one after the other
         base = np.concatenate([[0], np.cumsum(windows)])
         best = stored(np.repeat(docs, windows))
-        owner_of = stored(np.repeat(np.arange(self.count, dtype=np.int32), lens + 1))
+        owner_of = stored(np.repeat(np.arange(len(sorted_), dtype=np.int32), lens[sorted_] + 1))
 
         def slot(pos):
             """Index into ``best`` of suffixes that start a window, else -1."""
-            own = owner_of[np.minimum(pos, total - 1)]
-            inside = pos - begin[own]
-            return np.where((pos < total) & (inside < windows[own]), base[own] + inside, -1)
+            own = owner_of[np.minimum(pos, size - 1)]
+            inside = pos - place[own]
+            own = sorted_[own]
+            return np.where((pos < size) & (inside < windows[own]), base[own] + inside, -1)
 
         same: dict[int, int] = {}
         long_runs = []
-        for pos, low, run in ordered_suffixes(text, min(length + 8, 250)):
+        for pos, low, run in (ordered_suffixes(text, min(length + 8, 250)) if size else ()):
             head = 0
             n = len(pos)
             while head < n:  # blocks that end between groups
