@@ -86,8 +86,8 @@ def land_billing_mixed(spark: SparkSession, sf_dir: str) -> list[str]:
 def land_cost_responses(spark: SparkSession, sf_dir: str, daily: DataFrame) -> str:
     """Daily cost rows -> response documents ``{ResultsByTime: [{TimePeriod, Groups}]}``.
 
-    One document per (day, page), landed under ``cost_date=<day>/`` so that a window
-    reads its days only. Each day gets ``ceil(groups / 1000)`` pages
+    One document per (day, page), landed under ``cost_month=<yyyy-MM>/`` so that a window
+    reads its months only (folders of one day would be many tiny files). Each day gets ``ceil(groups / 1000)`` pages
     (from a one-row-per-day count, joined behind the size check) and a group
     goes to the page its key hashes to, so a document holds about 1000 groups
     however many accounts a day has. The aggregate runs once.
@@ -108,9 +108,9 @@ def land_cost_responses(spark: SparkSession, sf_dir: str, daily: DataFrame) -> s
         docs = groups.groupBy("cost_date", "page").agg(F.collect_list("g").alias("Groups"))
         period = F.struct(F.col("cost_date").alias("Start"),
                           F.date_format(F.date_add(F.to_date("cost_date"), 1), "yyyy-MM-dd").alias("End"))
-        docs.select("cost_date", F.to_json(F.struct(F.array(F.struct(period.alias("TimePeriod"), "Groups"))
+        docs.select(F.substring("cost_date", 1, 7).alias("cost_month"), F.to_json(F.struct(F.array(F.struct(period.alias("TimePeriod"), "Groups"))
                                                     .alias("ResultsByTime"))).alias("value")) \
-            .repartition("cost_date").write.partitionBy("cost_date").text(path)
+            .repartition("cost_month").write.partitionBy("cost_month").text(path)
     return _once(spark, sf_dir, "cost-responses", write)
 
 

@@ -130,14 +130,14 @@ def test_bucket_names_take_no_line_break(spark):
 
 def test_cost_windows_prune_folders(spark, tmp_path):
     from ledgerlake.sources.costs import read_cost_responses, scan_daily_costs
-    for day in ("2025-04-01", "2025-04-02"):
+    for day in ("2025-03-31", "2025-04-02"):
         doc = {"ResultsByTime": [{"TimePeriod": {"Start": day, "End": day}, "Groups": [
             {"Keys": ["s", "a"], "Metrics": {"UnblendedCost": {"Amount": "1", "Unit": "USD"}}}]}]}
-        write(tmp_path / "r" / f"cost_date={day}" / "p.json", json.dumps(doc))
+        write(tmp_path / "r" / f"cost_month={day[:7]}" / "p.json", json.dumps(doc))
     got = scan_daily_costs(read_cost_responses(spark, str(tmp_path / "r")), dt.date(2025, 4, 2), dt.date(2025, 4, 3))
     assert got.count() == 1
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: []" not in plan and "cost_date" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert "PartitionFilters: []" not in plan and "cost_month" in plan.split("PartitionFilters")[1].split("]")[0]
 
 
 def test_a_large_day_is_several_files(spark, tmp_path, monkeypatch):
