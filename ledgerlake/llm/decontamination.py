@@ -1,22 +1,25 @@
-"""Benchmark decontamination: CGK embedding, bit sampling, exact edit verification.
+"""Benchmark decontamination: character grams, counts by diagonal, exact edit verification.
 
 Texts and items become words (A-Z lowered, other ASCII but letters and digits is a
-separator). The CGK embedding walks over the words of a window: at every step it emits
-the current word and moves on or stays by a random bit of (step, word). Two windows at
-a small edit distance fall into step again after an edit, so their embeddings are at
-a small Hamming distance, which repeated sampling of a few emitted positions finds.
-
-Items fall into classes of lengths [m, 2m). A class looks at windows of the items' size
-m that start at every ``m // 4``-th word of every text; the items' own windows are
-indexed at each of their words, so that some window of a passage always starts
-together with an indexed one. The number of tables follows from the target recall.
-
-Every hit is verified exactly: the smallest edit distance (characters of the joined
-words) between the whole item and any stretch of the text around the hit, by the
-bit-parallel recurrence over the item's length. It counts if it is at most
-``1 - similarity`` times the item's length.
-
-Item keys are broadcast in blocks of at most ``BLOCK_KEYS`` keys, one pass over the
+separator) joined with single spaces. An item counts as held if its edit distance to some
+part of the text is at most ``k``, that is ``1 - similarity`` times its length.
+
+Every gram of ``q`` characters that an item and a text share is a hit on a diagonal (place
+in the text minus place in the item). An alignment within ``k`` edits stays on diagonals
+at most ``k`` apart, so all its hits lie in three neighbouring stripes of ``k / 2``
+diagonals. Three stripes whose hits cover at least ``need`` places of the item are a
+candidate. ``q`` and ``need`` are derived per item from ``k`` and the item's characters and
+words: of simulated passages with exactly ``k`` edits, thrown at random places, spread as
+typos over the words, or one in every stretch of ``length / k`` characters, a share of
+``RECALL`` must reach ``need``. Grams that many items share are left out where the item has
+enough others; ``need`` counts without them then, and which those are is told by a sample of items. Grams are exact, and the folded counters only overcount.
+
+Candidates are verified exactly: pieces of up to 64 characters are compared with their
+parts of the stripes, many candidates at once; a candidate goes only when its pieces' edits
+add up to more than ``k``. For the others the smallest edit distance of the whole item to any
+part of the stretch decides.
+
+Item grams are broadcast in blocks of at most ``BLOCK_KEYS`` slots, one pass over the
 texts per block, so any number of items is covered with a fixed bound.
 
 Edges: null and empty texts and items match nothing, so do items without words; items
@@ -34,11 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import buffers, chunks, lower_table, ship_package, splitmix, word_hashes
+from ledgerlake.llm.common import buffers, chunks, lower_table, ship_package
 
-RECALL, AGREEMENT, SAMPLED, WALKS = 0.95, 0.75, 5, 3
-BLOCK_KEYS = 1_000_000
+RECALL, TRIALS, LONGEST_GRAM = 0.975, 400, 7
+BLOCK_KEYS, SLOTS = 1_000_000, 8  # slots of the gram table for each character of an item
 MIN_WORDS = 6
+CHUNK, PIECE, LANES, LEAST_HITS, STRIPES = 1 << 20, 64, 1 << 13, 6, 3
+COMMON, SAMPLE = 0.03, 2000  # share of (sampled) items that makes a gram common
 
 
 def _plain_table() -> np.ndarray:
@@ -50,101 +55,143 @@ def _plain_table() -> np.ndarray:
 
 
 PLAIN = _plain_table()
-_IS_WORD = PLAIN != 0x20
 
 
 def plain_words(text: str) -> list[bytes]:
     return text.encode("utf-8").translate(PLAIN.tobytes()).split()
 
 
-def tables_for(recall: float = RECALL, agreement: float = AGREEMENT, sampled: int = SAMPLED) -> int:
-    """Tables so that a window whose positions agree with that share is found with
-    this probability."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - agreement ** sampled))
-
-
-class LengthClass:
-    """Windows, walks and sampled positions of items with m to 2m-1 words."""
-
-    def __init__(self, m: int, seed: int = 5):
-        self.m, self.stride = m, max(1, m // 4)
-        self.window = m - self.stride + 1
-        self.steps = max(SAMPLED, int(1.5 * self.window))
-        per_walk = math.ceil(tables_for() / WALKS)
-        rng = np.random.default_rng([seed, m])
-        self.walks = [(rng.integers(1, 1 << 63, self.steps, dtype=np.uint64) | np.uint64(1),
-                       [np.sort(rng.choice(self.steps, min(SAMPLED, self.steps), replace=False)) for _ in range(per_walk)])
-                      for _ in range(WALKS)]
-        self.tables = WALKS * per_walk
-
-    def keys(self, words: np.ndarray, stop: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
-        """One array of keys per table for windows at ``starts``; a walk that passes its
-        window or ``stop`` (its text's end) emits zero from there."""
-        stop = np.minimum(stop, starts + self.window)
-        padded = np.append(words, np.uint64(0))
-        end = len(words)
-        with np.errstate(over="ignore"):
-            for w, (bits, samples) in enumerate(self.walks):
-                at = starts.astype(np.int64).copy()
-                keys = [np.full(len(starts), np.uint64(w * 64 + t + 1)) for t in range(len(samples))]
-                wanted = [set(s.tolist()) for s in samples]
-                last = max(int(s[-1]) for s in samples)
-                for step in range(last + 1):
-                    word = padded[np.where(at < stop, at, end)]
-                    for t, s in enumerate(wanted):
-                        if step in s:
-                            keys[t] = keys[t] * np.uint64(0x9E3779B97F4A7C15) + word
-                    at += ((word * bits[step]) >> np.uint64(63)).astype(np.int64)
-                for k in keys:
-                    yield splitmix(k)
+def allowed_edits(length: int, similarity: float) -> int:
+    return int((1 - similarity) * length + 1e-9)
+
+
+def surviving(length: int, borders: np.ndarray, k: int) -> list[np.ndarray]:
+    """Which characters stay untouched in ``TRIALS`` simulated passages with ``k`` edits, by
+    way of editing: at random, one a word, one a stretch."""
+    rng = np.random.default_rng([length, k])
+    out = []
+    draw = rng.random((TRIALS, length))
+    random_places = np.argsort(draw, 1)[:, :k]
+    out.append(random_places)
+    starts, ends = borders
+    words = np.argsort(rng.random((TRIALS, len(starts))), 1)[:, :k]
+    typos = starts[words] + (rng.random(words.shape) * (ends - starts)[words]).astype(np.int64)
+    out.append(np.concatenate([typos, random_places[:, :k - typos.shape[1]]], 1) if k > typos.shape[1] else typos)
+    out.append(((np.arange(k) + rng.random((TRIALS, k))) * (length / max(k, 1))).astype(np.int64))
+    masks = []
+    for places in out:
+        kept = np.ones((TRIALS, length), np.int32)
+        np.put_along_axis(kept, np.minimum(places, length - 1), 0, 1)
+        masks.append(kept)
+    return masks
+
+
+def gram_rule(body: bytes, k: int, common: dict[int, np.ndarray]) -> tuple[int, int, np.ndarray]:
+    """(q, need, places): the longest grams of which passages with ``k`` edits keep enough, how
+    many they keep, and the grams' places, without common ones where the others are enough."""
+    length = len(body)
+    raw = np.frombuffer(body, np.uint8)
+    space = np.flatnonzero(raw == 0x20)
+    borders = np.append(0, space + 1), np.append(space, length)
+    sums = [np.concatenate([np.zeros((TRIALS, 1), np.int32), np.cumsum(m, 1, dtype=np.int32)], 1)
+            for m in surviving(length, borders, k)]
+    for q in range(min(LONGEST_GRAM, length), 0, -1):
+        whole = [s[:, q:] - s[:, :length - q + 1] == q for s in sums]
+        every = np.arange(length - q + 1)
+        rare = every[~np.isin(grams(raw, q), common[q])]
+        for places in (rare, every):
+            need = min(int(np.quantile(w[:, places].sum(1), 1 - RECALL, method="lower")) for w in whole)
+            if need >= min(LEAST_HITS, len(every)) or q == 1 and places is every:
+                return q, max(1, need), places
+
+
+def common_grams(bodies: Sequence[bytes]) -> dict[int, np.ndarray]:
+    """Per length, the grams that many of the items hold: they find little."""
+    out = {}
+    for q in range(1, LONGEST_GRAM + 1):
+        held = [np.unique(grams(np.frombuffer(b, np.uint8), q)) for b in bodies]
+        gram, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+        out[q] = gram[n > max(2, COMMON * len(bodies))]
+    return out
+
+
+def grams(raw: np.ndarray, q: int) -> np.ndarray:
+    """The ``q`` <= 8 bytes at each place as one integer."""
+    if len(raw) < q:
+        return np.zeros(0, np.uint64)
+    out, have = raw.astype(np.uint64), 1
+    while have < q:
+        step = min(have, q - have)
+        out = out[:-step] | out[step:] << np.uint64(8 * step)
+        have += step
+    return out
+
+
+def hashed(gram: np.ndarray, bits: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ((gram * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int32)
+
+
+class GramTable:
+    """Grams of all items with the same ``q``, found by slot without a search."""
+
+    def __init__(self, q: int, members: list[int], bodies: list[bytes], places: list[np.ndarray]):
+        self.q = q
+        gram = np.concatenate([grams(np.frombuffer(bodies[k], np.uint8), q)[places[k]] for k in members])
+        item = np.repeat(members, [len(places[k]) for k in members])
+        place = np.concatenate([places[k] for k in members])
+        self.bits = min(22, max(12, (len(gram) * SLOTS).bit_length()))
+        slot = hashed(gram, self.bits)
+        order = np.argsort(slot, kind="stable")
+        self.gram, self.item, self.place = gram[order], item[order].astype(np.int32), place[order].astype(np.int32)
+        self.held = np.bincount(slot, minlength=1 << self.bits) > 0
+        self.first = np.append(0, np.cumsum(np.bincount(slot, minlength=1 << self.bits))).astype(np.int32)
+
+    def hits(self, raw: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``raw``, item, place in the item) of every shared gram inside one
+        ``text`` (given per byte)."""
+        gram = grams(raw, self.q)
+        slot = hashed(gram, self.bits)
+        at = np.flatnonzero(self.held[slot])
+        at = at[text[at] == text[at + self.q - 1]]
+        slot = slot[at]
+        begin = self.first[slot]
+        n = self.first[1:][slot] - begin
+        total = np.cumsum(n, dtype=np.int32)
+        row = np.repeat(begin - (total - n), n) + np.arange(int(total[-1]) if len(total) else 0, dtype=np.int32)
+        at = np.repeat(at.astype(np.int32), n)
+        same = self.gram[row] == gram[at]
+        at, row = at[same], row[same]
+        return at, self.item[row], self.place[row]
 
 
 class ItemIndex:
-    """Keys of a block of items, per length class and table."""
+    """Grams of a block of items, and the pieces that verify candidates."""
 
-    def __init__(self, items: Sequence[tuple[object, str]], similarity: float):
+    def __init__(self, items: Sequence[tuple[object, str]], similarity: float, common: dict[int, np.ndarray] | None = None):
         self.similarity = similarity
         self.items = [(i, b" ".join(w), len(w)) for i, t in items if (w := plain_words(t or ""))]
-        groups: dict[int, list[int]] = {}
-        for k, (_, _, n) in enumerate(self.items):
-            groups.setdefault(1 << (n.bit_length() - 1), []).append(k)
-        self.classes = []
-        for m, members in sorted(groups.items()):
-            c = LengthClass(m)
-            tables: list[list] = [[] for _ in range(c.tables)]
-            rows = []
-            for k in members:
-                _, body, n = self.items[k]
-                words = _hashes(body)
-                starts = np.arange(n - c.window + 1)
-                rows.append(np.stack([np.full(len(starts), k), starts], 1))
-                for t, keys in enumerate(c.keys(words, np.full(len(starts), n), starts)):
-                    tables[t].append(keys)
-            where = np.concatenate(rows)
-            ready = []
-            for t in tables:
-                keys = np.concatenate(t)
-                order = np.argsort(keys, kind="stable")
-                bloom = np.zeros(1 << 20, bool)
-                bloom[(keys >> np.uint64(44)).astype(np.int64)] = True
-                ready.append((keys[order], where[order], bloom))
-            self.classes.append((c, ready))
-
-
-def _hashes(plain: bytes) -> np.ndarray:
-    raw = np.frombuffer(plain, np.uint8)
-    starts, ends = _spans(raw, np.array([0, len(raw)]))[:2]
-    return word_hashes(raw, starts, ends)
-
-
-def _spans(raw: np.ndarray, offsets: np.ndarray):
-    inside = np.zeros(len(raw) + 1, bool)
-    inside[:-1] = raw != 0x20
-    border = np.zeros(len(raw) + 1, bool)
-    border[offsets] = True
-    before = np.concatenate([[False], inside[:-1]])
-    starts, ends = np.flatnonzero(inside & (~before | border)), np.flatnonzero(before & (~inside | border))
-    return starts, ends, np.searchsorted(starts, offsets)
+        bodies = [body for _, body, _ in self.items]
+        self.edits = np.array([allowed_edits(len(b), similarity) for b in bodies], np.int64)
+        self.length = np.array([len(b) for b in bodies], np.int64)
+        common = common_grams(bodies) if common is None else common
+        rules = [gram_rule(b, int(k), common) for b, k in zip(bodies, self.edits)]
+        self.need = np.array([need for _, need, _ in rules], np.int64)
+        self.width = np.maximum(1, -(-self.edits // 2))
+        self.shift = -(-self.length // self.width) * self.width  # no diagonal of a text is negative
+        self.tables = [GramTable(q, [k for k, r in enumerate(rules) if r[0] == q], bodies, [r[2] for r in rules]) for q in sorted({r[0] for r in rules})]
+        pieces, self.first_piece = [], [0]
+        for k, body in enumerate(bodies):
+            cuts = np.linspace(0, len(body), -(-len(body) // PIECE) + 1).astype(int)
+            pieces += [(k, a, b) for a, b in zip(cuts, cuts[1:])]
+            self.first_piece.append(len(pieces))
+        self.first_piece = np.array(self.first_piece)
+        self.piece_at = np.array([a for _, a, _ in pieces], np.int64)
+        self.piece_len = np.array([b - a for _, a, b in pieces], np.int64)
+        self.masks = np.zeros((len(pieces), 256), np.uint64)
+        for p, (k, a, b) in enumerate(pieces):
+            for j, c in enumerate(bodies[k][a:b]):
+                self.masks[p, c] |= np.uint64(1 << j)
 
 
 def edit_distance_within(item: bytes, stretch: bytes) -> tuple[int, int]:
@@ -175,66 +222,171 @@ def edit_distance_within(item: bytes, stretch: bytes) -> tuple[int, int]:
     return best, end
 
 
+def candidates(raw: np.ndarray, offsets: np.ndarray, index: ItemIndex) -> tuple[np.ndarray, ...]:
+    """(text, item, first diagonal, last + 1) of the runs of stripes that hit enough places
+    of the item, in order; up to ``STRIPES`` runs that follow each other are one."""
+    texts = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
+    within = np.arange(len(raw), dtype=np.int32) - offsets[:-1].astype(np.int32)[texts]
+    part, shift = 1 / index.width, index.shift.astype(np.int32)
+    found = []
+    for table in index.tables:
+        at, item, place = table.hits(raw, texts)
+        if not len(at):
+            continue
+        text = texts[at]
+        stripe = ((within[at] - place + shift[item] + 0.5) * part[item]).astype(np.int32)  # + 0.5: safe from rounding
+        size = 1 << max(12, (2 * len(at)).bit_length())
+        base = (np.arange(len(index.items)) * 0x9E3779B1 & (size - 1)).astype(np.int32)
+        apart = (np.arange(len(offsets)) * 0x85EBCA6B & (size - 1)).astype(np.int32)
+        slot = (base[item] + apart[text] + stripe) & np.int32(size - 1)
+        counts = np.bincount(slot, minlength=size).astype(np.int32)
+        counts = np.append(counts, counts[:STRIPES - 1])
+        run = sum(counts[j:size + j] for j in range(STRIPES))  # by its first stripe
+        need = index.need.astype(np.int32)
+        needed = need[item]
+        enough = [run[slot - back] >= needed for back in range(STRIPES)]
+        some = np.flatnonzero(np.logical_or.reduce(enough))
+        if not len(some):
+            continue
+        text, item, stripe, place = text[some], item[some], stripe[some], place[some]
+        enough = [e[some] for e in enough]
+        count, span, depth = len(index.items), int(stripe.max()) + STRIPES + 1, int(place.max()) + 1
+        exact = (len(offsets) * count * span * depth).bit_length() < 63
+        key = (text.astype(np.int64) * count + item) * span + stripe + STRIPES
+        if not exact:
+            names, key = np.unique(np.concatenate([key - back for back in range(STRIPES)]), return_inverse=True)
+        keys = []
+        for back, some in enumerate(enough):
+            own = key[some] - back if exact else key[back * len(place):(back + 1) * len(place)][some]
+            keys.append(own * depth + place[some])
+        pairs = np.sort(np.concatenate(keys))
+        pairs = pairs[np.diff(pairs, prepend=-1) != 0] // depth
+        edge = np.flatnonzero(np.diff(pairs, prepend=-1))
+        hits = np.diff(np.append(edge, len(pairs)))
+        key = pairs[edge] if exact else names[pairs[edge]]
+        key = key[hits >= need[key // span % count]]
+        starts = np.diff(key, prepend=-2) != 1
+        nth = np.arange(len(key)) - np.maximum.accumulate(np.where(starts, np.arange(len(key)), 0))
+        head = np.flatnonzero(nth % STRIPES == 0)
+        more = np.diff(np.append(head, len(key))) - 1
+        owner, stripe = np.divmod(key[head], span)
+        text, item = np.divmod(owner, count)
+        begin = offsets[text] + (stripe - STRIPES) * index.width[item] - index.shift[item]
+        found.append(np.stack([text, item, begin, begin + (STRIPES + more) * index.width[item]], 1))
+    if not found:
+        return (np.zeros(0, np.int64),) * 4
+    rows = np.concatenate(found)
+    return tuple(rows[np.lexsort(rows.T[::-1])].T)
+
+
+def plausible(raw: np.ndarray, item: np.ndarray, begin: np.ndarray, end: np.ndarray, low: np.ndarray, high: np.ndarray, index: ItemIndex) -> np.ndarray:
+    """Which candidates may be within the allowed edits: piece by piece, the smallest edits
+    of each in its part of the stripes add up to no more. ``begin`` and ``end``: the
+    diagonals; ``low`` and ``high``: the text."""
+    edits = np.zeros(len(item), np.int64)
+    left = np.arange(len(item))
+    nth = 0
+    while len(left):
+        k = item[left]
+        piece = index.first_piece[k] + nth
+        size = index.piece_len[piece]
+        start = begin[left] + index.piece_at[piece]
+        stop = np.minimum(end[left] + index.piece_at[piece] + size, high[left])
+        edits[left] += piece_edits(raw, np.maximum(start, low[left]), stop, piece, size, index.masks.reshape(-1))
+        nth += 1
+        left = left[(edits[left] <= index.edits[k]) & (nth < np.diff(index.first_piece)[k])]
+    return edits <= index.edits[item]
+
+
+def piece_edits(raw: np.ndarray, start: np.ndarray, stop: np.ndarray, piece: np.ndarray, size: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """Smallest edit distance of each piece to any part of its stretch: the recurrence of
+    ``edit_distance_within`` on many stretches at once."""
+    out = size.copy()
+    one = np.uint64(1)
+    by_length = np.argsort(stop - start, kind="stable")
+    for some in np.array_split(by_length, max(1, -(-len(by_length) // LANES))):
+        place, z, base = start[some].copy(), stop[some], piece[some] * 256
+        top = (size[some] - 1).astype(np.uint64)
+        score = size[some].astype(np.int64)
+        best = score.copy()
+        up, down = np.full(len(some), ~np.uint64(0)), np.zeros(len(some), np.uint64)
+        sure = int((z - place).min(initial=1 << 40))
+        with np.errstate(over="ignore"):
+            for step in range(int((z - place).max(initial=0))):
+                code = raw[place] if step < sure else np.where(place < z, raw[np.minimum(place, len(raw) - 1)], 0)
+                eq = masks[base + code]
+                diagonal = (((eq & up) + up) ^ up) | eq | down
+                plus, minus = down | ~(diagonal | up), diagonal & up
+                score += ((plus >> top) & one).view(np.int64)
+                score -= ((minus >> top) & one).view(np.int64)
+                np.minimum(best, score, out=best)
+                plus <<= one
+                minus <<= one
+                up, down = minus | ~(diagonal | plus), plus & diagonal
+                place += 1
+        out[some] = best
+    return out
+
+
+def joined(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts as words with single spaces, and their offsets."""
+    plain = PLAIN[raw]
+    keep = np.ones(len(plain), bool)
+    keep[1:] = (plain[1:] != 0x20) | (plain[:-1] != 0x20)
+    return plain[keep], np.append(0, np.cumsum(keep))[offsets]
+
+
 def scan(raw: np.ndarray, offsets: np.ndarray, index: ItemIndex, known: dict) -> list[tuple[int, int, int, int, int]]:
     """(text, item position in the index, edits, first word, last word + 1) of every
     verified passage of a run of texts; one per item and stretch."""
-    plain = PLAIN[raw]
-    starts, ends, first = _spans(plain, offsets)
-    words = word_hashes(plain, starts, ends)
-    found: set[tuple[int, int, int]] = set()
-    for c, tables in index.classes:
-        counts = np.diff(first) - c.window + 1
-        some = np.flatnonzero(counts > 0)
-        n = -(-counts[some] // c.stride)
-        owner = np.repeat(some, n)
-        nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        begin = first[owner] + nth * c.stride
-        if not len(begin):
-            continue
-        for (keys, where, bloom), own in zip(tables, c.keys(words, first[owner + 1], begin)):
-            maybe = np.flatnonzero(bloom[(own >> np.uint64(44)).astype(np.int64)])
-            lo = np.searchsorted(keys, own[maybe], "left")
-            hi = np.searchsorted(keys, own[maybe], "right")
-            for w, a, b in zip(maybe[hi > lo], lo[hi > lo], hi[hi > lo]):
-                for k, offset in where[a:b]:
-                    found.add((int(owner[w]), int(k), int(begin[w] - first[owner[w]] - offset)))
+    raw, offsets = joined(raw, offsets)
+    text, item, begin, reach = candidates(raw, offsets, index)
+    if not len(text):
+        return []
+    some = plausible(raw, item, begin, reach, offsets[text], offsets[text + 1], index)
     out, done = [], {}
-    for text, k, at in sorted(found):
+    for t, k, at, past in zip(*(x[some].tolist() for x in (text, item, begin, reach))):
         _, body, n = index.items[k]
-        slack = max(2, n // 4)
-        if (last := done.get((text, k))) is not None and at <= last:
-            continue  # inside a verified passage of this item
-        base, stop = first[text], first[text + 1]
-        lo, hi = max(0, at - slack), min(int(stop - base), at + n + slack)
-        if hi <= lo:
+        limit = int(index.edits[k])
+        low, high = int(offsets[t]), int(offsets[t + 1])
+        a = max(low, at, done.get((t, k), 0))
+        z = min(high, past + len(body))
+        if z <= a:
             continue
-        stretch = b" ".join(plain[starts[base + w]:ends[base + w]].tobytes() for w in range(lo, hi))
+        if n < MIN_WORDS:
+            while a > low and raw[a - 1] != 0x20:
+                a -= 1
+            while z < high and raw[z] != 0x20:
+                z += 1
+        stretch = raw[a:z].tobytes()
         if (verdict := known.get((k, stretch))) is None:
-            if n < MIN_WORDS:
+            verdict = edit_distance_within(body, stretch)
+            if n < MIN_WORDS and verdict[0] <= limit:
                 pos = (b" " + stretch + b" ").find(b" " + body + b" ")
-                verdict = (0, pos + len(body)) if pos >= 0 else (len(body), 0)
-            else:
-                verdict = edit_distance_within(body, stretch)
+                verdict = (0, pos + len(body)) if pos >= 0 else (limit + 1, 0)
             if len(known) > 50_000:
                 known.clear()
             known[(k, stretch)] = verdict
-        edits, _ = verdict
-        if edits <= (1 - index.similarity) * len(body) and (n >= MIN_WORDS or edits == 0):
-            out.append((text, k, edits, lo, hi))
-            done[(text, k)] = at + n - 1
+        edits, end = verdict
+        if edits <= limit:
+            done[(t, k)] = a + end
+            first = len(raw[low:a].tobytes().split()) - (a > low and raw[a - 1] != 0x20 and raw[a] != 0x20)
+            last = first + len(stretch.split())
+            out.append((t, k, edits, first, last))
     return out
 
 
 def _blocks(benchmark: DataFrame, similarity: float) -> Iterator[ItemIndex]:
-    """Indexes of blocks of items, each within the bound on its keys. A word makes
-    one indexed window per table at most."""
+    """Indexes of blocks of items, each within the bound on its slots."""
     rows = benchmark.select(F.col("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    words = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
-    blocks = max(1, math.ceil(words / 2 * WALKS * math.ceil(tables_for() / WALKS) / BLOCK_KEYS))
+    size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    blocks = max(1, math.ceil(size * SLOTS / BLOCK_KEYS))
+    sample = rows.select(F.substring("text", 1, 10_000).alias("text")).orderBy(F.xxhash64("text"), "text").limit(SAMPLE).collect()
+    common = common_grams([b" ".join(plain_words(r.text)) for r in sample])
     for b in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
         if part:
-            index = ItemIndex([(r.item_id, r.text) for r in part], similarity)
+            index = ItemIndex([(r.item_id, r.text) for r in part], similarity, common)
             if index.items:
                 yield index
 
@@ -259,7 +411,7 @@ def _hit_rows(shared):
         index, known = shared.value, {}
         for b in batches:
             raw, offsets = buffers(b.column("text"))
-            for i, j in chunks(offsets):
+            for i, j in chunks(offsets, CHUNK):
                 hits = d.scan(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], index, known)
                 if hits:
                     items = [index.items[h[1]] for h in hits]
@@ -278,7 +430,7 @@ def _holds(shared):
         from ledgerlake.llm import decontamination as d
         raw, offsets = buffers(col)
         hit, known = np.zeros(len(offsets) - 1, bool), {}
-        for i, j in chunks(offsets):
+        for i, j in chunks(offsets, CHUNK):
             for h in d.scan(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], shared.value, known):
                 hit[i + h[0]] = True
         return pa.array(hit)

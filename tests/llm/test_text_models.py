@@ -1,6 +1,7 @@
 """Quality and toxicity models, decontamination."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -179,6 +180,39 @@ def test_decontamination(spark):
     assert dec.drop_contaminated(d, b.limit(0)).count() == len(rows)
 
 
+def garbled(r, text, share, how):
+    """``text`` with edits to that share of its characters: anywhere, or as one typo a word."""
+    out, n = list(text), int(share * len(text))
+    if how == "typos":
+        places = [r.randrange(m.start(), m.end()) for m in re.finditer(r"\S+", text)]
+        for p in r.sample(places, min(n, len(places))):
+            out[p] = r.choice("klmnopq")
+    else:
+        for p in sorted(r.sample(range(len(text)), n), reverse=True):
+            c = r.choice("klmnopq")
+            out[p:p + 1] = {"swap": [c], "drop": [], "add": [out[p], c]}[r.choice(["swap", "swap", "drop", "add"])]
+    return "".join(out)
+
+
+@pytest.mark.parametrize("how", ["anywhere", "typos"])
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.15, 0.2])
+def test_recall_up_to_the_stated_similarity(share, how):
+    r = random.Random(int(share * 100))
+    vocabulary = ["".join(r.choice("abcdefghij") for _ in range(r.randint(2, 9))) for _ in range(600)]
+    say = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    items = [say(r.choice([15, 20, 37, 59])) for _ in range(40)]
+    index = dec.ItemIndex(list(enumerate(items)), 0.8)
+    texts = [(k, say(60) + " " + garbled(r, items[k], share, how) + " " + say(60)) for k in range(40) for _ in range(3)]
+    data = [t.encode() for _, t in texts]
+    hits = dec.scan(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0] + [len(d) for d in data]), index, {})
+    got = {(t, k) for t, k, *_ in hits}
+    want = set()
+    for t, (k, _) in enumerate(texts):
+        if dec.edit_distance_within(items[k].encode(), data[t])[0] <= 0.2 * len(items[k]):
+            want.add((t, k))
+    assert len(want) > 100 and len(want & got) >= 0.95 * len(want)
+
+
 def test_items_in_blocks_give_the_same(spark, monkeypatch):
     d, b = (spark.read.parquet(f"{SF_MED}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = {tuple(r) for r in dec.find_contamination(d, b).collect()}
