@@ -23,8 +23,8 @@ Item grams are broadcast in blocks of at most ``BLOCK_KEYS`` slots, one pass ove
 texts per block, so any number of items is covered with a fixed bound.
 
 Edges: null and empty texts and items match nothing, so do items without words; items
-shorter than ``MIN_WORDS`` words match as exact word sequences; repeated items and rows are
-reported each; an empty table gives an empty result; other columns don't matter.
+shorter than ``MIN_WORDS`` words match whole words only, within the same distance; repeated items and
+rows are reported each; an empty table gives an empty result; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -328,6 +328,23 @@ def piece_edits(raw: np.ndarray, start: np.ndarray, stop: np.ndarray, piece: np.
     return out
 
 
+def whole_words_within(item: bytes, stretch: bytes, limit: int) -> tuple[int, int]:
+    """(smallest edit distance of ``item`` to a run of whole words of ``stretch``, its end), as
+    far as it is within ``limit``."""
+    best, end = len(item) + 1, 0
+    starts = [p for p in range(len(stretch)) if stretch[p] != 0x20 and (p == 0 or stretch[p - 1] == 0x20)]
+    for a in starts:
+        row = list(range(len(item) + 1))
+        for j, c in enumerate(stretch[a:a + len(item) + limit], a + 1):
+            new = [row[0] + 1]
+            for i, x in enumerate(item, 1):
+                new.append(min(new[-1] + 1, row[i] + 1, row[i - 1] + (x != c)))
+            row = new
+            if row[-1] < best and c != 0x20 and (j == len(stretch) or stretch[j] == 0x20):
+                best, end = row[-1], j
+    return best, end
+
+
 def joined(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Texts as words with single spaces, and their offsets."""
     plain = PLAIN[raw]
@@ -362,8 +379,7 @@ def scan(raw: np.ndarray, offsets: np.ndarray, index: ItemIndex, known: dict) ->
         if (verdict := known.get((k, stretch))) is None:
             verdict = edit_distance_within(body, stretch)
             if n < MIN_WORDS and verdict[0] <= limit:
-                pos = (b" " + stretch + b" ").find(b" " + body + b" ")
-                verdict = (0, pos + len(body)) if pos >= 0 else (limit + 1, 0)
+                verdict = whole_words_within(body, stretch, limit)
             if len(known) > 50_000:
                 known.clear()
             known[(k, stretch)] = verdict

@@ -213,6 +213,16 @@ def test_recall_up_to_the_stated_similarity(share, how):
     assert len(want) > 100 and len(want & got) >= 0.95 * len(want)
 
 
+def test_short_items_count_within_the_similarity():
+    items = ["zebra quick brown foxes jumping over"[:35].rsplit(" ", 1)[0], "lamps glow", "cat", "house"]
+    index = dec.ItemIndex(list(enumerate(items)), 0.8)
+    texts = ["so a Zebra quick brawn foxes jumping, it said", "the lamqs glow", "the lamps grow x", "xlamps glowy", "a cat", "a cut", "cats",
+             "houses", "greenhouse", "hause", "green house"]
+    data = [x.encode() for x in texts]
+    hits = dec.scan(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0] + [len(d) for d in data]), index, {})
+    assert {(t, k, e) for t, k, e, *_ in hits} == {(0, 0, 1), (1, 1, 1), (2, 1, 1), (3, 1, 2), (4, 2, 0), (7, 3, 1), (9, 3, 1), (10, 3, 0)}
+
+
 def test_items_in_blocks_give_the_same(spark, monkeypatch):
     d, b = (spark.read.parquet(f"{SF_MED}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = {tuple(r) for r in dec.find_contamination(d, b).collect()}
