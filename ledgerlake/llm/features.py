@@ -94,8 +94,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, lower: bool,
     """(labels, indptr, features) of at most ``bound`` labelled rows that are not
     held out: those with the smallest id hashes, found by a hash threshold first,
     so that the ordering sees about ``bound`` rows. They are few by construction
-    and broadcast, so no text is shuffled. Null labels and ids are left out; of
-    several labels of one id the smallest counts; equal ids are all used."""
+    and broadcast, so only their texts are shuffled. Null labels and ids are left out; of
+    several labels of one id the smallest counts, of several texts the one with the
+    smallest hash: no more than ``bound`` rows reach the driver."""
     spark = docs.sparkSession
     ship_package(spark)
     usable = (labels.where(~held_out()).where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
@@ -104,7 +105,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, lower: bool,
     have = usable.count()
     share = 1.0 if have <= bound else min(1.0, 1.2 * bound / have)
     chosen = usable.where(F.col("h") < F.lit(int(share * (1 << 40)))).orderBy("h", "doc_id").limit(bound)
-    texts = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen.select("doc_id", "y")), "doc_id")
+    texts = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen.select("doc_id", "y")), "doc_id") \
+        .groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")) \
+        .select("doc_id", "y", F.col("t.text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from ledgerlake.llm import features

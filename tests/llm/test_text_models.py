@@ -115,6 +115,15 @@ def test_present_is_the_same_in_any_grouping():
         assert (feature[text == k] == alone).all()
 
 
+def test_sample_has_one_row_for_each_id(spark):
+    rows = [(i, f"word{i} and more") for i in range(30)] + [(i, f"copy {j} of many") for i in range(30) for j in range(40)]
+    lab = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    y, indptr, _ = features.labelled_sample(docs(spark, rows), lab, "quality", True, 10)
+    assert len(y) == 10 and len(indptr) == 11
+    again = features.labelled_sample(docs(spark, rows[::-1]), lab, "quality", True, 10)
+    assert (again[0] == y).all() and (again[1] == indptr).all()
+
+
 # ---------------------------------------------------------------- decontamination
 def edits(a, b):
     """Smallest edit distance of a to any part of b (brute force)."""
