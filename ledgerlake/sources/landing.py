@@ -47,11 +47,11 @@ def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_malformed(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """As a CSV file under the export's own header; a separator that no cell holds
-    keeps Spark from quoting the lines."""
+    """As CSV files of bounded length under the export's own header; a separator that no
+    cell holds keeps Spark from quoting the lines."""
     header = ",".join(BILLING_RAW_NAMES.values())
-    (malformed_lines(spark, sf_dir).withColumnRenamed("line", header).coalesce(1)
-     .write.mode("append").option("header", "true").option("sep", "\u0001").csv(path))
+    (malformed_lines(spark, sf_dir).withColumnRenamed("line", header)
+     .write.mode("append").option("maxRecordsPerFile", ROWS_PER_EXPORT).option("header", "true").option("sep", "\u0001").csv(path))
 
 
 def land_billing_csv(spark: SparkSession, sf_dir: str) -> str:

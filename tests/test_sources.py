@@ -250,3 +250,14 @@ def test_spread_only_few_split_scans(spark, tmp_path):
     assert "ReadSchema: struct<id:bigint>" in plan and "GreaterThan(id,10)" in plan
     many = spark.range(0, 100, numPartitions=cores * 2)
     assert spread(many) is many
+
+
+def test_malformed_lines_land_in_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    from ledgerlake.sources import landing
+    from tests.conftest import SF_SMALL
+    monkeypatch.setattr(landing, "ROWS_PER_EXPORT", 4)
+    landing._write_malformed(spark, SF_SMALL, f"file://{tmp_path}/bad")
+    files = [p.read_text().splitlines()[1:] for p in (tmp_path / "bad").glob("*.csv")]
+    want = sorted(r.line for r in landing.malformed_lines(spark, SF_SMALL).collect())
+    assert sorted(x for f in files for x in f) == want and len(want) > 4
+    assert max(len(f) for f in files) <= 4
