@@ -17,6 +17,7 @@ from ledgerlake.sources.adapters import BILLING_RAW_NAMES, billing_raw, table
 
 _LANDED: dict[tuple[str, str, str], str] = {}
 GROUPS_PER_RESPONSE = 1000  # target groups per response document (pages spread by hash)
+DOCS_PER_FILE = 1000
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
@@ -87,7 +88,8 @@ def land_cost_responses(spark: SparkSession, sf_dir: str, daily: DataFrame) -> s
     """Daily cost rows -> response documents ``{ResultsByTime: [{TimePeriod, Groups}]}``.
 
     One document per (day, page), landed under ``cost_month=<yyyy-MM>/`` so that a window
-    reads its months only (folders of one day would be many tiny files). Each day gets ``ceil(groups / 1000)`` pages
+    reads its months only (folders of one day would be many tiny files); Spark splits a large
+    month over tasks, and a file holds at most ``DOCS_PER_FILE`` documents. Each day gets ``ceil(groups / 1000)`` pages
     (from a one-row-per-day count, joined behind the size check) and a group
     goes to the page its key hashes to, so a document holds about 1000 groups
     however many accounts a day has. The aggregate runs once.
@@ -110,7 +112,8 @@ def land_cost_responses(spark: SparkSession, sf_dir: str, daily: DataFrame) -> s
                           F.date_format(F.date_add(F.to_date("cost_date"), 1), "yyyy-MM-dd").alias("End"))
         docs.select(F.substring("cost_date", 1, 7).alias("cost_month"), F.to_json(F.struct(F.array(F.struct(period.alias("TimePeriod"), "Groups"))
                                                     .alias("ResultsByTime"))).alias("value")) \
-            .repartition("cost_month").write.partitionBy("cost_month").text(path)
+            .hint("rebalance", "cost_month").write.option("maxRecordsPerFile", DOCS_PER_FILE) \
+            .partitionBy("cost_month").text(path)
     return _once(spark, sf_dir, "cost-responses", write)
 
 

@@ -261,3 +261,17 @@ def test_malformed_lines_land_in_files_of_bounded_length(spark, tmp_path, monkey
     want = sorted(r.line for r in landing.malformed_lines(spark, SF_SMALL).collect())
     assert sorted(x for f in files for x in f) == want and len(want) > 4
     assert max(len(f) for f in files) <= 4
+
+
+def test_large_month_of_cost_responses_is_several_files(spark, monkeypatch):
+    from ledgerlake.sources import landing
+    monkeypatch.setattr(landing, "DOCS_PER_FILE", 5, raising=False)
+    daily = spark.createDataFrame([(f"2025-04-{d:02}", f"s{k}", f"{k:012}", "1.5") for d in range(1, 25) for k in range(3)],
+                                  "cost_date string, service string, account_id string, amount string")
+    path = landing.land_cost_responses(spark, "large-month", daily)
+    docs = spark.read.text(path).withColumn("file", F.input_file_name()).collect()
+    per_file = {}
+    for r in docs:
+        per_file.setdefault(r.file, []).append(json.loads(r.value))
+    assert max(map(len, per_file.values())) <= 5 and len(docs) == 24
+    assert sum(len(t["Groups"]) for f in per_file.values() for d in f for t in d["ResultsByTime"]) == 72
