@@ -109,12 +109,13 @@ _WORD_POW = None
 _WORD_BYTE = None
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(raw: np.ndarray, offsets: np.ndarray,
+               gaps: np.ndarray = SPACE_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, first) of the words of a run of texts: byte spans of maximal
-    non-space runs that never cross texts, and per text the index of its first
-    word (length texts + 1)."""
+    runs without a byte of ``gaps`` that never cross texts, and per text the index of its
+    first word (length texts + 1)."""
     inside = np.zeros(len(raw) + 1, dtype=bool)
-    np.logical_not(SPACE_BYTES[raw], out=inside[:-1])
+    np.logical_not(gaps[raw], out=inside[:-1])
     border = np.zeros(len(raw) + 1, dtype=bool)
     border[offsets] = True
     before = np.empty_like(inside)
@@ -144,6 +145,19 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         return splitmix(np.add.reduceat(parts, first) + lens.astype(np.uint64))
 
 
+def same_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray,
+               o_starts: np.ndarray) -> np.ndarray:
+    """Per word of ``raw``: whether the word of equal length at ``o_starts`` in ``other``
+    has the same bytes (words are not empty)."""
+    if not len(starts):
+        return np.zeros(0, bool)
+    lens = ends - starts
+    first = np.cumsum(lens) - lens
+    at = np.arange(int(lens.sum()), dtype=np.int64)
+    return np.logical_and.reduceat(raw[at + np.repeat(starts - first, lens)] == other[at + np.repeat(o_starts - first, lens)],
+                                   first)
+
+
 def word_counts(col: pa.Array) -> pa.Array:
     """Number of ``[^\\x20\\x09-\\x0D]+`` in each text; null counts as empty."""
     raw, offsets = buffers(col)

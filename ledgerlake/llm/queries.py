@@ -111,3 +111,11 @@ def op9(spark, sf):
     """Bytes of all documents without the 50-byte strings that an earlier document holds."""
     from ledgerlake.llm.suffix_dedup import remove_repeats
     return remove_repeats(table(spark, sf, "documents"), 50)
+
+
+@register("op13_pack_sequences")
+def op13(spark, sf):
+    """Pieces of all documents in sequences of at most 2048 tokens of the public 49k vocabulary."""
+    import public_tokenizers
+    from ledgerlake.llm.packing import pack_documents
+    return pack_documents(table(spark, sf, "documents"), str(public_tokenizers.path("word_bpe_49k.json")), 2048)
