@@ -49,14 +49,19 @@ def _nested(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
 
 
+def _exact(name: str) -> str:
+    """A field's name as ``withField`` takes it: dots are part of it, not a path."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _walk(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StructType):
         out = c
         for f in dtype.fields:
             if is_sensitive(f.name):
-                out = out.withField(f.name, masked(c.getField(f.name), f.dataType))
+                out = out.withField(_exact(f.name), masked(c.getField(f.name), f.dataType))
             elif _nested(f.dataType):
-                out = out.withField(f.name, _walk(c.getField(f.name), f.dataType))
+                out = out.withField(_exact(f.name), _walk(c.getField(f.name), f.dataType))
         return out
     if isinstance(dtype, T.ArrayType) and _nested(dtype.elementType):
         return F.transform(c, lambda x: _walk(x, dtype.elementType))
@@ -78,7 +83,7 @@ def mask_sensitive_fields(df: DataFrame) -> DataFrame:
     """Mask sensitive fields of every column (top level and nested)."""
     cols = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = F.col(_exact(f.name))
         if is_sensitive(f.name):
             cols.append(masked(c, f.dataType).alias(f.name))
         elif _nested(f.dataType):

@@ -58,6 +58,20 @@ SELECT CASE WHEN s_suppkey % 10 = 0 THEN '123456789012' ELSE lpad(cast(s_suppkey
        CASE WHEN s_nationkey % 6 = 0 THEN NULL ELSE lower(n_name) END AS business_unit,
        s_suppkey AS seq
 FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey""",
+    # Configuration-like JSON documents, one per order: nested lists, sensitive keys with true and
+    # false values, a null; every 97th is not JSON. Keys are sorted; each row
+    # asks for one path. (Doubled braces are literal ones.)
+    "v_config_documents": """
+SELECT o_orderkey AS id,
+       '{{"auth":{{"Password":' || CASE o_orderkey % 4 WHEN 0 THEN '""' WHEN 1 THEN 'null' WHEN 2 THEN '"p-' || cast(o_custkey AS string) || '"' ELSE '0' END
+       || ',"user":"' || o_orderpriority || '"}},"note":null,"order":' || cast(o_orderkey AS string)
+       || ',"sinks":[{{"api_token":' || CASE WHEN o_orderkey % 3 = 0 THEN 'false' ELSE '"t' || cast(o_custkey AS string) || '"' END
+       || ',"url":"https://h' || cast(o_custkey AS string) || '/[{{"}},[{{"client_secret":' || CASE WHEN o_orderkey % 7 = 0 THEN '{{}}' ELSE '{{"a":[1]}}' END
+       || ',"retries":' || cast(o_orderkey % 5 AS string) || '}}]],"tokens":' || CASE WHEN o_orderkey % 5 = 0 THEN '[1]' ELSE '[]' END
+       || CASE WHEN o_orderkey % 97 = 0 THEN '' ELSE '}}' END AS document,
+       CASE o_orderkey % 8 WHEN 0 THEN 'auth.user' WHEN 1 THEN 'auth.Password' WHEN 2 THEN 'auth.nobody' WHEN 3 THEN 'note'
+            WHEN 4 THEN 'sinks' WHEN 5 THEN 'order' WHEN 6 THEN 'order.line' ELSE 'auth' END AS path
+FROM {orders}""",
     # Delivery outcome log: one row per POST attempt; three consecutive events form a batch.
     "v_delivery_log": """
 SELECT event_id, user_id % 8 AS sink_id, ts, cast(floor(event_id / 3) AS bigint) AS batch_no,
