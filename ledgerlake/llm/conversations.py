@@ -315,7 +315,9 @@ def plans(rows: DataFrame) -> DataFrame:
     pieces = slim.groupBy("piece").agg(
         F.first("key").alias("key"), F.array_join(F.transform(sorted_rows, lambda x: x.getField("letter")), "").alias("classes"),
         F.min("turn").alias("low"), F.max("turn").alias("high"), F.size(F.collect_set("turn")).alias("kinds"))
-    whole = (pieces.join(firsts, "piece", "left")
+    # little data, much work a row: a fixed number of tasks, which AQE doesn't merge
+    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = (pieces.join(firsts, "piece", "left").repartition(spread, "key")
              .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("piece", "classes", "low", "high", "kinds", "firsts"))).alias("all")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
