@@ -5,7 +5,7 @@ ids, then an end mark) form one line, which is cut into windows of at most ``win
 tokens. A cut may fall at the end of a document (free), at the end of a sentence or
 line (``SENTENCE`` tokens of penalty) or, where no such place is near, inside a sentence
 (``INSIDE``). A window of l tokens is padded by ``window - l``, or not at all if l is a
-power of two. With g(i) = cost(i) + i, the best cut before place j is
+power of two (one below ``SHORT`` is made at the end of a line only). With g(i) = cost(i) + i, the best cut before place j is
 
     cost(j) = penalty(j) + min(min of g over places in [j - window, j) + window - j,
                                min of cost(j - p) over powers of two p)
@@ -32,9 +32,11 @@ task gives the same numbers.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,13 +44,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import buffers, chunks, same_words, ship_package, word_hashes, word_spans
+from ledgerlake.llm.token_count import byte_symbols
 
 WINDOW = 2048
 END = 1
 SENTENCE = 4
 INSIDE = 16
+SHORT = 256
 RUN_TOKENS = 1 << 19
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 21
+CHUNK = 1 << 22
+
+# The normalizer and pre-tokenizer that the plain path of WordIds stands for.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+#: Bytes of plain words: printable ASCII without the apostrophe, and the letters U+00C0 to
+#: U+00FF (lead byte C3; without the signs U+00D7 and U+00F7).
+PLAIN = bytes([b for b in range(33, 127) if b != 39] + [0xC3] + [b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)])
+_PARTS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|\\n|[!-/:-@\\[-`{-~]+")
+#: Byte-level stand-ins of the Latin-1 letters.
+_SHOWN = {c: "".join(byte_symbols()[b] for b in chr(c).encode("utf-8")) for c in range(0xC0, 0x100)}
 
 
 def powers(window: int) -> list[int]:
@@ -64,29 +84,38 @@ def choose_cuts(at: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> li
     """Indexes into the ascending places ``at`` (from 0 to the line's length) where the
     cheapest windows begin and end. Neighbouring places lie at most ``window`` apart."""
     n = len(at)
-    before: dict[int, list[int]] = {}
+    tail = int(np.searchsorted(at, at[-1] - window))
+    js, befores = [], []
     for p in powers(window):
-        found = np.searchsorted(at, at - p)
-        hit = np.flatnonzero(at[np.minimum(found, n - 1)] == at - p)
-        for j, i in zip(hit.tolist(), found[hit].tolist()):
-            before.setdefault(j, []).append(i)
+        here = np.arange(tail if p < SHORT else 0, n)  # short sequences only end a line
+        found = np.searchsorted(at, at[here] - p)
+        hit = np.flatnonzero(at[np.minimum(found, n - 1)] == at[here] - p)
+        js.append(here[hit])
+        befores.append(found[hit])
+    order = np.argsort(np.concatenate(js), kind="stable")
+    before = np.concatenate(befores)[order].tolist()
+    upto = np.searchsorted(np.concatenate(js)[order], np.arange(1, n + 1)).tolist()
     place, fee = at.tolist(), penalty.tolist()
     cost, came, g = [0] * n, [0] * n, [0] * n
     queue = deque([0])
+    old, last, push, pop = queue.popleft, queue.pop, queue.append, upto[0]
     for j in range(1, n):
         x = place[j]
         while place[queue[0]] < x - window:
-            queue.popleft()
+            old()
         i = queue[0]
         best = g[i] + window - x
-        for k in before.get(j, ()):
+        while pop < upto[j]:
+            k = before[pop]
+            pop += 1
             if cost[k] < best:
                 best, i = cost[k], k
-        cost[j], came[j] = best + fee[j], i
-        g[j] = cost[j] + x
-        while queue and g[queue[-1]] > g[j]:
-            queue.pop()
-        queue.append(j)
+        came[j] = i
+        cost[j] = best = best + fee[j]
+        g[j] = best = best + x
+        while queue and g[queue[-1]] > best:
+            last()
+        push(j)
     cuts, j = [n - 1], n - 1
     while j:
         j = came[j]
@@ -99,7 +128,8 @@ def places(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, window:
     the last window, and one window after any place that has no candidate
     close below that (repeated across stretches without any)."""
     def merge(*parts):
-        return np.unique(np.concatenate([*parts, [0, total]]))
+        out = np.sort(np.concatenate([*parts, [0, total]]), kind="stable")
+        return out[np.append(True, out[1:] != out[:-1])]
 
     at = merge(doc_ends, sentence_ends, np.arange(max(0, total - window), total))
     fresh, close = at, INSIDE
@@ -107,7 +137,7 @@ def places(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, window:
         far = fresh + window
         far = far[far < total]
         below = at[np.searchsorted(at, far, side="right") - 1]
-        fresh, close = np.unique(far[far - below > close]), window // 16
+        fresh, close = far[far - below > close], window // 16
         at = merge(at, fresh) if len(fresh) else at
     fee = np.full(len(at), INSIDE, np.int64)
     fee[np.searchsorted(at, sentence_ends)] = SENTENCE
@@ -137,51 +167,106 @@ class WordIds:
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
-        self.encode = Tokenizer.from_str(vocabulary).encode_batch_fast
+        spec = json.loads(vocabulary)
+        self.library = Tokenizer.from_str(vocabulary)
+        self.simple = spec["pre_tokenizer"] == PRE_TOKENIZER and spec["normalizer"] == NORMALIZER
+        self.special = [t["content"].encode() for t in spec.get("added_tokens", [])]
+        self.parts: dict[str, list[int]] = {}
         self.forget()
 
-    def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.first = np.zeros(1 << 12, np.int64)  # word k has flat[first[k]:first[k + 1]]
+    def encoded(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of each word. A word of ASCII characters and Latin-1 letters needs no general
+        normalisation: it is lowered, cut into its pre-tokens here, and the library's merge model
+        gives the ids of each. All other words go through the whole library."""
+        plain = [self.simple and not w.translate(None, PLAIN) for w in words]
+        if any(t in b"\n".join(words) for t in self.special):
+            plain = [p and not any(t in w for t in self.special) for w, p in zip(words, plain)]
+        text = b"\n".join([*(w for w, p in zip(words, plain) if p), b""]).decode("utf-8").lower()
+        if len(self.parts) > REMEMBERED // 4:
+            self.parts.clear()
+        parts, model, out, word = self.parts, self.library.model.tokenize, [], []
+        for part in _PARTS.findall(text):
+            if part == "\n":
+                out.append(word)
+                word = []
+                continue
+            ids = parts.get(part)
+            if ids is None:
+                ids = parts[part] = [t.id for t in model(part if part.isascii() else part.translate(_SHOWN))]
+            word = word + ids if word else ids
+        if len(out) < len(words):
+            rest = [w.decode("utf-8", "replace") for w, p in zip(words, plain) if not p]
+            others = iter([e.ids for e in self.library.encode_batch_fast(rest, add_special_tokens=False)])
+            simple = iter(out)
+            out = [next(simple) if p else next(others) for p in plain]
+        return out
 
-    def slots(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) + len(words) > REMEMBERED:
-            self.forget()
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        if new:
-            ids = [e.ids for e in self.encode([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)]
-            n = len(self.known)
-            lens = np.fromiter(map(len, ids), np.int64, len(ids))
-            used = int(self.first[n])
-            while len(self.first) < n + len(new) + 1:
-                self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-            while len(self.flat) < used + lens.sum():
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.first[n + 1:n + len(new) + 1] = used + np.cumsum(lens)
-            self.flat[used:used + int(lens.sum())] = np.fromiter((i for x in ids for i in x), np.uint32, int(lens.sum()))
-            self.known.update(zip(new, range(n, n + len(new))))
-        known = self.known
-        return np.fromiter((known[w] for w in words), np.int64, len(words))
+    def forget(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)  # sorted, with the word's number beside
+        self.number = np.zeros(0, np.int64)
+        self.text = _Grown(np.uint8)  # words' bytes
+        self.begin = _Grown(np.int64)
+        self.length = _Grown(np.int64)
+        self.ids = _Grown(np.uint32)
+        self.first = _Grown(np.int64)
+        self.count = _Grown(np.int64)
+
+    def _add(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of words, encoded anew."""
+        lists = self.encoded(words)
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        lens = np.fromiter(map(len, words), np.int64, len(words))
+        base = self.first.size
+        self.first.add(self.ids.size + np.cumsum(counts) - counts)
+        self.ids.add(np.fromiter(chain.from_iterable(lists), np.uint32, int(counts.sum())))
+        self.count.add(counts)
+        self.begin.add(self.text.size + np.cumsum(lens) - lens)
+        self.text.add(np.frombuffer(b"".join(words), np.uint8))
+        self.length.add(lens)
+        return base + np.arange(len(words))
 
     def of(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(slot's first id, number of ids) of every word of ``raw``."""
+        """(place of the first id in ``ids``, number of ids) of every word of ``raw``. Hashes group
+        equal words and find known ones; bytes are compared, and words that only share
+        a hash are encoded by themselves."""
         if not len(starts):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        _, one, group = np.unique(word_hashes(raw, starts, ends), return_index=True, return_inverse=True)
-        data = raw.tobytes()
-        slot = self.slots([data[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())])[group]
-        model = one[group]
-        same = ends - starts == ends[model] - starts[model]
-        same[same] = same_words(raw, starts[same], ends[same], raw, starts[model[same]])
-        if not same.all():  # words that share a hash with another word
+        every, one, group = np.unique(word_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        if len(self.hashes) + len(every) > REMEMBERED:
+            self.forget()
+        at = np.searchsorted(self.hashes, every)
+        known = np.zeros(len(every), bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == every[inside]
+        numbers = np.zeros(len(every), np.int64)
+        numbers[known] = self.number[at[known]]
+        data, (b, e) = raw.tobytes(), (starts[one[~known]], ends[one[~known]])
+        numbers[~known] = fresh = self._add([data[x:y] for x, y in zip(b.tolist(), e.tolist())])
+        self.hashes = np.insert(self.hashes, at[~known], every[~known])
+        self.number = np.insert(self.number, at[~known], fresh)
+        word = numbers[group]
+        same = ends - starts == self.length.all[word]
+        same[same] = same_words(raw, starts[same], ends[same], self.text.all, self.begin.all[word[same]])
+        if not same.all():
             odd = np.flatnonzero(~same)
-            size = len(self.known)
-            again = self.slots([data[a:b] for a, b in zip(starts[odd].tolist(), ends[odd].tolist())])
-            if len(self.known) < size:
-                return self.of(raw, starts, ends)
-            slot[odd] = again
-        return self.first[slot], self.first[slot + 1] - self.first[slot]
+            word[odd] = self._add([data[x:y] for x, y in zip(starts[odd].tolist(), ends[odd].tolist())])
+        return self.first.all[word], self.count.all[word]
+
+
+class _Grown:
+    """An array that grows by doubling."""
+
+    def __init__(self, kind):
+        self.all, self.size = np.zeros(1 << 12, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        need = self.size + len(values)
+        if need > len(self.all):
+            grown = np.zeros(max(need, 2 * len(self.all)), self.all.dtype)
+            grown[:self.size] = self.all[:self.size]
+            self.all = grown
+        self.all[self.size:need] = values
+        self.size = need
 
 
 _STOPS = np.zeros(256, bool)
@@ -210,10 +295,10 @@ def token_lines(raw: np.ndarray, offsets: np.ndarray, words: WordIds, end: int =
     begin = upto[:-1] + doc_of  # one end mark after each earlier document
     line = np.full(int(upto[-1]) + docs, end, np.uint32)
     shift = np.arange(int(upto[-1]))
-    line[shift + np.repeat(doc_of, count)] = words.flat[shift + np.repeat(slot - upto[:-1], count)]
+    line[shift + np.repeat(doc_of, count)] = words.ids.all[shift + np.repeat(slot - upto[:-1], count)]
     doc_ends = upto[first[1:]] + np.arange(1, docs + 1)
     inside = (begin + count)[_ends_sentence(raw, starts, ends)] if len(starts) else np.zeros(0, np.int64)
-    return line, doc_ends, np.unique(inside)
+    return line, doc_ends, inside
 
 
 def pack_line(line: np.ndarray, doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int = WINDOW) -> dict[str, np.ndarray]:
@@ -290,7 +375,7 @@ def pack_documents(docs: DataFrame, vocabulary_path: str, window: int = WINDOW,
         held = packing._Run()
         for b in batches:
             raw, offsets = packing.buffers(b.column("text"))
-            for i, j in packing.chunks(offsets):
+            for i, j in packing.chunks(offsets, packing.CHUNK):
                 part = raw[offsets[i]:offsets[j]]
                 held.add(b.column("doc_id").slice(i, j - i),
                          *packing.token_lines(part, offsets[i:j + 1] - offsets[i], words, end))

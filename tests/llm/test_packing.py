@@ -15,7 +15,8 @@ from ledgerlake.llm import packing
 
 PATH = str(public_tokenizers.path("word_bpe_49k.json"))
 EDGE = ["", None, " ", "Hello World. It's  fine!\nNew line", "a<|endoftext|>b <|startoftext|>", "\x1c a\x1f b\x85c d　e",
-        "ÀÉ ñ ΑΣ ΣΑΣ. İ", "é ́x", "。好！ 你好。", "x" * 9000, "word " * 5000, "A.b.C. " * 900, "😀 😀😀", "don't DON'T we'll"]
+        "ÀÉ ñ ΑΣ ΣΑΣ. İ", "é ́x", "。好！ 你好。", "x" * 9000, "word " * 5000, "A.b.C. " * 900, "😀 😀😀", "don't DON'T we'll", "\x01 a\x01b \x01\x01 c\x01",
+        "Straße ÀÖØÞ×÷ÿ ß1²3 a1b22c ~!@#$%^&*()_+`{}[]|\\:;<>,./? x_y-z", "<|endoftext|>. É<|x|>"]
 
 
 @pytest.fixture(scope="module")
@@ -48,7 +49,7 @@ _SHARED = []
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n\t\xa0　ab'sñΣ1<|>.!"), st.characters(codec="utf-8")),
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n\t\xa0　ab'sñÉ×Σ1<|>.!\x01"), st.characters(codec="utf-8")),
                         max_size=40), max_size=4))
 def test_ids_match_library_on_any_text(texts):
     if not _SHARED:
@@ -67,7 +68,7 @@ def test_remembered_words_are_bounded(library, monkeypatch):
     own = packing.WordIds(packing.check_vocabulary(PATH))
     for text in ("one two", "three four", "five six seven eight nine", "one two"):
         assert lined(own, [text])[0].tolist() == whole(library, text)
-        assert len(own.known) <= 5
+        assert len(own.hashes) <= 5
 
 
 def plain_cost(at, fee, window):
@@ -84,7 +85,9 @@ def test_cuts_cost_as_little_as_the_plain_program(steps):
     at = np.cumsum([0, *(s for s, _ in steps)])
     fee = np.array([0, *(f for _, f in steps)])
     fee[-1] = 0
-    cuts = packing.choose_cuts(at, fee, 16)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(packing, "SHORT", 1)
+        cuts = packing.choose_cuts(at, fee, 16)
     assert cuts[0] == 0 and cuts[-1] == len(at) - 1
     lengths = np.diff(at[cuts])
     assert lengths.min() > 0 and lengths.max() <= 16
