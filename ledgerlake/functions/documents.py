@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.mask import MASK, SENSITIVE
+from ledgerlake.session import share_package
 
 _OBJECT, _LIST = "map<string,variant>", "array<variant>"
 BAD_JSON = "_bad_json"
@@ -124,6 +125,8 @@ def mask_json_columns(df: DataFrame, columns: Sequence[str], depth: int | None =
     document) is measured unless it is given; rows deeper than a given one raise.
     ``_bad_json`` tells rows in which a text was not JSON."""
     known = deepest(df, columns) if depth is None else depth
+    if known > LEVELS:
+        share_package(df.sparkSession)
     out, bad = {}, F.lit(False)
     for c in columns:
         text = F.col(f"`{c}`")

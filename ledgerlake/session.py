@@ -6,8 +6,10 @@ Library code never changes the caller's session beyond what is listed here;
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +63,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def share_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per SparkContext, for the few jobs whose
+    Python classes run there (stateful processors, data sources)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_ledgerlake_shared", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerlake-pkg-"), "ledgerlake_shared.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("ledgerlake", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._ledgerlake_shared = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -183,6 +183,22 @@ def scan_by_format(spark: SparkSession, files: list[str], multi_line: bool = Tru
     return _union(frames)
 
 
+def present_files(spark: SparkSession, files: list[str]) -> set[str]:
+    """Those of the named files that exist: one listing of each folder they lie in."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    by_folder: dict[str, list[str]] = {}
+    for f in files:
+        by_folder.setdefault(f.rpartition("/")[0], []).append(f)
+    found = set()
+    for folder, names in by_folder.items():
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            there = {s.getPath().getName() for s in fs.listStatus(path) if s.isFile()}
+            found.update(f for f in names if f.rpartition("/")[2] in there)
+    return found
+
+
 def readable_files(spark: SparkSession, files: list[str]) -> tuple[list[str], dict[str, str]]:
     """Files that the scans accept, and the others with the reason."""
     csv = [f for f in files if f.endswith(".csv")]

@@ -26,16 +26,18 @@ def _item(kind: Column, bucket: Column, key: Column, body: Column, reason: Colum
                     body.cast(s).alias("body"), reason.cast(s).alias("reason"))
 
 
-def parse_arrival_events(events: DataFrame, column: str = "value", id_col: str | None = None) -> DataFrame:
+def parse_arrival_events(events: DataFrame, column: str = "value", id_col: str | None = None,
+                         keep: tuple[str, ...] = ()) -> DataFrame:
     """JSON event text -> one row per contained record, in one parse and one explode.
 
     Direct actions (``{"action": ...}``) give one row; notification events give
     one row per entry of ``Records`` (all of them, not only the first);
     anything else gives one ``unsupported`` row. Columns: ``event_id`` (if
-    given), ``record_index``, ``kind`` (crm_sync | billing_file | queue_message |
+    given), the columns named in ``keep``, ``record_index``, ``kind`` (crm_sync | billing_file | queue_message |
     unsupported), ``bucket``, ``key``, ``body``, ``reason``, ``ok``.
     """
-    keep = [F.col(id_col).alias("event_id")] if id_col else []
+    kept = [F.col(id_col).alias("event_id")] if id_col else []
+    kept += [F.col(c) for c in keep]
     e = F.from_json(F.col(column), ARRIVAL_EVENT)
     action, records = e["action"], F.coalesce(e["Records"], F.array())
     null = F.lit(None)
@@ -59,6 +61,6 @@ def parse_arrival_events(events: DataFrame, column: str = "value", id_col: str |
     items = (F.when(F.coalesce(action.isin(*DIRECT_ACTIONS), F.lit(False)), direct)
              .when(F.size(records) > 0, F.transform(records, per_record))
              .otherwise(unsupported))
-    out = events.select(*keep, F.posexplode(items).alias("record_index", "r"))
-    return out.select(*(["event_id"] if id_col else []), "record_index", "r.*").withColumn(
+    out = events.select(*kept, F.posexplode(items).alias("record_index", "r"))
+    return out.select(*(["event_id"] if id_col else []), *keep, "record_index", "r.*").withColumn(
         "ok", F.col("reason").isNull())
