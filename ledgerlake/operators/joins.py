@@ -10,9 +10,22 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 500_000
 
 
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows. Reads at most n+1 rows per partition."""
-    return df.limit(n + 1).count() <= n
+# ... and no more than this many bytes of values, so that wide rows don't pass by their number.
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def has_at_most(df: DataFrame, n: int, most_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``n`` rows and their text at most ``most_bytes``. One partial and final
+    aggregate: a task sends one row, whatever ``df`` holds (``limit(n + 1)`` would bring n + 1
+    rows of every task to a single one)."""
+    width = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        c = F.col("`" + f.name.replace("`", "``") + "`")
+        size = F.octet_length(c if f.dataType.typeName() in ("string", "binary") else
+                              F.to_json(F.struct(c)) if f.dataType.typeName() in ("struct", "array", "map") else c.cast("string"))
+        width = width + F.coalesce(size, F.lit(0)).cast("long")
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= n and size <= most_bytes
 
 
 def lookup_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

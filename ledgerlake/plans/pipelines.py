@@ -7,10 +7,12 @@ sinks split it into the delivered table and the quarantine table.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as _dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.operators.aggregate import daily_cost_by_service_account
 from ledgerlake.operators.enrich import map_cost_category, tag_records
@@ -112,3 +114,19 @@ def resume_extract(src: DataFrame, prefix: str, page_size: int, ctx: RunContext
     if found["n"]:
         write_checkpoint(spark, prefix, query, found["last"], done + found["n"], ctx.ingest_ts)
     return page
+
+
+def resume_to_end(src: DataFrame, prefix: str, page_size: int, ctx: RunContext = DEFAULT_CONTEXT,
+                  key: str = "Id") -> DataFrame:
+    """All rows of a keyset extract with their ``page`` (from 1): ``resume_extract`` run after run, one
+    minute apart, until a page comes back empty. Pages are written as they come and read back
+    together. Rows without a key are no part of a keyset extract."""
+    spark, folder = src.sparkSession, f"{prefix.rstrip('/')}-pages"
+    page, found, src = 0, True, src.where(F.col(key).isNotNull())
+    while found:
+        page += 1
+        run = dataclasses.replace(ctx, ingest_ts=ctx.ingest_ts + _dt.timedelta(minutes=page - 1))
+        rows = resume_extract(src, prefix, page_size, run, key)
+        rows.write.mode("overwrite").parquet(f"{folder}/page={page}")
+        found = not spark.read.schema(rows.schema).parquet(f"{folder}/page={page}").isEmpty()
+    return spark.read.schema(T.StructType([*src.schema.fields, T.StructField("page", T.IntegerType())])).parquet(folder)

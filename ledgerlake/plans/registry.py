@@ -7,6 +7,7 @@ flattened to text so both engines render them the same way.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from ledgerlake.operators.project import (project_accounts, project_billing, pro
 from ledgerlake.params import DEFAULT_CONTEXT as CTX
 from ledgerlake.plans import sql as Q
 from ledgerlake.plans.pipelines import daily_costs_from_usage, transform_billing
+from ledgerlake.session import scratch_path
 from ledgerlake.sources import crm
 from ledgerlake.sources.account_map import scan_account_map_items
 from ledgerlake.sources.adapters import adapter, billing_raw
@@ -103,14 +105,16 @@ TAG_OUT_SQL = ", ".join(TAG_OUT)
 @register("billing_cost_by_category", Q.compose("""
 SELECT cost_category, cast(cast(sum(try_cast(cast(cost AS varchar) AS decimal(28,12))) AS varchar) AS double) AS total_cost,
        count(*) AS records,
-       count(*) FILTER (WHERE reject_reason IS NULL) AS valid_records
+       count(*) FILTER (WHERE reject_reason IS NULL) AS valid_records,
+       count(*) FILTER (WHERE try_cast(cast(cost AS varchar) AS decimal(28,12)) IS NULL) AS unsummed_rows
 FROM billing_val GROUP BY cost_category""", "billing_val"))
 def q_billing_cost_by_category(spark, sf):
     recs = billing_records(spark, sf)
     return recs.groupBy("cost_category").agg(
         F.try_sum(money(F.col("cost"))).cast("double").alias("total_cost"),
         F.count(F.lit(1)).alias("records"),
-        F.count_if(F.col(val.REASON).isNull()).alias("valid_records"))
+        F.count_if(F.col(val.REASON).isNull()).alias("valid_records"),
+        F.count_if(money(F.col("cost")).isNull()).alias("unsummed_rows"))
 
 
 # ---------------------------------------------------------------- projections
@@ -596,24 +600,21 @@ def q_account_map_default(spark, sf):
         F.col("`identity/LineItemId`").alias("line_item_id"), "cost_category")
 
 
+RESUMED_PAGES = 8
+
+
 @register("resume_extract", Q.compose(f"""
-SELECT *, cast((rn - 1) // {PAGE} + 1 AS integer) AS page FROM (
-  SELECT Id, Name, AccountId, row_number() OVER (ORDER BY Id) AS rn FROM v_opportunities) WHERE rn <= 3 * {PAGE}""",
-                                    "v_opportunities"))
+SELECT Id, Name, AccountId, cast((rn - 1) // size + 1 AS integer) AS page FROM (
+  SELECT Id, Name, AccountId, row_number() OVER (ORDER BY Id) AS rn, cast(ceil(count(*) OVER () / {RESUMED_PAGES - 0.5}) AS bigint) AS size
+  FROM v_opportunities)""", "v_opportunities"))
 def q_resume_extract(spark, sf):
-    """Three runs of an extract that saves a checkpoint after each page and resumes from it."""
-    import dataclasses
-    import datetime
-    from ledgerlake.plans.pipelines import resume_extract
-    from ledgerlake.session import scratch_path
-    prefix, src = scratch_path(spark, "resume"), opportunities_src(spark, sf).select("Id", "Name", "AccountId")
-    pages = []
-    for k in range(3):
-        ctx = dataclasses.replace(CTX, ingest_ts=CTX.ingest_ts + datetime.timedelta(minutes=k))
-        pages.append(resume_extract(src, prefix, PAGE, ctx).withColumn("page", F.lit(k + 1)))
-    out = pages[0].unionByName(pages[1]).unionByName(pages[2])
-    from pyspark.sql import Window
-    return out.withColumn("rn", F.row_number().over(Window.orderBy("Id")).cast("bigint"))
+    """An extract that saves a checkpoint after each page, every page a run that resumes from the
+    last, until a page comes back empty. The page size grows with the table, so that the number of
+    pages doesn't; the last page is short."""
+    from ledgerlake.plans.pipelines import resume_to_end
+    src = opportunities_src(spark, sf).select("Id", "Name", "AccountId")
+    size = max(1, math.ceil(src.count() / (RESUMED_PAGES - 0.5)))
+    return resume_to_end(src, scratch_path(spark, "resume"), size, CTX)
 
 
 @register("join_on_crosswalk", Q.compose("""

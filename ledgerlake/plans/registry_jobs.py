@@ -23,6 +23,7 @@ from ledgerlake.schemas import REGISTRY
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks.envelope_stream import read_envelopes, stream_envelopes
 from ledgerlake.sinks.files import write_partitioned_csv
+from ledgerlake.sources import billing as bsrc
 from ledgerlake.sources import crm, landing
 from ledgerlake.sources.adapters import adapter, billing_raw
 from ledgerlake.sources.pages import read_pages, write_pages
@@ -189,3 +190,19 @@ def q_landing_observed(spark, sf):
     path = scratch_path(spark, "observed")
     landed = land_daily_costs(cost_responses(spark, sf), None, CTX, OBSERVED_WINDOW)
     return landing_observed(landed, lambda d: write_partitioned_csv(d, path), OBSERVED_WINDOW)
+
+
+# ---------------------------------------------------------------- refused files
+@register("check_required_columns", Q.compose("""
+SELECT 'month-' || billing_period AS file, CASE WHEN missing = '' THEN NULL ELSE missing END AS missing FROM (
+  SELECT DISTINCT billing_period, CASE right(billing_period, 2) WHEN '01' THEN 'lineItem/UnblendedCost'
+         WHEN '02' THEN 'lineItem/UnblendedCost,lineItem/UsageAccountId' WHEN '03' THEN 'lineItem/UsageAccountId' ELSE '' END AS missing
+  FROM v_billing_raw)""", "v_billing_raw"))
+def q_check_required_columns(spark, sf):
+    """Which monthly exports the required-columns gate refuses, with the columns they lack (three
+    months of each year are landed without some)."""
+    folder = landing.land_monthly_exports(spark, sf)
+    checked = bsrc.required_columns_report(spark, folder)
+    month = F.regexp_extract("file", r"folder=(month-[0-9-]+)/", 1)
+    return checked.groupBy(month.alias("file")).agg(F.max(F.array_join("missing", ",")).alias("missing")).select(
+        "file", F.nullif("missing", F.lit("")).alias("missing"))

@@ -54,12 +54,7 @@ def inspect_csv(spark: SparkSession, paths: list[str] | str) -> tuple[dict[tuple
     distinct header before the driver sees it (file names are what Spark's own
     reader keeps there, too). Pass ``columns`` to the scans to skip this pass.
     """
-    lines = spark.read.text(paths)
-    at_start = F.col("_metadata.file_block_start") == 0
-    firsts = (lines.select(F.col("_metadata.file_path").alias("file"), at_start.alias("start"), "value",
-                           F.monotonically_increasing_id().alias("nth"))
-              .where("start").groupBy("file").agg(F.min_by("value", "nth").alias("header")))
-    found = firsts.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    found = _headers(spark, paths).groupBy("header").agg(F.collect_list("file").alias("files")).collect()
     layouts: dict[tuple[str, ...], list[str]] = {}
     rejected: dict[str, str] = {}
     for row in found:
@@ -74,6 +69,25 @@ def inspect_csv(spark: SparkSession, paths: list[str] | str) -> tuple[dict[tuple
     return layouts, rejected
 
 
+def required_columns_report(spark: SparkSession, paths: list[str] | str,
+                            required: Iterable[str] = REQUIRED_BILLING_COLUMNS) -> DataFrame:
+    """(file, header, missing) of every CSV file below ``paths`` that holds a byte: the required columns
+    that its header lacks, sorted (an empty list for an accepted file). The headers stay on Spark,
+    so that a folder of any number of files can be checked."""
+    needed = F.array(*[F.lit(c) for c in sorted(required)])
+    cells = F.transform(F.split("header", ","), lambda c: F.btrim(c, F.lit('"')))
+    return _headers(spark, paths).select("file", "header", F.array_except(needed, cells).alias("missing"))
+
+
+def _headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """(file, header): the first line of each file, by one scan of the first splits' lines."""
+    lines = spark.read.text(paths)
+    at_start = F.col("_metadata.file_block_start") == 0
+    return (lines.select(F.col("_metadata.file_path").alias("file"), at_start.alias("start"), "value",
+                         F.monotonically_increasing_id().alias("nth"))
+            .where("start").groupBy("file").agg(F.min_by("value", "nth").alias("header")))
+
+
 def _plain(uri: str) -> str:
     """One spelling for a file's name (``file:///a`` and ``file:/a`` are the same)."""
     from urllib.parse import unquote

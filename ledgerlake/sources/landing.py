@@ -64,6 +64,24 @@ def land_billing_csv(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "billing-csv", write)
 
 
+def land_monthly_exports(spark: SparkSession, sf_dir: str) -> str:
+    """Billing exports by month (``month-<yyyy-MM>/``), as CSV files of four layouts: those of January,
+    February and March lack a required column or two."""
+    cost, account = "lineItem/UnblendedCost", "lineItem/UsageAccountId"
+    gone = {"01": [cost], "02": [cost, account], "03": [account]}
+
+    def write(path):
+        raw = billing_raw(spark, sf_dir)
+        month = F.substring("`bill/BillingPeriod`", -2, 2)
+        some = {k: raw.where(month == k).drop(*v) for k, v in gone.items()}
+        some["rest"] = raw.where(~month.isin(list(gone)))
+        for rows in some.values():
+            rows = rows.withColumn("folder", F.concat(F.lit("month-"), F.col("`bill/BillingPeriod`")))
+            (rows.hint("rebalance", "folder").write.mode("append").option("maxRecordsPerFile", ROWS_PER_EXPORT)
+             .option("header", "true").option("escape", '"').partitionBy("folder").csv(path))
+    return _once(spark, sf_dir, "billing-months", write)
+
+
 def land_billing_parquet(spark: SparkSession, sf_dir: str) -> str:
     def write(path):
         billing_raw(spark, sf_dir).write.parquet(path)

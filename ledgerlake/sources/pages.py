@@ -61,7 +61,9 @@ def write_pages(extract: DataFrame, path: str, page_size: int, key: str = "Id",
     (pages.withColumn("h", head).select(chunk.alias("chunk"), "batch_number", line.alias("value"))
      .repartition("chunk").sortWithinPartitions("chunk", "batch_number").drop("batch_number")
      .write.partitionBy("chunk").text(path))
-    saved = extract.sparkSession.read.schema("value string, chunk long").text(path)
+    # the chunk is in the file's path (an extract without rows has no chunk folder at all)
+    saved = extract.sparkSession.read.schema("value string").text(path).select(
+        "value", F.regexp_extract("_metadata.file_path", r"/chunk=(\d+)/", 1).cast("long").alias("chunk"))
     ends = F.from_json("value", "page long, first_id string, last_id string")
     (saved.select("chunk", ends.alias("e")).groupBy("chunk").agg(F.min("e.first_id").alias("first_id"), F.max("e.last_id").alias("last_id"),
                                                                  F.count(F.lit(1)).alias("pages"))
@@ -134,7 +136,9 @@ class PageReader(DataSourceReader):
             return
         system, root = open_folder(self.path)
         target, held = to_arrow_schema(self.schema), []
-        dates = [f.name for f in self.schema if f.dataType.typeName() == "date"]
+        kinds = {f.name: f.dataType.typeName() for f in self.schema}
+        dates = [n for n, k in kinds.items() if k == "date"]
+        floats = [n for n, k in kinds.items() if k in ("double", "float")]
         files = system.get_file_info(fs.FileSelector(f"{root}/chunk={partition.value}"))
         for info in sorted(files, key=lambda i: i.path):
             if not info.is_file or not info.base_name.startswith("part-"):
@@ -148,6 +152,9 @@ class PageReader(DataSourceReader):
                         for d in dates:
                             if record.get(d) is not None:
                                 record[d] = _dt.date.fromisoformat(record[d][:10])
+                        for d in floats:
+                            if isinstance(record.get(d), str):  # NaN and infinities are text in JSON
+                                record[d] = float(record[d])
                         if all(record.get(n) is not None and _TESTS[t](record[n], v) for n, t, v in self.tests):
                             held.append(record)
                     if len(held) >= BATCH_ROWS:

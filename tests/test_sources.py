@@ -275,3 +275,35 @@ def test_large_month_of_cost_responses_is_several_files(spark, monkeypatch):
         per_file.setdefault(r.file, []).append(json.loads(r.value))
     assert max(map(len, per_file.values())) <= 5 and len(docs) == 24
     assert sum(len(t["Groups"]) for f in per_file.values() for d in f for t in d["ResultsByTime"]) == 72
+
+
+def test_size_check_sends_one_row_a_task(spark):
+    """Rows and bytes are counted by a partial aggregate; no task sends rows to a single one."""
+    from ledgerlake.operators import joins
+    df = spark.range(1000).select("id", F.lit("x" * 100).alias("v"), F.array(F.lit(1)).alias("a.b"), F.lit(None).cast("string").alias("n"))
+    assert joins.has_at_most(df, 1000) and not joins.has_at_most(df, 999)
+    assert not joins.has_at_most(df, 1000, most_bytes=50_000)
+    assert joins.has_at_most(df.limit(0), 0)
+    assert "Broadcast" in joins.lookup_side(df, 1000).join(df, "id")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_extract_resumes_until_a_page_is_empty(spark, tmp_path):
+    import glob
+    from ledgerlake.plans.pipelines import resume_to_end
+    rows = [(f"k{i:03d}", i) for i in range(25)] + [(None, -1)]
+    src = spark.createDataFrame(rows, "Id string, v int").repartition(3)
+    for size, pages in ((10, 3), (5, 5), (25, 1), (100, 1)):
+        out = resume_to_end(src, str(tmp_path / f"c{size}"), size).collect()
+        assert sorted(r.Id for r in out) == [f"k{i:03d}" for i in range(25)]
+        assert {r.Id: r.page for r in out} == {f"k{i:03d}": i // size + 1 for i in range(25)}
+        assert len(glob.glob(str(tmp_path / f"c{size}" / "checkpoint-*"))) == pages  # an empty page saves nothing
+    assert resume_to_end(src.limit(0), str(tmp_path / "none"), 5).collect() == []
+
+
+def test_required_columns_of_a_folder(spark, tmp_path):
+    from ledgerlake.sources.billing import required_columns_report
+    (tmp_path / "a.csv").write_text('"lineItem/UsageAccountId","lineItem/UnblendedCost"\n1,2\n')
+    (tmp_path / "b.csv").write_text("x,lineItem/UnblendedCost\n1,2\n")
+    (tmp_path / "c.csv").write_text("\n")
+    got = {r.file.rsplit("/", 1)[1]: r.missing for r in required_columns_report(spark, str(tmp_path)).collect()}
+    assert got == {"a.csv": [], "b.csv": ["lineItem/UsageAccountId"], "c.csv": ["lineItem/UnblendedCost", "lineItem/UsageAccountId"]}
