@@ -88,8 +88,9 @@ def _near(a: str, b: str, bits: int) -> Column:
 def links(nodes: DataFrame) -> DataFrame:
     """Links (a, b) between distinct fingerprints that leave components as all pairs
     within two bits would."""
-    # 64 keys come from each row: spread the rows before, however few bytes they are
-    nodes = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    # 64 keys come from each row: spread the rows before, however few bytes they are; by a key
+    # that the aggregate below doesn't have, or the planner would take the exchange out
+    nodes = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
     sizes = written(_variants(nodes).groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "simhash-keys")
     two = sizes.where("n = 2").select("a", "b").where(_near("a", "b", 2))
