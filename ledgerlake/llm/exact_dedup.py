@@ -18,6 +18,7 @@ whole at any length; an empty table gives an empty result; only ``doc_id`` and
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,13 @@ def _keyed(docs: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
                        F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "file", "at").alias("place"))
 
 
+def pattern_of(path: str) -> str:
+    """A pattern that matches the path alone: with one, the source takes a table of one file, too."""
+    bare = path.rstrip("/")
+    plain = re.sub(r"([\[\]{}*?\\])", r"\\\1", bare)
+    return plain if plain != bare else f"{bare[:-1]}[{bare[-1]}]"
+
+
 def run_stream(spark: SparkSession, path: str, state: str, table: str, digest=sha256, files_per_batch: int | None = None) -> None:
     """Bring the state in ``state`` and the table of changed keys up to date with
     the files below ``path``."""
@@ -55,8 +63,7 @@ def run_stream(spark: SparkSession, path: str, state: str, table: str, digest=sh
     reader = own.readStream.schema(spark.read.parquet(path).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    # a pattern that matches the path alone: the source takes a table of one file, too
-    keys = (_keyed(reader.parquet(f"{path[:-1]}[{path[-1]}]"), digest).groupBy("digest", "n")
+    keys = (_keyed(reader.parquet(pattern_of(path)), digest).groupBy("digest", "n")
             .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("size")))
 
     def keep(batch: DataFrame, number: int) -> None:
