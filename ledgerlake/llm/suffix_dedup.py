@@ -158,9 +158,11 @@ def pack_anchors(table: pa.Table, length: int, buckets: int):
     pack hold it)."""
     _, _, data, offsets = _read_pack(table)
     anchor, doc, _, _ = segments(np.frombuffer(data, np.uint8), offsets, length)
+    if not len(anchor):  # no text of the pack is as long as a window
+        return
     order = np.lexsort((doc, anchor))
     anchor, doc = anchor[order], doc[order]
-    first = np.concatenate([[True], anchor[1:] != anchor[:-1]]) if len(anchor) else np.zeros(0, bool)
+    first = np.concatenate([[True], anchor[1:] != anchor[:-1]])
     at = np.flatnonzero(first)
     last = np.append(at[1:], len(anchor)) - 1
     own, several = anchor[at], (doc[at] != doc[last]).astype(np.uint8)

@@ -177,6 +177,14 @@ def test_exact_dedup(spark, tmp_path):
     assert ed.exact_dedup(spark, empty).count() == 0
 
 
+def test_exact_dedup_takes_any_path(spark, tmp_path):
+    rows = [(1, "a"), (2, "a"), (3, "b")]
+    assert ed.pattern_of("/a/b/") == "/a/[b]" and ed.pattern_of("/a/b*") == "/a/b\\*"
+    plain = tmp_path / "plain"
+    docs(spark, rows).write.parquet(str(plain))
+    assert sorted((r.doc_id, r.keep_id) for r in ed.exact_dedup(spark, f"{plain}/").collect()) == [(1, 1), (2, 1), (3, 3)]
+
+
 def test_exact_dedup_goes_on_with_new_files(spark, tmp_path):
     one, two = [(10, "a b"), (11, "c")], [(3, "a  b"), (12, "c"), (13, "d")]
     path = write(docs(spark, one), tmp_path, "grow")
@@ -250,6 +258,16 @@ def test_suffix_dedup(spark, monkeypatch):
     assert suffix_dedup.remove_repeats(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("rows", [
+    [(1, "abc"), (2, "abd")], [(1, None), (2, ""), (None, None)], [(1, "x" * 49), (2, "x" * 49)],
+    [(1, "ab"), (2, None), (3, "word " * 30), (4, "word " * 30), (5, "z")]])
+def test_suffix_dedup_of_short_texts(spark, rows):
+    """Packs of short, null and empty texts, alone and beside a pack of long ones."""
+    want = brute_suffix(rows, 50)
+    for pack_bytes in (None, 4):  # one pack; nearly one for each row
+        assert Counter(tuple(x) for x in suffix_dedup.remove_repeats(docs(spark, rows), 50, pack_bytes).collect()) == want
+
+
 def test_segments_cover_every_window_once(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE", 400)
     r = random.Random(0)
