@@ -7,8 +7,9 @@
    ``max_epochs`` times its size and its excess is reshared.
 3. Each source's blocks are put in a keyed permutation per epoch and taken until
    the target is covered: that many blocks are the source's quota. The last block
-   is taken in part, its last document by its first words, so that a source's taken
-   words equal its rounded target.
+   is taken in part. Documents are taken whole: the one at the target is taken or
+   left, whichever misses the target by less. Only where both would miss by more than ``NEAR`` of
+   the target (a source of few documents, a very long one) it is cut after its first words.
 4. A splitting tree halves the output shards again and again and draws how many
    blocks of each source go left from the multivariate hypergeometric
    distribution (left total fixed), down to one shard: shards get equal numbers of
@@ -37,6 +38,7 @@ from ledgerlake.llm.common import quoted, ship_package, word_count, written
 MAX_SOURCES = 100_000
 BLOCKS = 1024
 SHARDS = 64
+NEAR = 0.01
 
 
 def targets_for(sizes: Sequence[int], weights: Sequence[float], total: float, max_epochs: float) -> list[float]:
@@ -131,12 +133,18 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), total_ratio:
              .drop("cuts", "place"))
 
     # documents of the drawn blocks; only a source's last block needs an order inside
-    docs_in = rows.withColumnRenamed("source", "_s").join(*known).drop("_s", "source", "to_take")
-    drawn_docs = docs_in.select("row", "source_no", "block", "identity", "size").join(drawn, ["source_no", "block"])
+    sized = rows.withColumnRenamed("source", "_s").join(*known).drop("_s", "source")
+    docs_in = sized.drop("to_take")
+    drawn_docs = sized.select("row", "source_no", "block", "identity", "size", "to_take").join(drawn, ["source_no", "block"])
     whole = drawn_docs.where("take = words").withColumn("part", F.col("size"))
     inside = Window.partitionBy("source_no", "block", "epoch").orderBy(_order("identity", "epoch", seed=seed + 3), "identity", "size", "row")
+    # the document at the target is taken or left whole, whichever misses by less; it is cut
+    # only where either would miss by more than NEAR of the source's words
+    left, over = F.col("take") - F.col("_before"), F.col("_before") + F.col("size") - F.col("take")
+    whole_or_none = F.when(over <= left, F.col("size")).otherwise(F.lit(0))
     cut = (drawn_docs.where("take < words").withColumn("_before", F.sum("size").over(inside) - F.col("size"))
-           .withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("take") - F.col("_before"))))
+           .withColumn("part", F.when(over <= 0, F.col("size")).when(left <= 0, F.lit(0))
+                       .when(F.least(over, left) <= NEAR * F.col("to_take"), whole_or_none).otherwise(left))
            .drop("_before"))
     pieces = (whole.unionByName(cut).where("part > 0")
               .groupBy("row").agg(F.sum("part").alias("taken"), F.sort_array(F.collect_list(F.struct(
@@ -149,8 +157,8 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), total_ratio:
 
 def emit_mix(docs: DataFrame, plan: DataFrame, seed: int = 17, placed: bool = True) -> DataFrame:
     """The mixed rows: every column of ``docs`` once per piece, and where ``placed``
-    its mix_shard and mix_place; a piece of fewer words has its text cut after them
-    (words then joined by one space), and ``n_chars`` follows the text.
+    its mix_shard and mix_place. Texts are whole but for a piece of fewer words than its document (see
+    ``mix_plan``): that is cut behind them, white space kept, and ``n_chars`` follows the text.
     Rows with equal id and text are matched one to one. Clashing names are safe:
     the source columns travel in one struct."""
     names = docs.columns
@@ -164,8 +172,8 @@ def emit_mix(docs: DataFrame, plan: DataFrame, seed: int = 17, placed: bool = Tr
                          "size", F.explode("pieces").alias("p"))
     rows = left.join(right, F.col("id").eqNullSafe(F.col("id2")) & (F.col("identity") == F.col("identity2"))
                      & (F.col("nth") == F.col("nth2")))
-    short = F.array_join(F.slice(F.split(F.regexp_replace("d.text", r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+"),
-                                 F.lit(1), F.col("p.words").cast("int")), " ")
+    spaced = F.regexp_extract_all(F.col("d.text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    short = F.array_join(F.slice(spaced, F.lit(1), F.col("p.words").cast("int")), "")
     text = F.when(F.col("p.words") >= F.col("size"), F.col("d.text")).otherwise(short)
     rows = rows.withColumn("text2", text)
     out = []

@@ -125,7 +125,8 @@ def test_mix(spark):
         assert r.taken == sum(p.words for p in r.pieces or [])
     for s in order:
         if want[s]:
-            assert abs(by[want[s]] - sum(round(want[x]) for x in order if want[x] == want[s])) <= 1
+            words = sum(round(want[x]) for x in order if want[x] == want[s])
+            assert abs(by[want[s]] - words) <= 1 + mixing.NEAR * words
     again = mixing.mix_plan(df.repartition(3), shards=8, blocks=16).collect()
     key = lambda x: sorted((str(r.doc_id), r.size, r.taken, str(r.pieces)) for r in x)
     assert key(out) == key(again)
@@ -136,3 +137,33 @@ def test_mix(spark):
     per = Counter(r.mix_shard for r in got)
     assert set(per) <= set(range(8))
     assert mixing.mix_plan(docs(spark, [])).count() == 0
+
+
+def test_mixed_texts_are_whole_where_that_comes_near(spark):
+    """Sources of many documents: every mixed text is an input text, white space and all. A
+    source of one document can only be cut: at a word's end, the rest as it was."""
+    rng = np.random.default_rng(3)
+    rows = [(i, "\n\n".join(f"w{k}  x" for k in range(int(rng.integers(1, 30)))), "abc"[i % 3]) for i in range(1500)]
+    rows += [(9000 + k, "a\n\nb   c d e f g " + "h " * k, f"one{k}") for k in range(3)]
+    df = docs(spark, rows)
+    mixed = mixing.emit_mix(df, mixing.mix_plan(df, shards=4, blocks=16)).collect()
+    texts = {t for _, t, _ in rows}
+    cut = [r for r in mixed if r.text not in texts]
+    assert all(r.doc_id >= 9000 for r in cut) and len(cut) <= 3
+    for r in cut:
+        whole = dict((i, t) for i, t, _ in rows)[r.doc_id]
+        assert whole.startswith(r.text) and whole[len(r.text)].isspace() and r.n_chars == len(r.text)
+
+
+def test_mix_is_written_by_shards_in_their_order(spark, tmp_path):
+    df = docs(spark, [(i, "w " * (i % 7 + 1), "ab"[i % 2]) for i in range(200)])
+    mixed = mixing.emit_mix(df, mixing.mix_plan(df, shards=4, blocks=16))
+    mixing.write_mix(mixed, str(tmp_path / "mix"), shards=4)
+    back = spark.read.parquet(str(tmp_path / "mix"))
+    rows = lambda d: Counter((r.doc_id, r.text, r.mix_shard, r.mix_place) for r in d.collect())
+    assert rows(back) == rows(mixed)
+    for folder in (tmp_path / "mix").glob("mix_shard=*"):
+        files = sorted(folder.glob("*.parquet"))
+        assert len(files) == 1
+        places = [r.mix_place for r in spark.read.parquet(str(files[0])).coalesce(1).collect()]
+        assert places == sorted(places)
