@@ -8,11 +8,13 @@ Every gram of ``q`` characters that an item and a text share is a hit on a diago
 in the text minus place in the item). An alignment within ``k`` edits stays on diagonals
 at most ``k`` apart, so all its hits lie in three neighbouring stripes of ``k / 2``
 diagonals. Three stripes whose hits cover at least ``need`` places of the item are a
-candidate. ``q`` and ``need`` are derived per item from ``k`` and the item's characters and
-words: of simulated passages with exactly ``k`` edits, thrown at random places, spread as
-typos over the words, or one in every stretch of ``length / k`` characters, a share of
-``RECALL`` must reach ``need``. Grams that many items share are left out where the item has
-enough others; ``need`` counts without them then, and which those are is told by a sample of items. Grams are exact, and the folded counters only overcount.
+candidate. ``q``, ``need`` and the places are derived per item from ``k`` and the item's characters
+and words: of simulated passages with exactly ``k`` edits, thrown at random places, spread as
+typos over the words, one in every stretch of ``length / k`` characters, or one every
+``length / k`` characters, a share of ``RECALL`` must reach ``need``, by way of each. The longest grams that
+can are taken, and of these as few of the rarest as reach ``LEAST_HITS``; how rare a gram is, is told by the first 10,000
+characters of a sample of ``SAMPLE`` items (that decides which grams are looked up, not what is found). Grams are exact,
+and the folded counters only overcount.
 
 Candidates are verified exactly: pieces of up to 64 characters are compared with their
 parts of the stripes, many candidates at once; a candidate goes only when its pieces' edits
@@ -43,7 +45,8 @@ RECALL, TRIALS, LONGEST_GRAM = 0.975, 400, 7
 BLOCK_KEYS, SLOTS = 1_000_000, 8  # slots of the gram table for each character of an item
 MIN_WORDS = 6
 CHUNK, PIECE, LANES, LEAST_HITS, STRIPES = 1 << 20, 64, 1 << 13, 6, 3
-COMMON, SAMPLE = 0.03, 2000  # share of (sampled) items that makes a gram common
+SEGMENT, MOST_HITS = 1 << 16, 1 << 22
+SAMPLE = 2000  # items that tell how common a gram is
 
 
 def _plain_table() -> np.ndarray:
@@ -67,7 +70,7 @@ def allowed_edits(length: int, similarity: float) -> int:
 
 def surviving(length: int, borders: np.ndarray, k: int) -> list[np.ndarray]:
     """Which characters stay untouched in ``TRIALS`` simulated passages with ``k`` edits, by
-    way of editing: at random, one a word, one a stretch."""
+    way of editing: at random, one a word, one a stretch, one every so many characters."""
     rng = np.random.default_rng([length, k])
     out = []
     draw = rng.random((TRIALS, length))
@@ -78,6 +81,7 @@ def surviving(length: int, borders: np.ndarray, k: int) -> list[np.ndarray]:
     typos = starts[words] + (rng.random(words.shape) * (ends - starts)[words]).astype(np.int64)
     out.append(np.concatenate([typos, random_places[:, :k - typos.shape[1]]], 1) if k > typos.shape[1] else typos)
     out.append(((np.arange(k) + rng.random((TRIALS, k))) * (length / max(k, 1))).astype(np.int64))
+    out.append(((np.arange(k) + rng.random((TRIALS, 1))) * (length / max(k, 1))).astype(np.int64))
     masks = []
     for places in out:
         kept = np.ones((TRIALS, length), np.int32)
@@ -86,35 +90,50 @@ def surviving(length: int, borders: np.ndarray, k: int) -> list[np.ndarray]:
     return masks
 
 
-def gram_rule(body: bytes, k: int, common: dict[int, np.ndarray]) -> tuple[int, int, np.ndarray]:
-    """(q, need, places): the longest grams of which passages with ``k`` edits keep enough, how
-    many they keep, and the grams' places, without common ones where the others are enough."""
+def gram_rule(body: bytes, k: int, counts: dict[int, tuple[np.ndarray, np.ndarray]]) -> tuple[int, int, np.ndarray]:
+    """(q, need, places): the longest grams of which passages with ``k`` edits keep enough, as few
+    of the item's rarest as do, and how many of those such passages keep."""
     length = len(body)
     raw = np.frombuffer(body, np.uint8)
     space = np.flatnonzero(raw == 0x20)
     borders = np.append(0, space + 1), np.append(space, length)
     sums = [np.concatenate([np.zeros((TRIALS, 1), np.int32), np.cumsum(m, 1, dtype=np.int32)], 1)
             for m in surviving(length, borders, k)]
+    worst = int((1 - RECALL) * TRIALS)  # so many of the trials may keep fewer
+
+    def kept(w: np.ndarray) -> np.ndarray:
+        return np.partition(w, worst, axis=0)[worst]
+
     for q in range(min(LONGEST_GRAM, length), 0, -1):
         whole = [s[:, q:] - s[:, :length - q + 1] == q for s in sums]
-        every = np.arange(length - q + 1)
-        rare = every[~np.isin(grams(raw, q), common[q])]
-        for places in (rare, every):
-            need = min(int(np.quantile(w[:, places].sum(1), 1 - RECALL, method="lower")) for w in whole)
-            if need >= min(LEAST_HITS, len(every)) or q == 1 and places is every:
-                return q, max(1, need), places
+        every = length - q + 1
+        least = min(LEAST_HITS, every)
+        if q > 1 and min(int(kept(w.sum(1))) for w in whole) < least:
+            continue
+        rare = np.argsort(frequency(grams(raw, q), counts[q]), kind="stable")
+        need = np.min([kept(np.cumsum(w[:, rare], 1, dtype=np.int32)) for w in whole], axis=0)  # of the first 1, 2, ... places
+        enough = np.flatnonzero(need >= least)
+        m = int(enough[0]) + 1 if len(enough) else every
+        return q, max(1, int(need[m - 1])), np.sort(rare[:m])
 
 
-def common_grams(bodies: Sequence[bytes]) -> dict[int, np.ndarray]:
-    """Per length, the grams that many of the items hold: they find little."""
+def gram_counts(bodies: Sequence[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Per length, how often the items hold each gram: common grams find little."""
     out = {}
     for q in range(1, LONGEST_GRAM + 1):
-        held = [np.unique(grams(np.frombuffer(b, np.uint8), q)) for b in bodies]
-        gram, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
-        out[q] = gram[n > max(2, COMMON * len(bodies))]
+        out[q] = np.unique(np.concatenate([np.zeros(0, np.uint64), *(grams(np.frombuffer(b, np.uint8), q) for b in bodies)]),
+                           return_counts=True)
     return out
 
 
+def frequency(gram: np.ndarray, counts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    known, n = counts
+    if not len(known):
+        return np.zeros(len(gram), np.int64)
+    at = np.minimum(np.searchsorted(known, gram), len(known) - 1)
+    return np.where(known[at] == gram, n[at], 0)
+
+
 def grams(raw: np.ndarray, q: int) -> np.ndarray:
     """The ``q`` <= 8 bytes at each place as one integer."""
     if len(raw) < q:
@@ -147,6 +166,11 @@ class GramTable:
         self.held = np.bincount(slot, minlength=1 << self.bits) > 0
         self.first = np.append(0, np.cumsum(np.bincount(slot, minlength=1 << self.bits))).astype(np.int32)
 
+    def expected(self, raw: np.ndarray) -> int:
+        """At most how many hits ``raw`` has."""
+        slot = hashed(grams(raw, self.q), self.bits)
+        return int((self.first[1:][slot] - self.first[slot]).sum(dtype=np.int64))
+
     def hits(self, raw: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place in ``raw``, item, place in the item) of every shared gram inside one
         ``text`` (given per byte)."""
@@ -168,14 +192,14 @@ class GramTable:
 class ItemIndex:
     """Grams of a block of items, and the pieces that verify candidates."""
 
-    def __init__(self, items: Sequence[tuple[object, str]], similarity: float, common: dict[int, np.ndarray] | None = None):
+    def __init__(self, items: Sequence[tuple[object, str]], similarity: float, counts: dict[int, tuple[np.ndarray, np.ndarray]] | None = None):
         self.similarity = similarity
         self.items = [(i, b" ".join(w), len(w)) for i, t in items if (w := plain_words(t or ""))]
         bodies = [body for _, body, _ in self.items]
         self.edits = np.array([allowed_edits(len(b), similarity) for b in bodies], np.int64)
         self.length = np.array([len(b) for b in bodies], np.int64)
-        common = common_grams(bodies) if common is None else common
-        rules = [gram_rule(b, int(k), common) for b, k in zip(bodies, self.edits)]
+        counts = gram_counts(bodies) if counts is None else counts
+        rules = [gram_rule(b, int(k), counts) for b, k in zip(bodies, self.edits)]
         self.need = np.array([need for _, need, _ in rules], np.int64)
         self.width = np.maximum(1, -(-self.edits // 2))
         self.shift = -(-self.length // self.width) * self.width  # no diagonal of a text is negative
@@ -224,7 +248,39 @@ def edit_distance_within(item: bytes, stretch: bytes) -> tuple[int, int]:
 
 def candidates(raw: np.ndarray, offsets: np.ndarray, index: ItemIndex) -> tuple[np.ndarray, ...]:
     """(text, item, first diagonal, last + 1) of the runs of stripes that hit enough places
-    of the item, in order; up to ``STRIPES`` runs that follow each other are one."""
+    of the item, in order; up to ``STRIPES`` runs that follow each other are one.
+
+    Long texts are searched in segments that overlap by more than any passage is long, and
+    texts with very many hits (of repetitive items) a few at a time, so that memory stays
+    bounded whatever the texts hold."""
+    reach = int(2 * (index.length + index.edits + STRIPES * index.width).max(initial=1))
+    size = max(SEGMENT, 4 * reach)
+    owner, begins, ends = [], [], []
+    for t, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+        at = list(range(a, max(a + 1, b - reach), size - reach))
+        owner += [t] * len(at)
+        begins += at
+        ends += [min(b, x + size) for x in at]
+    owner, begins, ends = np.array(owner, np.int64), np.array(begins, np.int64), np.array(ends, np.int64)
+    if len(owner) > len(offsets) - 1:
+        raw = np.concatenate([raw[a:b] for a, b in zip(begins.tolist(), ends.tolist())])
+    cuts = np.append(0, np.cumsum(ends - begins))
+    found, todo = [], [(0, len(owner))]
+    while todo:
+        i, j = todo.pop()
+        part = raw[cuts[i]:cuts[j]]
+        if j - i > 1 and max((t.expected(part) for t in index.tables), default=0) > MOST_HITS:
+            todo += [((i + j) // 2, j), (i, (i + j) // 2)]
+            continue
+        text, item, first, last = _candidates(part, cuts[i:j + 1] - cuts[i], index)
+        move = begins[i + text] - (cuts[i + text] - cuts[i])
+        found.append(np.stack([owner[i + text], item, first + move, last + move], 1))
+    rows = np.concatenate(found) if found else np.zeros((0, 4), np.int64)
+    return tuple(np.unique(rows, axis=0).T) if len(rows) else (np.zeros(0, np.int64),) * 4
+
+
+def _candidates(raw: np.ndarray, offsets: np.ndarray, index: ItemIndex) -> tuple[np.ndarray, ...]:
+    """``candidates`` of a few texts."""
     texts = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
     within = np.arange(len(raw), dtype=np.int32) - offsets[:-1].astype(np.int32)[texts]
     part, shift = 1 / index.width, index.shift.astype(np.int32)
@@ -361,6 +417,11 @@ def scan(raw: np.ndarray, offsets: np.ndarray, index: ItemIndex, known: dict) ->
     if not len(text):
         return []
     some = plausible(raw, item, begin, reach, offsets[text], offsets[text + 1], index)
+    starts = raw != 0x20  # where words start
+    starts[1:] &= raw[:-1] == 0x20
+    inner = offsets[(offsets > 0) & (offsets < len(raw))]
+    starts[inner] = raw[inner] != 0x20
+    words = np.append(0, np.cumsum(starts))
     out, done = [], {}
     for t, k, at, past in zip(*(x[some].tolist() for x in (text, item, begin, reach))):
         _, body, n = index.items[k]
@@ -386,7 +447,7 @@ def scan(raw: np.ndarray, offsets: np.ndarray, index: ItemIndex, known: dict) ->
         edits, end = verdict
         if edits <= limit:
             done[(t, k)] = a + end
-            first = len(raw[low:a].tobytes().split()) - (a > low and raw[a - 1] != 0x20 and raw[a] != 0x20)
+            first = int(words[a] - words[low]) - bool(a > low and raw[a - 1] != 0x20 and raw[a] != 0x20)
             last = first + len(stretch.split())
             out.append((t, k, edits, first, last))
     return out
@@ -398,11 +459,11 @@ def _blocks(benchmark: DataFrame, similarity: float) -> Iterator[ItemIndex]:
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     blocks = max(1, math.ceil(size * SLOTS / BLOCK_KEYS))
     sample = rows.select(F.substring("text", 1, 10_000).alias("text")).orderBy(F.xxhash64("text"), "text").limit(SAMPLE).collect()
-    common = common_grams([b" ".join(plain_words(r.text)) for r in sample])
+    counts = gram_counts([b" ".join(plain_words(r.text)) for r in sample])
     for b in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
         if part:
-            index = ItemIndex([(r.item_id, r.text) for r in part], similarity, common)
+            index = ItemIndex([(r.item_id, r.text) for r in part], similarity, counts)
             if index.items:
                 yield index
 

@@ -238,3 +238,81 @@ def test_items_in_blocks_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(dec, "BLOCK_KEYS", 30_000)
     assert len(list(dec._blocks(b, 0.8))) > 1
     assert {tuple(r) for r in dec.find_contamination(d, b).collect()} == whole and whole
+
+
+def passage(r, body, how, share):
+    """``body`` (joined words) with edits to that share of its characters."""
+    n, k = len(body), int(share * len(body) + 1e-9)
+    if how == "even":
+        start = r.random()
+        places = [min(n - 1, int((j + start) * n / k)) for j in range(k)]
+    elif how == "bunched":
+        first = r.randint(0, n - k)
+        places = range(first, first + k)
+    else:
+        places = r.sample(range(n), k)
+    out = list(body)
+    for p in sorted(places, reverse=True):
+        if how == "insert":
+            out.insert(p, r.choice(b"etaoin"))
+        elif how == "delete":
+            del out[p]
+        else:
+            out[p] = r.choice([c for c in b"etaoinsrh" if c != out[p]])
+    return bytes(out)
+
+
+@pytest.mark.parametrize("how", ["random", "even", "bunched", "insert", "delete"])
+def test_recall_on_the_given_benchmark(how):
+    """Passages of given items with edits of every kind, up to the stated similarity."""
+    import pyarrow.parquet as pq
+    r = random.Random(7)
+    rows = pq.read_table("/root/testdata/sf0.01/benchmark.parquet").to_pylist()
+    index = dec.ItemIndex([(x["item_id"], x["text"]) for x in rows], 0.8)
+    fill = " ".join("".join(r.choice("aeioutnsr") for _ in range(r.randint(2, 8))) for _ in range(60)).encode()
+    for share in (0.05, 0.1, 0.15, 0.2):
+        want = got = 0
+        for k, (_, body, _) in enumerate(index.items):
+            text = b" ".join(b" ".join([fill, passage(r, body, how, share), fill]).translate(dec.PLAIN.tobytes()).split())
+            if dec.edit_distance_within(body, text)[0] > dec.allowed_edits(len(body), 0.8):
+                continue
+            want += 1
+            raw = np.frombuffer(text, np.uint8)
+            got += any(h[1] == k for h in dec.scan(raw, np.array([0, len(raw)]), index, {}))
+        assert want < 8 or got >= 0.95 * want, (how, share, got, want)
+
+
+@pytest.mark.parametrize("item,text", [("na na " * 150, "na na " * 60_000), ("x " * 30, "x " * 150_000), ("ab cd ef " * 7, "ab cd ef " * 40_000)])
+def test_repetitive_texts_end(item, text):
+    """Every place of the text fits every place of the item: bounded by segments of the text."""
+    index = dec.ItemIndex([(1, item)], 0.8)
+    raw = np.frombuffer(text.encode(), np.uint8)
+    hits = dec.scan(raw, np.array([0, len(raw)]), index, {})
+    assert len(hits) > 100 and all(h[2] <= 0.2 * len(item) for h in hits)
+    words = text.split()
+    assert all(0 <= a < b <= len(words) for *_, a, b in hits)
+
+
+def test_passages_across_segments_are_found(monkeypatch):
+    monkeypatch.setattr(dec, "SEGMENT", 1)  # as short as the items allow
+    r = random.Random(2)
+    say = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 8))) for _ in range(n))
+    items = [say(20) for _ in range(6)]
+    index = dec.ItemIndex(list(enumerate(items)), 0.8)
+    texts, want = [], []
+    for _ in range(30):
+        parts, at = [], []
+        for _ in range(r.randint(0, 12)):
+            if r.random() < 0.3:
+                k = r.randrange(6)
+                at.append((k, sum(len(p.split()) for p in parts)))
+                parts.append(items[k])
+            else:
+                parts.append(say(r.randint(1, 200)))
+        texts.append(" ".join(parts).encode())
+        want.append(at)
+    offsets = np.cumsum([0] + [len(t) for t in texts])
+    got = dec.scan(np.frombuffer(b"".join(texts), np.uint8), offsets, index, {})
+    for t, places in enumerate(want):
+        for k, first in places:
+            assert any(h[0] == t and h[1] == k and h[2] == 0 and h[3] <= first and first + 20 <= h[4] for h in got), (t, k, first)
