@@ -9,9 +9,12 @@ header is an error, never skipped.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
+from urllib.parse import unquote, urlparse
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,7 +93,6 @@ def _headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 def _plain(uri: str) -> str:
     """One spelling for a file's name (``file:///a`` and ``file:/a`` are the same)."""
-    from urllib.parse import unquote
     scheme, _, rest = uri.rpartition(":")
     return f"{scheme}:/{unquote(rest).lstrip('/')}"
 
@@ -161,7 +163,9 @@ def split_malformed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def scan_billing_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Parquet billing export -> raw rows; the account id is read as text."""
-    df = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    paths = [path] if isinstance(path, str) else path
+    # files of one list may differ in columns (not in types): an absent one is null
+    df = spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
     check_required_columns(df.columns)
     acct = "lineItem/UsageAccountId"
     return df.withColumn(acct, F.col(f"`{acct}`").cast("string")).withColumn(
@@ -190,8 +194,10 @@ def scan_by_format(spark: SparkSession, files: list[str], multi_line: bool = Tru
     if "csv" in by_format:
         frames.append(scan_billing_csv(spark, by_format["csv"], multi_line=multi_line))
     if "parquet" in by_format:
-        frames.append(scan_billing_parquet(spark, by_format["parquet"])
-                      .withColumn(MALFORMED, F.lit(None).cast("string")))
+        groups, rejected = parquet_layouts(spark, by_format["parquet"])
+        if rejected:
+            raise BillingFileError(f"Parquet files that cannot be read: {rejected}")
+        frames += [scan_billing_parquet(spark, g).withColumn(MALFORMED, F.lit(None).cast("string")) for g in groups]
     if not frames:
         raise BillingFileError("No billing files given")
     return _union(frames)
@@ -213,19 +219,68 @@ def present_files(spark: SparkSession, files: list[str]) -> set[str]:
     return found
 
 
+def _first_reason(message: str) -> str:
+    """The line of an error that names its condition, else the first."""
+    lines = message.splitlines()
+    return next((x[x.index("["):] for x in lines if re.search(r"\[[A-Z_.]+\]", x)), lines[0])
+
+
+def parquet_layouts(spark: SparkSession, files: list[str]) -> tuple[list[list[str]], dict[str, str]]:
+    """(groups of Parquet files whose types one read can merge, files that cannot be read with the
+    reason). Spark reads the footers of all files in one job; a list that it refuses is halved
+    until the faulty files, or those of other types, stand apart."""
+    groups, bad, todo = [], {}, [sorted(files)]
+    while todo:
+        some = todo.pop()
+        try:
+            columns = spark.read.option("mergeSchema", True).parquet(*some).columns
+        except (PySparkException, Py4JJavaError) as e:
+            if len(some) == 1:
+                bad[some[0]] = _first_reason(str(e))
+            else:
+                todo += [some[len(some) // 2:], some[:len(some) // 2]]
+            continue
+        try:
+            check_required_columns(columns)
+            groups.append(some)
+        except BillingFileError as e:  # no file of the list has the column
+            bad.update(dict.fromkeys(some, str(e)))
+    return groups, bad
+
+
+def _without_a_column(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """Files of a group that lack a required column: those where one is null in every row are
+    looked at by themselves, all others have it."""
+    if len(files) < 2:
+        return {}
+    merged = spark.read.option("mergeSchema", True).parquet(*files)
+    held = merged.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        *[F.bool_or(F.col(f"`{c}`").isNotNull()).alias(f"c{i}") for i, c in enumerate(REQUIRED_BILLING_COLUMNS)])
+    some = held.where(" OR ".join(f"NOT c{i}" for i in range(len(REQUIRED_BILLING_COLUMNS)))).select("file").collect()
+    # names come back with their scheme, whichever way they were given: paths tell enough to look
+    suspects = {unquote(urlparse(r["file"]).path) for r in some}
+    bad = {}
+    for f in files:
+        if unquote(urlparse(f).path) in suspects:
+            try:
+                check_required_columns(spark.read.parquet(f).columns)
+            except BillingFileError as e:
+                bad[f] = str(e)
+    return bad
+
+
 def readable_files(spark: SparkSession, files: list[str]) -> tuple[list[str], dict[str, str]]:
-    """Files that the scans accept, and the others with the reason."""
+    """Files that the scans accept, and the others with the reason. The number of jobs doesn't grow
+    with the number of good files."""
     csv = [f for f in files if f.endswith(".csv")]
     layouts, bad = inspect_csv(spark, csv) if csv else ({}, {})
     good = [f for fs in layouts.values() for f in fs]
-    for f in files:
-        if f.endswith(".parquet"):
-            try:
-                check_required_columns(spark.read.parquet(f).columns)
-                good.append(f)
-            except (BillingFileError, AnalysisException) as e:
-                bad[f] = str(e).splitlines()[0]
-    return good, bad
+    parquet = [f for f in files if f.endswith(".parquet")]
+    groups, unread = parquet_layouts(spark, parquet) if parquet else ([], {})
+    for g in groups:
+        unread.update(_without_a_column(spark, g))
+        good += [f for f in g if f not in unread]
+    return good, {**bad, **unread}
 
 
 def convert_parquet_to_csv(spark: SparkSession, src: str, dst: str) -> str:

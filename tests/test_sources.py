@@ -307,3 +307,37 @@ def test_required_columns_of_a_folder(spark, tmp_path):
     (tmp_path / "c.csv").write_text("\n")
     got = {r.file.rsplit("/", 1)[1]: r.missing for r in required_columns_report(spark, str(tmp_path)).collect()}
     assert got == {"a.csv": [], "b.csv": ["lineItem/UsageAccountId"], "c.csv": ["lineItem/UnblendedCost", "lineItem/UsageAccountId"]}
+
+
+def test_many_parquet_files_take_a_bounded_number_of_jobs(spark, tmp_path):
+    """200 files of two types and two layouts, one corrupt, one without a required column."""
+    need = list(b.REQUIRED_BILLING_COLUMNS)
+    text = spark.range(100).select(F.col("id").cast("string").alias(need[0]), F.lit("1.5").alias(need[1]))
+    number = spark.range(100, 200).select(F.col("id").alias(need[0]), F.lit("2").alias(need[1]), F.lit("x").alias("extra"))
+    for name, rows in (("a", text), ("b", number)):
+        rows.repartition(100).write.option("maxRecordsPerFile", 1).parquet(str(tmp_path / name))
+    spark.range(1).select(F.lit("7").alias(need[0])).coalesce(1).write.parquet(str(tmp_path / "lacks"))
+    spark.range(1).select(F.lit("8").alias(need[0]), F.lit(None).cast("string").alias(need[1])).coalesce(1).write.parquet(str(tmp_path / "nulls"))
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_text("not parquet")
+    files = sorted(str(f) for f in tmp_path.glob("*/*.parquet"))
+    assert len(files) >= 200
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("footers", "footers")
+    try:
+        good, bad = b.readable_files(spark, files)
+        jobs = len(tracker.getJobIdsForGroup("footers"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {f.split("/")[-2] for f in bad} == {"lacks", "bad"} and len(good) == len(files) - 2
+    assert jobs < 100, jobs  # some for every fault, none for a good file
+    spark.sparkContext.setJobGroup("good", "good")
+    try:
+        assert b.readable_files(spark, [f for f in files if "/a/" in f]) == (sorted(f for f in files if "/a/" in f), {})
+        assert len(tracker.getJobIdsForGroup("good")) <= 6
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    rows = b.scan_by_format(spark, good)
+    assert rows.count() == 201 and dict(rows.dtypes)[need[0]] == "string"
+    with pytest.raises(b.BillingFileError):
+        b.scan_by_format(spark, files)
