@@ -50,7 +50,7 @@ from ledgerlake.llm.induced import SPILL, ordered_suffixes, stored
 ANCHOR = 16
 LEAST_PACK, MOST_PACK = 4 << 20, 256 << 20
 MOST_BUCKETS, MOST_SHARDS = 65_536, 16_384
-PIECE = 1 << 19
+PIECE = 1 << 17
 NOBODY = np.iinfo(np.int64).max
 _SEPARATOR, _POSITION = 0xFE, np.uint64((1 << 20) - 1)
 
