@@ -1,8 +1,9 @@
 """WARC archives with revisit records instead of repeated payloads.
 
-Payload digests are shuffled as headers (digest, length, smallest page id): payloads
+Payload digests are shuffled as headers (digest, length, page id), never with their payloads: those
 of at least ``min_bytes`` that occur more than once get the smallest page id as their
-original; the other records of that digest become revisits of it. Archives are
+original. The list of these digests is looked up behind a size check (beyond the bound pages are
+joined to it by digest); the other records of a listed digest become revisits. Archives are
 written by Spark's own writer (one record after another, gzip), so that a lost task
 is written again and any shared file system works; every record gets fresh headers.
 Reading parses each archive record by record, checks response digests against the
@@ -11,7 +12,8 @@ payload, and joins revisits to their original's header by digest.
 Edges: a null or empty html is an empty payload, always a response; null urls are
 empty, line breaks in urls are removed; rows that repeat the original's id and payload are
 responses too; a row with a null id revisits the smallest known id, and is a
-response where its group has none; an empty table writes an archive without records
+response where its group has none; ids of any type are escaped in record ids, where null has a name of
+its own; an empty table writes an archive without records
 and reads as empty; columns other than ``page_id``, ``url`` and ``html`` don't matter.
 """
 
@@ -25,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ship_package
+from ledgerlake.llm.common import ship_package, written
+from ledgerlake.operators.joins import lookup_side
 
 # Fixed values of the WARC 1.1 format.
 VERSION = "WARC/1.1"
@@ -33,11 +36,12 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 RECORD_END = "\r\n\r\n"
 
 MIN_BYTES = 100
-RECORDS_PER_ARCHIVE = 20_000
+RECORDS_PER_ARCHIVE, ARCHIVE_BYTES = 20_000, 64 << 20
+NO_ID = "<urn:null>"
 
 
 def _record_id(page_id: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("null")), F.lit(">"))
+    return F.coalesce(F.concat(F.lit("<urn:page:"), F.url_encode(page_id.cast("string")), F.lit(">")), F.lit(NO_ID))
 
 
 def payload_headers(pages: DataFrame) -> DataFrame:
@@ -47,13 +51,15 @@ def payload_headers(pages: DataFrame) -> DataFrame:
                         F.sha2(html.cast("binary"), 256).alias("digest"))
 
 
-def records(pages: DataFrame, min_bytes: int = MIN_BYTES, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
+def records(pages: DataFrame, min_bytes: int = MIN_BYTES, date: str = "2024-01-01T00:00:00Z",
+            headers: DataFrame | None = None) -> DataFrame:
     """One string per page: a response with its payload, or a revisit without."""
     rows = payload_headers(pages)
-    originals = (rows.where(F.col("bytes") >= min_bytes).groupBy("digest")
-                 .agg(F.min("page_id").alias("original"), F.count(F.lit(1)).alias("n"))
-                 .where("n > 1 and original is not null").drop("n"))
-    rows = rows.join(originals, "digest", "left")
+    headers = rows.select("page_id", "bytes", "digest") if headers is None else headers
+    originals = written(headers.where(F.col("bytes") >= min_bytes).groupBy("digest")
+                        .agg(F.min("page_id").alias("original"), F.count(F.lit(1)).alias("n"))
+                        .where("n > 1 and original is not null").drop("n"), "warc-originals")
+    rows = rows.join(lookup_side(originals), "digest", "left")
     revisit = F.col("original").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") > F.col("original")))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
@@ -72,8 +78,11 @@ def records(pages: DataFrame, min_bytes: int = MIN_BYTES, date: str = "2024-01-0
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> str:
-    (records(pages, min_bytes).write.option("lineSep", RECORD_END).option("compression", "gzip")
-     .option("maxRecordsPerFile", RECORDS_PER_ARCHIVE).text(path))
+    headers = written(payload_headers(pages).select("page_id", "bytes", "digest"), "warc-headers")
+    mean = headers.agg(F.avg("bytes")).first()[0] or 0
+    per_archive = max(1, min(RECORDS_PER_ARCHIVE, int(ARCHIVE_BYTES / max(mean, 1))))  # an archive is read whole by a task
+    (records(pages, min_bytes, headers=headers).write.option("lineSep", RECORD_END).option("compression", "gzip")
+     .option("maxRecordsPerFile", per_archive).text(path))
     return path
 
 
@@ -161,8 +170,8 @@ def read_headers(spark: SparkSession, path: str) -> DataFrame:
 def resolve_revisits(headers: DataFrame, id_type: str = "bigint") -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to): revisits
     joined to the header of their original response by payload digest."""
-    page = lambda c: F.regexp_extract(c, r"^<urn:page:(.*)>$", 1)
-    known = lambda c: F.when(page(c) != "null", page(c)).cast(id_type)
+    page = lambda c: F.url_decode(F.regexp_extract(c, r"^<urn:page:(.*)>$", 1))
+    known = lambda c: F.when(F.col(c) != NO_ID, page(c)).cast(id_type)
     responses = headers.where("record_type = 'response'").select(
         known("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.lit(None).cast(id_type).alias("refers_to"))
     originals = (headers.where("record_type = 'response'").groupBy("payload_digest")
