@@ -13,6 +13,7 @@ import xxhash
 import corpus_pipeline
 from ledgerlake.llm import exact_dedup as ed
 from ledgerlake.llm import induced, queries, simhash, suffix_dedup, warc
+from ledgerlake.llm.mixing import NEAR
 from ledgerlake.llm.common import scratch
 from tests.conftest import SF_SMALL
 
@@ -47,6 +48,18 @@ def test_warc_round_trip(spark):
     assert empty.count() == 0
 
 
+def test_warc_ids_of_any_text(spark):
+    """Ids are escaped; pages move to their archives without a shuffle of payloads."""
+    long = "z" * 150
+    ids = ["null", None, "a b", "a>b", "%3E", "é/+", "", "<urn:null>", "k\r\nv"]
+    pages = spark.createDataFrame([(i, "u", f"{long}{k // 3}") for k, i in enumerate(ids)], "page_id string, url string, html string")
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.archive_pages(pages, scratch(spark, "warc-ids")).collect()}
+    for k, i in enumerate(ids):
+        least = min(x for x in ids[k // 3 * 3:k // 3 * 3 + 3] if x is not None)
+        assert got[i] == (("response", None) if i == least else ("revisit", least)), i
+    assert "Exchange hashpartitioning" not in warc.records(pages)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_archive_is_warc(spark, tmp_path):
     pages = spark.createDataFrame([(1, "http://a/", "b" * 150), (2, "http://c/", "b" * 150)], "page_id long, url string, html string")
     warc.write_archives(pages.coalesce(1), f"file://{tmp_path}/w")
@@ -177,6 +190,17 @@ def test_exact_dedup(spark, tmp_path):
     assert ed.exact_dedup(spark, empty).count() == 0
 
 
+def test_exact_dedup_of_a_hot_group(spark, tmp_path):
+    """A third of all rows are copies; every group counts as hot, or none."""
+    rows = [(i, "the same  text" if i % 3 == 0 else f"text {i % 40}") for i in range(900, 0, -1)]
+    path = write(docs(spark, rows).repartition(5), tmp_path, "hot")
+    want = brute_exact(rows)
+    for hot in (3, 1000, 10**9):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(ed, "HOT", hot)
+            assert Counter(tuple(r) for r in ed.exact_dedup(spark, path).collect()) == want
+
+
 def test_exact_dedup_takes_any_path(spark, tmp_path):
     rows = [(1, "a"), (2, "a"), (3, "b")]
     assert ed.pattern_of("/a/b/") == "/a/[b]" and ed.pattern_of("/a/b*") == "/a/b\\*"
@@ -286,7 +310,7 @@ def test_segments_cover_every_window_once(monkeypatch):
 
 # ---------------------------------------------------------------- pipeline, oracles
 def test_oracles(spark):
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         duckdb.sql(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
     for name, sql in queries.ORACLE.items():
         want = duckdb.sql(sql)
@@ -317,10 +341,14 @@ def test_pipeline(spark):
     kept = {r.doc_id for r in out.select("doc_id").collect()}
     assert kept <= clean and all(  # what else went holds a near passage
         any(decontamination.edit_distance_within(x, dict(held)[i])[0] <= 0.2 * len(x) for x in items) for i in clean - kept)
+    # ... and nothing that stayed does
+    assert not any(decontamination.edit_distance_within(x, t)[0] <= decontamination.allowed_edits(len(x), 0.8)
+                   for i, t in held if i in kept for x in items)
     mixed = corpus_pipeline.mixing(spark, out, SF_SMALL)
     assert mixed.columns == docs_in.columns
     total = sum(len(r.text.split()) for r in out.collect())
-    assert abs(sum(len(r.text.split()) for r in mixed.collect()) - 1.5 * total) <= 20
+    # documents are whole: every source is within NEAR of its target
+    assert abs(sum(len(r.text.split()) for r in mixed.collect()) - 1.5 * total) <= NEAR * 1.5 * total
     result = corpus_pipeline.run(spark, SF_SMALL).collect()
     assert len(result) == mixed.count() and {r.doc_id for r in result} <= kept
     per = Counter(r.shard for r in result)
