@@ -208,13 +208,13 @@ def _repeats(table: pa.Table, known: list[bytes], length: int):
 
 
 def pack_segments(table: pa.Table, known: list[bytes], length: int, shards: int):
-    """(shard, segment numbers, lengths, smallest documents, packed bytes) of a pack."""
+    """(shard, segment numbers, lengths, smallest documents, packed bytes, anchors) of a pack."""
     *_, strings, least, place = _repeats(table, known, length)
     for shard, k in _slice_by((splitmix(place) % np.uint64(shards)).astype(np.int64)):
         k = np.array(sorted(k.tolist(), key=strings.__getitem__))  # alike side by side: they pack better
         picked = [strings[x] for x in k]
         yield (shard, k.astype(np.uint32).tobytes(), np.fromiter(map(len, picked), np.uint16, len(k)).tobytes(),
-               least[k].tobytes(), pa.compress(b"".join(picked), "zstd", asbytes=True))
+               least[k].tobytes(), pa.compress(b"".join(picked), "zstd", asbytes=True), _six(place[k]))
 
 
 class Shard:
@@ -228,14 +228,14 @@ class Shard:
         self.refs: list[tuple] = []
         self.count = 0
         self.docs = np.zeros(0, np.int64)
-        self.lens = array("H")
+        self.lens, self.anchors = array("H"), array("Q")
 
-    def add(self, pack: int, numbers: bytes, lens: bytes, docs: bytes, data: bytes) -> None:
+    def add(self, pack: int, numbers: bytes, lens: bytes, docs: bytes, data: bytes, anchors: bytes) -> None:
         n = np.frombuffer(lens, np.uint16).astype(np.int64)
         ends = np.cumsum(n)
         data = pa.decompress(data, int(ends[-1]) if len(n) else 0, "zstd", asbytes=True)
         ids = np.empty(len(n), np.int64)
-        for k, (a, b) in enumerate(zip((ends - n).tolist(), ends.tolist())):
+        for k, (a, b, anchor) in enumerate(zip((ends - n).tolist(), ends.tolist(), _from_six(anchors).tolist())):
             s = data[a:b]
             at = self.number.get(s)
             if at is None:
@@ -244,6 +244,7 @@ class Shard:
                 self.file.write(s)
                 self.file.write(b"\xfd")
                 self.lens.append(b - a)
+                self.anchors.append(anchor)
                 if len(self.number) < self.KNOWN:  # beyond, copies are sorted with the rest
                     self.number[s] = at
             ids[k] = at
@@ -255,20 +256,10 @@ class Shard:
         np.minimum.at(self.docs, ids, least)
         self.refs.append((pack, np.frombuffer(numbers, np.uint32), ids, least))
 
-    @staticmethod
-    def _alone(raw: np.ndarray, begin: np.ndarray, lens: np.ndarray, length: int) -> np.ndarray:
+    def _alone(self) -> np.ndarray:
         """Which segments are the only ones with their anchor in this shard (all
         segments of an anchor are in it)."""
-        found = []
-        for a, b in chunks(begin):
-            part = np.delete(raw[begin[a]:begin[b]], begin[a + 1:b + 1] - begin[a] - 1)  # without separators
-            anchor, doc, _, _ = segments(part, np.concatenate([[0], np.cumsum(lens[a:b])]), length)
-            if len(anchor) != b - a:
-                raise AssertionError("a segment has one anchor")
-            found.append(anchor)
-        if not found:
-            return np.zeros(0, bool)
-        _, which, times = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+        _, which, times = np.unique(np.frombuffer(self.anchors, np.uint64), return_inverse=True, return_counts=True)
         return times[which] == 1
 
     def results(self, length: int):
@@ -285,7 +276,7 @@ class Shard:
             self.file.rollover()
             raw = np.memmap(self.file._file, np.uint8, "r", shape=(total,))
         # a segment that is its anchor's only one has nothing to be compared with
-        alone = self._alone(raw, begin, lens, length)
+        alone = self._alone()
         sorted_ = np.flatnonzero(~alone)
         place = np.concatenate([[0], np.cumsum(lens[sorted_] + 1)])
         size = int(place[-1])
@@ -434,7 +425,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, pack_bytes: int | None = N
         return pa.table({"shard": pa.array([g[0] for g in got], pa.int32()),
                          "pack": pa.array([key[0].as_py()] * len(got), pa.int32()),
                          **{c: pa.array([g[k] for g in got], pa.binary()) for k, c in
-                            enumerate(("numbers", "lens", "docs", "data"), 1)}})
+                            enumerate(("numbers", "lens", "docs", "data", "anchors"), 1)}})
 
     def sort_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from ledgerlake.llm import suffix_dedup as s
@@ -447,7 +438,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, pack_bytes: int | None = N
                     ["pack", "numbers", "counts", "docs"])
         for b in batches:  # sorted by shard
             for k in range(b.num_rows):
-                row = [b.column(c)[k].as_py() for c in ("shard", "pack", "numbers", "lens", "docs", "data")]
+                row = [b.column(c)[k].as_py() for c in ("shard", "pack", "numbers", "lens", "docs", "data", "anchors")]
                 if row[0] != now:
                     if shard is not None:
                         yield from flush()
@@ -475,7 +466,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, pack_bytes: int | None = N
     known = (by_pack.applyInArrow(anchors, "bucket int, pack int, anchors binary, several binary")
              .groupBy("bucket").applyInArrow(repeated, "pack int, known binary"))
     pieces = by_pack.cogroup(known.groupBy("pack")).applyInArrow(
-        to_shards, "shard int, pack int, numbers binary, lens binary, docs binary, data binary")
+        to_shards, "shard int, pack int, numbers binary, lens binary, docs binary, data binary, anchors binary")
     results = (pieces.repartition(min(packs, MOST_SHARDS), "shard").sortWithinPartitions("shard")
                .mapInArrow(sort_shard, "pack int, numbers binary, counts binary, docs binary"))
     null = F.lit(None).cast("binary")
