@@ -8,7 +8,8 @@ changed keys to a table of its own (rewritten if the batch is repeated).
 
 Digest hits are then checked on full bytes: the texts of groups with several rows
 are joined by digest to the text at the locator and compared whole. Rows that differ
-(a digest collision) are grouped by their whole text instead.
+(a digest collision) are grouped by their whole text instead. A group with a large share of all
+rows is dealt to many tasks in these joins.
 
 Edges: null counts as empty; null ids come last in the order of ids, and equal ids are told
 apart by the locator, so exactly one row of a group stays; texts are compared
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import scratch, written
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+HOT, SALTS = 1000, 64  # a group is hot from one in HOT of all rows on
 
 
 def normalised(col: str = "text") -> Column:
@@ -76,6 +78,16 @@ def run_stream(spark: SparkSession, path: str, state: str, table: str, digest=sh
         raise query.exception()
 
 
+def _met(rows: DataFrame, groups: DataFrame, hot: DataFrame) -> DataFrame:
+    """Rows joined to the one row of their group. The rows of a hot group are dealt to ``SALTS``
+    tasks, each with a copy of the group's row."""
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("place"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    left = rows.join(hot, ["digest", "n"], "left").withColumn("_salt", salt).drop("_hot")
+    right = groups.join(hot, ["digest", "n"], "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return left.join(right, ["digest", "n", "_salt"]).drop("_salt")
+
+
 def exact_dedup(spark: SparkSession, path: str, state: str | None = None, digest=sha256,
                 files_per_batch: int | None = None) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) for every row below ``path``."""
@@ -88,12 +100,16 @@ def exact_dedup(spark: SparkSession, path: str, state: str | None = None, digest
                                 "size long, batch long").parquet(table)
     keys = changes.groupBy("digest", "n").agg(F.min("first").alias("first"), F.max("size").alias("size"))
     several = F.col("size") > 1
-    rows = written(_keyed(docs, digest).join(keys, ["digest", "n"]).select(
+    keys = written(keys, "dedup-groups")
+    total = keys.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    # at most HOT groups can hold such a share of all rows
+    hot = F.broadcast(keys.where((F.col("size") > 1) & (F.col("size") * HOT >= total)).select("digest", "n", F.lit(True).alias("_hot")))
+    rows = written(_met(_keyed(docs, digest), keys, hot).select(
         "doc_id", "digest", "n", "place", "first", "size", F.when(several, F.col("norm")).alias("norm"),
         F.when(~several, sha256(F.col("norm"))).alias("hash")), "dedup-rows")
     groups = rows.where(several)
     firsts = groups.where("place = first").select("digest", "n", F.col("norm").alias("first_norm"))
-    checked = written(groups.join(firsts, ["digest", "n"]).select(
+    checked = written(_met(groups, firsts, hot).select(
         "doc_id", "digest", "n", "place", "first", "size", sha256(F.col("norm")).alias("hash"),
         (F.col("norm") == F.col("first_norm")).alias("same"),
         F.when(F.col("norm") != F.col("first_norm"), F.col("norm")).alias("norm")), "dedup-checked")
