@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalars import col_or_lit, paired_float
@@ -57,6 +57,13 @@ def project_opportunities(opps: DataFrame, ctx: RunContext = DEFAULT_CONTEXT) ->
     )
 
 
+def billing_stamps(ctx: RunContext = DEFAULT_CONTEXT) -> dict[str, Column]:
+    """The constants of every billing record. A job that sorts or shuffles many records leaves them out
+    until the rows are in place."""
+    return {"timestamp": F.lit(ctx.ingest_iso), "data_type": F.lit(BILLING), "source": F.lit(SOURCE_BILLING),
+            "schema_version": F.lit(STAMPED_VERSION)}
+
+
 def project_billing(raw: DataFrame, ctx: RunContext = DEFAULT_CONTEXT,
                     keep: Sequence[str] = ()) -> DataFrame:
     """Raw slash-named billing rows -> ``aws_cur`` records (before the category lookup).
@@ -74,10 +81,7 @@ def project_billing(raw: DataFrame, ctx: RunContext = DEFAULT_CONTEXT,
         usage.alias("usage_amount"),
         col_or_lit(raw, "lineItem/UsageType", "").alias("usage_type"),
         col_or_lit(raw, "bill/BillingPeriod", "").alias("billing_period"),
-        F.lit(ctx.ingest_iso).alias("timestamp"),
-        F.lit(BILLING).alias("data_type"),
-        F.lit(SOURCE_BILLING).alias("source"),
-        F.lit(STAMPED_VERSION).alias("schema_version"),
+        *[c.alias(k) for k, c in billing_stamps(ctx).items()],
         failed.alias(PARSE_FAILED),
         *[F.col(f"`{k}`").alias(k) for k in keep],
     )

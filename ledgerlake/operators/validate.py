@@ -53,19 +53,33 @@ class TypedFields:
 
 
 class MapFields:
-    """Field access for raw JSON records held as ``map<string,string>``."""
+    """Field access for raw JSON records held as ``map<string,string>``. Every field that a rule may
+    ask for is looked up once per row, by ``staged``; the rules read those columns."""
+
+    NAMES = tuple(sorted({"schema_version", "amount", "cost", "account_id", "opportunity_id", "account_name", "arr"}.union(
+        *[e["required_fields"] for versions in REGISTRY.values() for e in versions.values()])))
+
+    NUMBERS = ("amount", "arr", "cost")
 
     def __init__(self, column: str):
         self.m = F.col(column)
 
+    def staged(self, df: DataFrame) -> DataFrame:
+        return df.withColumns({f"_v_field_{n}": F.try_element_at(self.m, F.lit(n)) for n in self.NAMES}).withColumns(
+            {f"_v_has_{n}": F.col(f"_v_field_{n}").isNotNull() | F.coalesce(F.map_contains_key(self.m, F.lit(n)), F.lit(False))
+             for n in self.NAMES}).withColumns({f"_v_num_{n}": python_float(self.value(n)) for n in self.NUMBERS})
+
+    def dropped(self, df: DataFrame) -> DataFrame:
+        return df.drop(*[f"_v_{k}_{n}" for n in self.NAMES for k in ("field", "has", "num")])
+
     def present(self, name: str) -> Column:
-        return F.coalesce(F.map_contains_key(self.m, F.lit(name)), F.lit(False))
+        return F.col(f"_v_has_{name}")
 
     def value(self, name: str) -> Column:
-        return F.try_element_at(self.m, F.lit(name))
+        return F.col(f"_v_field_{name}")
 
     def number(self, name: str) -> Column:
-        return python_float(self.value(name))
+        return F.col(f"_v_num_{name}")
 
 
 def _first(*checks: Column) -> Column:
@@ -200,9 +214,21 @@ def validate_raw_records(df: DataFrame, column: str = "record") -> DataFrame:
     """
     f = MapFields(column)
     version, has_schema = _resolved_version(f)
-    staged = df.withColumns({_VERSION: version, _HAS_SCHEMA: has_schema})
+    staged = f.staged(df).withColumns({_VERSION: version, _HAS_SCHEMA: has_schema})
     out = staged.withColumns(validation_columns(f, None, F.col(_VERSION), F.col(_HAS_SCHEMA)))
-    return out.drop(_VERSION, _HAS_SCHEMA)
+    return f.dropped(out.drop(_VERSION, _HAS_SCHEMA))
+
+
+def validate_scanned_records(df: DataFrame, column: str = "record") -> DataFrame:
+    """``validate_raw_records`` of the rows of ``scan_batch_envelopes``, those of messages that failed
+    included: they keep their ``reject_reason``, without warnings or a version. One pass: splitting
+    the rows by a reason that comes from parsing would parse every message anew for each part."""
+    failed = F.col("_v_failed")
+    checked = validate_raw_records(df.withColumnRenamed(REASON, "_v_failed"), column)
+    return checked.withColumns({
+        REASON: F.coalesce(failed, F.col(REASON)),
+        WARNINGS: F.when(failed.isNull(), F.col(WARNINGS)).otherwise(F.array().cast("array<string>")),
+        "schema_version": F.when(failed.isNull(), F.col("schema_version"))}).drop("_v_failed")
 
 
 def split_valid_quarantine(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -13,14 +13,15 @@ from pyspark.sql import types as T
 from ledgerlake.functions.mask import mask_sensitive_fields
 from ledgerlake.operators import aggregate as agg
 from ledgerlake.operators import validate as val
-from ledgerlake.operators.enrich import tag_records
-from ledgerlake.operators.project import derive_cost_keys, flatten_daily_costs, project_accounts
+from ledgerlake.operators.enrich import map_cost_category, tag_records
+from ledgerlake.operators.project import (PARSE_FAILED, billing_stamps, derive_cost_keys, flatten_daily_costs,
+                                          project_accounts, project_billing, project_opportunities)
 from ledgerlake.plans import sql as Q
 from ledgerlake.plans.pipelines import daily_costs_from_usage, ingest_billing, land_daily_costs
 from ledgerlake.plans.registry import (BILLING_OUT, BILLING_OUT_SQL, CTX, TAG_OUT, TAG_OUT_SQL, account_map,
-                                       accounts_src, all_records, billing_records, flat, register)
+                                       accounts_src, all_records, billing_records, flat, opportunities_src, register)
 from ledgerlake.schemas import LANDED_DAILY_LAYOUT
-from ledgerlake.session import scratch_path
+from ledgerlake.session import materialized, scratch_path
 from ledgerlake.sinks.envelopes import (envelope_dead_letters, envelope_delivery_batches,
                                         envelope_work_batches)
 from ledgerlake.sinks.files import read_partitioned_csv, write_failed_records, write_partitioned_csv
@@ -166,22 +167,27 @@ BILL_ORDER = ["account_id", "service", "resource_id", "cost", "usage_amount", "u
 BILL_ORDER_SQL = ", ".join(BILL_ORDER)
 
 
-def tagged_billing(spark, sf) -> DataFrame:
-    from ledgerlake.plans.pipelines import transform_billing
-    from ledgerlake.operators.project import PARSE_FAILED
-    return transform_billing(billing_raw(spark, sf), account_map(spark, sf), CTX).transform(
-        lambda d: tag_records(d, CTX)).drop(PARSE_FAILED)
+def _complete_billing(spark, sf):
+    """What turns the varying columns of billing records into whole ones: constants, category, tags."""
+    accounts = account_map(spark, sf)
+    return lambda d: d.withColumns(billing_stamps(CTX)).transform(
+        lambda r: map_cost_category(r, accounts)).transform(lambda r: tag_records(r, CTX))
 
 
-def tagged_arr(spark, sf) -> DataFrame:
-    return tag_records(project_accounts(crm.scan_accounts(accounts_src(spark, sf)), CTX), CTX, stamp_version=True)
+def _tagged_crm(d: DataFrame) -> DataFrame:
+    return tag_records(d, CTX, stamp_version=True)
 
 
-def tagged_opp(spark, sf) -> DataFrame:
-    from ledgerlake.operators.project import project_opportunities
-    from ledgerlake.plans.registry import opportunities_src
-    return tag_records(project_opportunities(crm.scan_opportunities(opportunities_src(spark, sf), CTX.as_of), CTX),
-                       CTX, stamp_version=True)
+def billing_rows(spark, sf) -> DataFrame:
+    return project_billing(billing_raw(spark, sf), CTX).drop(PARSE_FAILED, *billing_stamps(CTX))
+
+
+def arr_rows(spark, sf) -> DataFrame:
+    return project_accounts(crm.scan_accounts(accounts_src(spark, sf)), CTX)
+
+
+def opp_rows(spark, sf) -> DataFrame:
+    return project_opportunities(crm.scan_opportunities(opportunities_src(spark, sf), CTX.as_of), CTX)
 
 
 def work_envelopes(spark, sf) -> DataFrame:
@@ -191,10 +197,10 @@ def work_envelopes(spark, sf) -> DataFrame:
     sent = CTX.ingest_iso
     # The families are independent: their shard-bound sample jobs run concurrently.
     with ThreadPoolExecutor(max_workers=3) as pool:
-        bill, arr, opp = pool.map(lambda a: envelope_work_batches(a[0](spark, sf), a[1], a[2], sent), [
-            (tagged_billing, BILL_ORDER, "cur_batch"),
-            (tagged_arr, ["account_id"], "salesforce_batch"),
-            (tagged_opp, ["opportunity_id"], "salesforce_batch")])
+        bill, arr, opp = pool.map(lambda a: envelope_work_batches(a[0](spark, sf), a[1], a[2], sent, finish=a[3]), [
+            (billing_rows, BILL_ORDER, "cur_batch", _complete_billing(spark, sf)),
+            (arr_rows, ["account_id"], "salesforce_batch", _tagged_crm),
+            (opp_rows, ["opportunity_id"], "salesforce_batch", _tagged_crm)])
     return bill.withColumn("data_type", F.lit("aws_cur")).unionByName(
         arr.withColumn("data_type", F.lit("salesforce_arr"))).unionByName(
         opp.withColumn("data_type", F.lit("salesforce_opportunity")))
@@ -202,7 +208,7 @@ def work_envelopes(spark, sf) -> DataFrame:
 
 def _landed_envelopes(spark, sf) -> str:
     return landing._once(spark, sf, "work-envelopes",
-                         lambda path: work_envelopes(spark, sf).select("value").write.text(path))
+                         lambda path: work_envelopes(spark, sf).select("value").write.option("compression", "gzip").text(path))
 
 
 ENV_EXTRA = {
@@ -241,11 +247,7 @@ SELECT message_type, count(*) AS total_records, count(*) FILTER (WHERE reject_re
                                         "env", extra=ENV_EXTRA))
 def q_envelope_summary(spark, sf):
     recs = scan_batch_envelopes(spark.read.text(_landed_envelopes(spark, sf)))
-    routed, failed = recs.filter(F.col("reject_reason").isNull()), recs.filter(F.col("reject_reason").isNotNull())
-    checked = val.validate_raw_records(routed.drop("reject_reason")).unionByName(
-        failed.withColumns({"warnings": F.array().cast("array<string>"),
-                            "schema_version": F.lit(None).cast("string")}))
-    return agg.ingest_summary(checked, by="message_type")
+    return agg.ingest_summary(val.validate_scanned_records(recs), by="message_type")
 
 
 @register("envelope_work_batches", Q.compose("""
@@ -281,14 +283,20 @@ FROM (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY line_item_id, resourc
                      FROM opp_val WHERE reject_reason IS NULL))""", ["billing_val", "arr_val", "opp_val"])}
 
 
-def identified_billing(spark, sf) -> DataFrame:
-    """Validated billing records that keep their line item id: a unique order."""
-    from ledgerlake.operators.enrich import map_cost_category
-    from ledgerlake.operators.project import project_billing
-    recs = project_billing(billing_raw(spark, sf), CTX, keep=["identity/LineItemId"]).withColumnRenamed(
-        "identity/LineItemId", "line_item_id")
-    return (map_cost_category(recs, account_map(spark, sf)).transform(lambda d: tag_records(d, CTX))
-            .transform(val.validate_records))
+TAGS = ("obs_correlation_id", "obs_ingest_timestamp", "obs_data_version", "obs_lineage")
+
+
+def valid_families(spark, sf) -> list[tuple]:
+    """(family, valid records of it, order, what completes them): the columns that vary, line item ids kept."""
+    from ledgerlake.plans.registry import arr_records, opportunity_records
+    bills = project_billing(billing_raw(spark, sf), CTX, keep=["identity/LineItemId"]).withColumnRenamed(
+        "identity/LineItemId", "line_item_id").transform(val.validate_records)
+    # written once: as a filter on the fly, all rules would run ahead of the other work, and for the numbering's sample again
+    bills = materialized(bills.drop(*billing_stamps(CTX)), "validated")
+    bills, arr, opp = (val.split_valid_quarantine(d)[0] for d in (bills, arr_records(spark, sf), opportunity_records(spark, sf)))
+    return [("aws_cur", bills, ITEM_ORDER, _complete_billing(spark, sf)),
+            ("salesforce_arr", arr.drop(*TAGS, "schema_version"), ["account_id"], _tagged_crm),
+            ("salesforce_opportunity", opp.drop(*TAGS, "schema_version"), ["opportunity_id"], _tagged_crm)]
 
 
 @register("envelope_delivery_batches", Q.compose(f"""
@@ -296,19 +304,18 @@ SELECT data_type, batch_number, total_batches, '{CTX.customer_id}' AS customer_i
        {', '.join(DELIVERED_TEXT)}, cost, arr, amount FROM numbered""", "numbered", extra=NUMBERED))
 def q_envelope_delivery_batches(spark, sf):
     """Collector POST bodies of <= 1000 valid records, one flush per family, opened again."""
-    from ledgerlake.plans.registry import arr_records, opportunity_records
     out = None
-    for fam, records, order in (("aws_cur", identified_billing, ITEM_ORDER),
-                                ("salesforce_arr", arr_records, ["account_id"]),
-                                ("salesforce_opportunity", opportunity_records, ["opportunity_id"])):
-        valid, _ = val.split_valid_quarantine(records(spark, sf))
-        env = envelope_delivery_batches(valid.drop(val.WARNINGS), order, CTX.customer_id)
+    for fam, valid, order, complete in valid_families(spark, sf):
+        env = envelope_delivery_batches(valid.drop(val.WARNINGS), order, CTX.customer_id, finish=complete)
         env = env.withColumn("data_type", F.lit(fam))
         out = env if out is None else out.unionByName(env)
     # the bodies themselves, record by record: place, identity and a digest of all fields
+    # (a body is parsed before its records are dealt out, not again for each of them; a batch is
+    # never empty, and the outer explode spares a filter that would build and parse all bodies first)
     body = F.from_json("value", "customer_id string, data array<map<string,string>>")
-    rec = out.select("data_type", "batch_number", "total_batches", body["customer_id"].alias("customer_id"),
-                     F.posexplode(body["data"]).alias("record_index", "r"))
+    rec = out.select("data_type", "batch_number", "total_batches", body.alias("b")).select(
+        "data_type", "batch_number", "total_batches", F.col("b.customer_id").alias("customer_id"),
+        F.posexplode_outer("b.data").alias("record_index", "r"))
     return rec.select("data_type", "batch_number", "total_batches", "customer_id", "record_index",
                       *[F.col("r").getItem(c).alias(c) for c in DELIVERED_TEXT],
                       *[F.col("r").getItem(c).cast("double").alias(c) for c in ("cost", "arr", "amount")])
@@ -327,10 +334,8 @@ def sent_records(spark, sf) -> DataFrame:
     the delivery log gives each batch."""
     from ledgerlake.operators.delivery import deliver_batches, split_dead_letters
     from ledgerlake.operators.ordering import assign_batches, union_families
-    from ledgerlake.plans.registry import arr_records, delivery_log, opportunity_records
-    families = [assign_batches(val.split_valid_quarantine(flat(f(spark, sf)))[0], 1000, order)
-                for f, order in ((identified_billing, ITEM_ORDER), (arr_records, ["account_id"]),
-                                 (opportunity_records, ["opportunity_id"]))]
+    from ledgerlake.plans.registry import delivery_log
+    families = [flat(complete(assign_batches(valid, 1000, order))) for _, valid, order, complete in valid_families(spark, sf)]
     records = union_families(*families).withColumnRenamed("batch_number", "batch_no")
     return deliver_batches(records, split_dead_letters(delivery_log(spark, sf)))
 
@@ -363,8 +368,8 @@ def q_envelope_dead_letters(spark, sf):
     env = envelope_dead_letters(dead, ["data_type", *ITEM_ORDER, "opportunity_id"], CTX.ingest_iso,
                                 CTX.customer_id, CTX.ingest_iso)
     body = F.from_json("value", "customer_id string, records array<map<string,string>>")
-    rec = env.select("batch_number", body["customer_id"].alias("customer_id"),
-                     F.posexplode(body["records"]).alias("record_index", "r"))
+    rec = env.select("batch_number", body.alias("b")).select(
+        "batch_number", F.col("b.customer_id").alias("customer_id"), F.posexplode_outer("b.records").alias("record_index", "r"))
     return rec.select("batch_number", "record_index", "customer_id", *[F.col("r").getItem(c).alias(c) for c in DEAD_TEXT],
                       *[F.col("r").getItem(c).cast("double").alias(c) for c in ("cost", "usage_amount", "arr", "amount")])
 

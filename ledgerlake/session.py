@@ -6,6 +6,7 @@ Library code never changes the caller's session beyond what is listed here;
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -87,9 +88,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/ledgerlake-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextlib.contextmanager
+def open_writers(spark: SparkSession, n: int):
+    """Within, a task that writes to at most ``n`` partition folders keeps a file open in each instead
+    of sorting its rows by folder first (with more folders it sorts the rest). The session's own setting is put back."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def materialized(df, name: str):
     """``df`` written once as a Parquet table in the shared folder and read back:
     every consumer, and every re-run of a lost task, sees the same rows."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

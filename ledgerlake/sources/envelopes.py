@@ -11,7 +11,8 @@ WORK_TYPES = ("salesforce_batch", "cur_batch")
 
 
 def scan_batch_envelopes(messages: DataFrame, column: str = "value") -> DataFrame:
-    """Message bodies -> one row per record, in one parse and one explode.
+    """Message bodies -> one row per record, in one parse and one explode (a body without a known
+    type is looked at again to tell why).
 
     Columns: envelope type / batch fields, ``record_index``, ``record``
     (``map<string,string>`` of the raw JSON record) and ``reject_reason`` for
@@ -20,19 +21,21 @@ def scan_batch_envelopes(messages: DataFrame, column: str = "value") -> DataFram
     the body instead of being dropped. An envelope with no records yields nothing.
     """
     body = F.col(column)
-    m = F.from_json(body, ENVELOPE)
-    reason = (F.when(F.json_object_keys(body).isNull(), F.lit("unparsable_message"))
-              .when(~F.coalesce(m["type"].isin(*WORK_TYPES), F.lit(False)), F.lit("unknown_message_type")))
-    parsed = messages.select(m.alias("m"), reason.alias("reject_reason"), body.alias("_body"))
-    items = F.when(F.col("reject_reason").isNull(), F.col("m.records")).otherwise(
+    # a bare NaN is no JSON, here as in json_object_keys: whatever has a type by this parse is an object
+    m = F.from_json(body, ENVELOPE, {"allowNonNumericNumbers": "false"})
+    reason = F.when(~F.coalesce(F.col("m.type").isin(*WORK_TYPES), F.lit(False)),
+                    F.when(F.json_object_keys("_body").isNull(), F.lit("unparsable_message"))
+                    .otherwise(F.lit("unknown_message_type")))
+    # the fields of a message stand by themselves before its records are dealt out: else every
+    # record would carry all records of its message through the explode
+    parsed = messages.select(m.alias("m"), body.alias("_body")).select(
+        F.col("m.type").alias("message_type"), F.col("m.timestamp").alias("message_timestamp"),
+        F.col("m.batch_number").alias("batch_number"), F.col("m.total_batches").alias("total_batches"),
+        F.col("m.records").alias("_records"), reason.alias("reject_reason"), "_body")
+    items = F.when(F.col("reject_reason").isNull(), F.col("_records")).otherwise(
         F.array(F.create_map(F.lit("body"), F.col("_body"))))
-    exploded = parsed.select(
-        F.col("m.type").alias("message_type"),
-        F.col("m.timestamp").alias("message_timestamp"),
-        F.col("m.batch_number").alias("batch_number"),
-        F.col("m.total_batches").alias("total_batches"),
-        F.posexplode(items).alias("record_index", "record"),
-        "reject_reason")
+    exploded = parsed.select("message_type", "message_timestamp", "batch_number", "total_batches",
+                             F.posexplode(items).alias("record_index", "record"), "reject_reason")
     return exploded.withColumn("record_index",
                                F.when(F.col("reject_reason").isNull(), F.col("record_index")))
 
