@@ -22,6 +22,8 @@ from ledgerlake.schemas import REQUIRED_BILLING_COLUMNS, string_schema
 
 MALFORMED = "_malformed"
 SOURCE_FILE = "_source_file"
+CSV_SUFFIXES = (".csv", ".csv.gz")
+BILLING_FILES = "*.{csv,csv.gz,parquet}"
 
 CSV_OPTIONS = {
     "header": "true",
@@ -104,7 +106,7 @@ def _all_files(spark: SparkSession, paths: list[str] | str) -> list[str]:
 
 def empty_files(spark: SparkSession, path: str) -> list[str]:
     """Billing files below ``path`` without a byte."""
-    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.{csv,parquet}").load(path).select("path")
+    names = spark.read.format("binaryFile").option("pathGlobFilter", BILLING_FILES).load(path).select("path")
     filled = {_plain(r["path"]) for r in names.collect()}
     return [f for f in names.inputFiles() if _plain(f) not in filled]
 
@@ -173,8 +175,8 @@ def scan_billing_parquet(spark: SparkSession, path: str | list[str]) -> DataFram
 
 
 def file_format(key: str) -> str:
-    """Suffix dispatch (case-sensitive, like ``str.endswith``)."""
-    if key.endswith(".csv"):
+    """Suffix dispatch (case-sensitive, like ``str.endswith``); a gzipped CSV export is CSV."""
+    if key.endswith(CSV_SUFFIXES):
         return "csv"
     if key.endswith(".parquet"):
         return "parquet"
@@ -272,7 +274,7 @@ def _without_a_column(spark: SparkSession, files: list[str]) -> dict[str, str]:
 def readable_files(spark: SparkSession, files: list[str]) -> tuple[list[str], dict[str, str]]:
     """Files that the scans accept, and the others with the reason. The number of jobs doesn't grow
     with the number of good files."""
-    csv = [f for f in files if f.endswith(".csv")]
+    csv = [f for f in files if f.endswith(CSV_SUFFIXES)]
     layouts, bad = inspect_csv(spark, csv) if csv else ({}, {})
     good = [f for fs in layouts.values() for f in fs]
     parquet = [f for f in files if f.endswith(".parquet")]

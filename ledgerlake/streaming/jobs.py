@@ -10,14 +10,13 @@ is there and stops, which suits a scheduled run; a continuous deployment uses
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.validate import validate_raw_records
+from ledgerlake.operators.validate import validate_scanned_records
 from ledgerlake.params import DEFAULT_CONTEXT, RunContext
 from ledgerlake.plans.pipelines import ingest_billing
-from ledgerlake.sources.billing import empty_files, readable_files, scan_by_format
+from ledgerlake.sources.billing import BILLING_FILES, empty_files, readable_files, scan_by_format
 from ledgerlake.sources.envelopes import scan_batch_envelopes
 
 
@@ -34,7 +33,7 @@ def stream_billing_files(spark: SparkSession, landing: str, account_map: DataFra
                          ctx: RunContext = DEFAULT_CONTEXT, max_files_per_trigger: int = 1000):
     """Billing CSV and Parquet files of any layout -> validated Parquet.
 
-    The stream is the list of new ``.csv`` / ``.parquet`` files (names only, at most
+    The stream is the list of new ``.csv`` / ``.csv.gz`` / ``.parquet`` files (names only, at most
     ``max_files_per_trigger`` per micro-batch); each micro-batch reads its files by
     format and header, so columns are matched by name whatever their order. Valid
     rows go to ``sink``, rejected and malformed rows to ``quarantine/rejected``, files that
@@ -43,7 +42,7 @@ def stream_billing_files(spark: SparkSession, landing: str, account_map: DataFra
     without a byte).
     """
     files = (spark.readStream.format("binaryFile")
-             .schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.{csv,parquet}")
+             .schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", BILLING_FILES)
              .option("maxFilesPerTrigger", max_files_per_trigger).load(landing).select("path"))
 
     def batch(df: DataFrame, batch_id: int):
@@ -55,14 +54,13 @@ def stream_billing_files(spark: SparkSession, landing: str, account_map: DataFra
         readable, unreadable = readable_files(df.sparkSession, paths)
         if readable:
             raw = scan_by_format(df.sparkSession, readable)
-            rows = ingest_billing(raw, account_map, ctx).persist(StorageLevel.DISK_ONLY)  # evaluated once
-            try:
-                (rows.filter(F.col("reject_reason").isNull()).drop("reject_reason", "raw_line")
-                 .write.mode("overwrite").parquet(f"{sink}/{part}"))
-                (rows.filter(F.col("reject_reason").isNotNull())
-                 .write.mode("overwrite").parquet(f"{quarantine}/rejected/{part}"))
-            finally:
-                rows.unpersist()
+            # each filter reads the files by itself: keeping all whole rows for the second one would
+            # take more disk than the exports and the sink together
+            rows = ingest_billing(raw, account_map, ctx)
+            (rows.filter(F.col("reject_reason").isNull()).drop("reject_reason", "raw_line")
+             .write.mode("overwrite").option("compression", "zstd").parquet(f"{sink}/{part}"))
+            (rows.filter(F.col("reject_reason").isNotNull())
+             .write.mode("overwrite").option("compression", "zstd").parquet(f"{quarantine}/rejected/{part}"))
         if unreadable:
             df.sparkSession.createDataFrame(sorted(unreadable.items()), "path string, reason string").write.mode(
                 "overwrite").parquet(f"{quarantine}/files/{part}")
@@ -83,10 +81,5 @@ def stream_batch_envelopes(spark: SparkSession, landing: str, sink: str, checkpo
     exactly-once together with the checkpoint.
     """
     messages = spark.readStream.text(landing)
-    records = scan_batch_envelopes(messages)
-    routed = records.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    validated = validate_raw_records(routed)
-    failed = records.filter(F.col("reject_reason").isNotNull()).withColumns({
-        "warnings": F.array().cast("array<string>"), "schema_version": F.lit(None).cast("string")})
-    out = validated.unionByName(failed)
-    return _run(out.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
+    out = validate_scanned_records(scan_batch_envelopes(messages))
+    return _run(out.writeStream.format("parquet").option("compression", "zstd").option("path", sink).outputMode("append"), checkpoint)
