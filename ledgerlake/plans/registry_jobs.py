@@ -20,7 +20,7 @@ from ledgerlake.plans.registry import (BILLING_OUT, BILLING_OUT_SQL, CTX, PAGE,
                                        opportunities_src, register)
 from ledgerlake.plans.registry_files import _responses as cost_responses
 from ledgerlake.schemas import REGISTRY
-from ledgerlake.session import scratch_path
+from ledgerlake.session import open_writers, scratch_path
 from ledgerlake.sinks.envelope_stream import read_envelopes, stream_envelopes
 from ledgerlake.sinks.files import write_partitioned_csv
 from ledgerlake.sources import billing as bsrc
@@ -176,7 +176,9 @@ SELECT data_type, count(*) AS total_records, count(*) FILTER (WHERE reject_reaso
 def q_ingest_observed(spark, sf):
     """Records of every family written once, their summary counted by the writing tasks."""
     target = scratch_path(spark, "ingested")
-    return ingest_observed(all_records(spark, sf), lambda d: d.write.partitionBy("data_type").parquet(target), [*REGISTRY, None])
+    families = [*REGISTRY, None]
+    with open_writers(spark, len(families)):  # no sort of all whole records by family
+        return ingest_observed(all_records(spark, sf), lambda d: d.write.option("compression", "zstd").partitionBy("data_type").parquet(target), families)
 
 
 OBSERVED_WINDOW = (_dt.date(2001, 7, 1), _dt.date(2001, 8, 1))

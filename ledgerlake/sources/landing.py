@@ -12,12 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.session import scratch_path
+from ledgerlake.session import open_writers, scratch_path
 from ledgerlake.sources.adapters import BILLING_RAW_NAMES, billing_raw, table
 
 _LANDED: dict[tuple[str, str, str], str] = {}
 GROUPS_PER_RESPONSE = 1000  # target groups per response document (pages spread by hash)
 DOCS_PER_FILE = 1000
+MONTHS_OPEN = 120  # months of responses that one task writes without sorting them
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
@@ -47,20 +48,21 @@ def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(F.concat_ws(",", *cells).alias("line"))
 
 
-def _write_malformed(spark: SparkSession, sf_dir: str, path: str) -> None:
+def _write_malformed(spark: SparkSession, sf_dir: str, path: str, compression: str = "none") -> None:
     """As CSV files of bounded length under the export's own header; a separator that no
     cell holds keeps Spark from quoting the lines."""
     header = ",".join(BILLING_RAW_NAMES.values())
     (malformed_lines(spark, sf_dir).withColumnRenamed("line", header)
-     .write.mode("append").option("maxRecordsPerFile", ROWS_PER_EXPORT).option("header", "true").option("sep", "\u0001").csv(path))
+     .write.mode("append").option("maxRecordsPerFile", ROWS_PER_EXPORT).option("compression", compression).option("header", "true").option("sep", "\u0001").csv(path))
 
 
 def land_billing_csv(spark: SparkSession, sf_dir: str) -> str:
-    """The billing export as header CSV files of bounded length, some lines malformed."""
+    """The billing export as gzipped header CSV files of bounded length (a file whose cells may hold
+    newlines is one task in any case), some lines malformed."""
     def write(path):
-        (billing_raw(spark, sf_dir).write.option("maxRecordsPerFile", ROWS_PER_EXPORT)
+        (billing_raw(spark, sf_dir).write.option("maxRecordsPerFile", ROWS_PER_EXPORT).option("compression", "gzip")
          .option("header", "true").option("escape", '"').csv(path))
-        _write_malformed(spark, sf_dir, path)
+        _write_malformed(spark, sf_dir, path, "gzip")
     return _once(spark, sf_dir, "billing-csv", write)
 
 
@@ -122,16 +124,20 @@ def land_cost_responses(spark: SparkSession, sf_dir: str, daily: DataFrame) -> s
         groups = rows.join(lookup_side(pages), "cost_date").select(
             "cost_date",
             F.pmod(F.xxhash64("service", "account_id"), F.col("_pages")).alias("page"),
-            F.struct(F.array("service", "account_id").alias("Keys"),
-                     F.struct(F.struct(F.col("amount").alias("Amount"), F.lit("USD").alias("Unit"))
-                              .alias("UnblendedCost")).alias("Metrics")).alias("g"))
-        docs = groups.groupBy("cost_date", "page").agg(F.collect_list("g").alias("Groups"))
+            F.struct("service", "account_id", "amount").alias("g"))
+        # bare values are shuffled; a document takes its nested form in the task that writes it
+        docs = groups.groupBy("cost_date", "page").agg(F.collect_list("g").alias("_g")).select(
+            F.substring("cost_date", 1, 7).alias("cost_month"), "cost_date", "_g").hint("rebalance", "cost_month")
+        nested = F.transform("_g", lambda g: F.struct(
+            F.array(g["service"], g["account_id"]).alias("Keys"),
+            F.struct(F.struct(g["amount"].alias("Amount"), F.lit("USD").alias("Unit")).alias("UnblendedCost")).alias("Metrics")))
         period = F.struct(F.col("cost_date").alias("Start"),
                           F.date_format(F.date_add(F.to_date("cost_date"), 1), "yyyy-MM-dd").alias("End"))
-        docs.select(F.substring("cost_date", 1, 7).alias("cost_month"), F.to_json(F.struct(F.array(F.struct(period.alias("TimePeriod"), "Groups"))
-                                                    .alias("ResultsByTime"))).alias("value")) \
-            .hint("rebalance", "cost_month").write.option("maxRecordsPerFile", DOCS_PER_FILE) \
-            .partitionBy("cost_month").text(path)
+        out = docs.select("cost_month", F.to_json(F.struct(F.array(F.struct(period.alias("TimePeriod"), nested.alias("Groups")))
+                                                           .alias("ResultsByTime"))).alias("value"))
+        with open_writers(spark, MONTHS_OPEN):
+            (out.write.option("compression", "gzip").option("maxRecordsPerFile", DOCS_PER_FILE)
+             .partitionBy("cost_month").text(path))
     return _once(spark, sf_dir, "cost-responses", write)
 
 
