@@ -65,12 +65,22 @@ class MapFields:
         self.m = F.col(column)
 
     def staged(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({f"_v_field_{n}": F.try_element_at(self.m, F.lit(n)) for n in self.NAMES}).withColumns(
-            {f"_v_has_{n}": F.col(f"_v_field_{n}").isNotNull() | F.coalesce(F.map_contains_key(self.m, F.lit(n)), F.lit(False))
-             for n in self.NAMES}).withColumns({f"_v_num_{n}": python_float(self.value(n)) for n in self.NUMBERS})
+        # one lookup expression over the names, not one for each: all rules end up in one generated
+        # method, which Java only interprets if it is long
+        def each(names, fn):
+            return F.transform(F.array(*[F.lit(n) for n in names]), fn)
+
+        looked_up = df.withColumns({
+            "_v_fields": each(self.NAMES, lambda n: F.try_element_at(self.m, n)),
+            "_v_keys": each(self.NAMES, lambda n: F.coalesce(F.map_contains_key(self.m, n), F.lit(False))),
+            "_v_nums": F.transform(each(self.NUMBERS, lambda n: F.try_element_at(self.m, n)), python_float)})
+        return looked_up.withColumns({
+            **{f"_v_field_{n}": F.get("_v_fields", i) for i, n in enumerate(self.NAMES)},
+            **{f"_v_has_{n}": F.get("_v_keys", i) for i, n in enumerate(self.NAMES)},
+            **{f"_v_num_{n}": F.get("_v_nums", i) for i, n in enumerate(self.NUMBERS)}})
 
     def dropped(self, df: DataFrame) -> DataFrame:
-        return df.drop(*[f"_v_{k}_{n}" for n in self.NAMES for k in ("field", "has", "num")])
+        return df.drop("_v_fields", "_v_keys", "_v_nums", *[f"_v_{k}_{n}" for n in self.NAMES for k in ("field", "has", "num")])
 
     def present(self, name: str) -> Column:
         return F.col(f"_v_has_{name}")

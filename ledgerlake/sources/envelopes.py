@@ -11,8 +11,7 @@ WORK_TYPES = ("salesforce_batch", "cur_batch")
 
 
 def scan_batch_envelopes(messages: DataFrame, column: str = "value") -> DataFrame:
-    """Message bodies -> one row per record, in one parse and one explode (a body without a known
-    type is looked at again to tell why).
+    """Message bodies -> one row per record, in one parse and one explode.
 
     Columns: envelope type / batch fields, ``record_index``, ``record``
     (``map<string,string>`` of the raw JSON record) and ``reject_reason`` for
@@ -21,11 +20,10 @@ def scan_batch_envelopes(messages: DataFrame, column: str = "value") -> DataFram
     the body instead of being dropped. An envelope with no records yields nothing.
     """
     body = F.col(column)
-    # a bare NaN is no JSON, here as in json_object_keys: whatever has a type by this parse is an object
-    m = F.from_json(body, ENVELOPE, {"allowNonNumericNumbers": "false"})
-    reason = F.when(~F.coalesce(F.col("m.type").isin(*WORK_TYPES), F.lit(False)),
-                    F.when(F.json_object_keys("_body").isNull(), F.lit("unparsable_message"))
-                    .otherwise(F.lit("unknown_message_type")))
+    m = F.from_json(body, ENVELOPE)
+    # the keys tell more than the parse does: a body with a bare NaN, say, is no JSON
+    reason = (F.when(F.json_object_keys("_body").isNull(), F.lit("unparsable_message"))
+              .when(~F.coalesce(F.col("m.type").isin(*WORK_TYPES), F.lit(False)), F.lit("unknown_message_type")))
     # the fields of a message stand by themselves before its records are dealt out: else every
     # record would carry all records of its message through the explode
     parsed = messages.select(m.alias("m"), body.alias("_body")).select(
