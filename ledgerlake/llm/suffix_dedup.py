@@ -14,10 +14,11 @@ smaller id. Equal strings must meet in one shard wherever their documents are:
 3. Each pack sends its distinct remaining segments, each with its smallest document,
    to the shard of its anchor: a passage in a third of all documents arrives once per
    pack. Equal segments of several packs are collapsed.
-4. Each shard sorts the suffixes of its segments by external induced sorting with
-   common prefixes (``induced.py``; queues, text and orders go to disk when a shard is
-   large). Suffixes with ``length`` common bytes form a group; its smallest document
-   goes back to the packs whose segments lie in it.
+4. Each shard hashes the windows of its segments, and sorts the suffixes of those stretches
+   whose windows may repeat by external induced sorting with common prefixes
+   (``induced.py``; queues, text and orders go to disk when a shard is large). Suffixes
+   with ``length`` common bytes form a group; its smallest document goes back to the
+   packs whose segments lie in it.
 5. Each pack marks the windows that an earlier document holds, joins the marked
    stretches and cuts them out.
 
@@ -50,15 +51,15 @@ from ledgerlake.llm.induced import SPILL, ordered_suffixes, stored
 ANCHOR = 16
 LEAST_PACK, MOST_PACK = 4 << 20, 256 << 20
 MOST_BUCKETS, MOST_SHARDS = 65_536, 16_384
-PIECE = 1 << 17
+PIECE = 1 << 16
 NOBODY = np.iinfo(np.int64).max
 _SEPARATOR, _POSITION = 0xFE, np.uint64((1 << 20) - 1)
 
 
-def _anchor_hashes(raw: np.ndarray) -> np.ndarray:
-    """Hash of the ``ANCHOR`` bytes from every position on."""
+def _hashes(raw: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the ``length`` bytes from every position on."""
     step, h, width = np.uint64(0x9E3779B97F4A7C15), raw.astype(np.uint64) + np.uint64(1), 1
-    power, parts, left = step, [], ANCHOR
+    power, left = step, length
     with np.errstate(over="ignore"):
         out, done = None, 0
         while left:
@@ -74,8 +75,7 @@ def _anchor_hashes(raw: np.ndarray) -> np.ndarray:
                 h = h[:len(h) - width] * power + h[width:]
                 power = power * power
                 width *= 2
-        del parts
-        return splitmix(out[:len(raw) - ANCHOR + 1])
+        return splitmix(out[:len(raw) - length + 1])
 
 
 def segments(raw: np.ndarray, offsets: np.ndarray, length: int):
@@ -93,7 +93,7 @@ def segments(raw: np.ndarray, offsets: np.ndarray, length: int):
             part = raw[a:b]
             if len(part) < length:
                 continue
-            h = _anchor_hashes(part)
+            h = _hashes(part, ANCHOR)
             key = (h & ~_POSITION) | np.arange(len(h), dtype=np.uint64)
             low, width = key, 1
             while width * 2 <= span:
@@ -101,25 +101,23 @@ def segments(raw: np.ndarray, offsets: np.ndarray, length: int):
                 width *= 2
             if width < span:
                 low = np.minimum(low[:len(low) - (span - width)], low[span - width:])
-            at = (low & _POSITION).astype(np.int64)  # the anchor's position, per window
             local = offsets[i:j + 1] - a
             ends = np.clip(local[1:], 0, len(part))
             begins = np.clip(local[:-1], 0, len(part))
-            border = np.zeros(len(at) + 1, bool)  # where a run of windows may not go on
-            valid = np.ones(len(at), bool)
+            border = np.zeros(len(low) + 1, bool)  # where a run of windows may not go on
+            valid = np.ones(len(low), bool)
             for s, e in zip(begins.tolist(), ends.tolist()):
                 valid[max(s, e - length + 1):e] = False
-                border[min(s, len(at))] = True
-            cut = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]) | border[:-1]
-                                 | np.concatenate([[False], valid[1:] != valid[:-1]]))
-            cut = cut[valid[cut]]
+                border[min(s, len(low))] = True
+            # a run goes on up to the next change of anchor, text or validity
+            cut = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | border[1:-1] | (valid[1:] != valid[:-1])]))
+            stop = np.append(cut[1:], len(low))
+            cut, stop = cut[valid[cut]], stop[valid[cut]]
             if not len(cut):
                 continue
-            # a run ends at the next change of anchor, text or validity
-            change = np.flatnonzero(np.concatenate([(at[1:] != at[:-1]) | border[1:-1] | (valid[1:] != valid[:-1]), [True]]))
-            stop = change[np.searchsorted(change, cut, "left")] + 1
+            at = (low[cut] & _POSITION).astype(np.int64)  # the anchor's position
             doc = np.searchsorted(local, cut, "right") - 1
-            found.append((h[at[cut]] >> np.uint64(16), doc + i, cut + a, stop - cut))
+            found.append((h[at] >> np.uint64(16), doc + i, cut + a, stop - cut))
         i = j
     if not found:
         z = np.zeros(0, np.int64)
@@ -146,6 +144,12 @@ def _from_six(b: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    first = np.cumsum(size) - size
+    return np.repeat(start - first, size) + np.arange(int(size.sum()))
+
+
 def _slice_by(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.concatenate([[True], bucket[order][1:] != bucket[order][:-1]])) if len(order) else []
@@ -262,6 +266,40 @@ class Shard:
         _, which, times = np.unique(np.frombuffer(self.anchors, np.uint64), return_inverse=True, return_counts=True)
         return times[which] == 1
 
+    def _repeating(self, raw: np.ndarray, begin: np.ndarray, windows: np.ndarray, some: np.ndarray, length: int):
+        """Per segment of ``some`` the first window whose hash another window of them has,
+        and the number of windows from it to the last such one (0: there is none)."""
+        n = windows[some]
+        base = np.concatenate([[0], np.cumsum(n)])
+        hashes = stored(np.zeros(int(base[-1]), np.uint64))
+        for a, b in chunks(np.concatenate([[0], np.cumsum(n + length)])):
+            part = raw[_ranges(begin[some[a:b]], n[a:b] + length - 1)]
+            if (part > 0xFD).any():
+                raise ValueError("text is not UTF-8")
+            every = np.concatenate([_hashes(part[c:c + PIECE + length - 1], length)  # small arrays stay in the cache
+                                    for c in range(0, len(part) - length + 1, PIECE)])
+            first = np.cumsum(n[a:b] + length - 1) - n[a:b] - length + 1
+            hashes[base[a]:base[b]] = every[_ranges(first, n[a:b])]
+        again = stored(np.zeros(len(hashes), bool))
+        part = 1 << 22
+        parts = np.uint64(1 + len(hashes) // part)
+        for k in range(int(parts)):  # the hashes are sorted part by part
+            at = np.concatenate([np.flatnonzero(hashes[c:c + part] % parts == np.uint64(k)) + c
+                                 for c in range(0, len(hashes) + 1, part)])
+            at = at[np.argsort(hashes[at])]
+            h = hashes[at]
+            alike = np.flatnonzero(h[1:] == h[:-1])
+            again[at[alike]] = True
+            again[at[alike + 1]] = True
+        first, last = np.zeros(len(some), np.int64), np.full(len(some), -1, np.int64)
+        for a, b in chunks(base):
+            at = np.flatnonzero(again[base[a]:base[b]]) + base[a]
+            own = np.searchsorted(base, at, "right") - 1
+            new = np.concatenate([[True], own[1:] != own[:-1]])[:len(own)]
+            first[own[new]] = (at - base[own])[new]
+            np.maximum.at(last, own, at - base[own])
+        return first, last - first + 1
+
     def results(self, length: int):
         """(pack, segment numbers, run lengths, smallest document of each run) where some
         window has an earlier document than the pack's own; runs are of windows in order."""
@@ -275,32 +313,32 @@ class Shard:
         else:
             self.file.rollover()
             raw = np.memmap(self.file._file, np.uint8, "r", shape=(total,))
-        # a segment that is its anchor's only one has nothing to be compared with
-        alone = self._alone()
-        sorted_ = np.flatnonzero(~alone)
-        place = np.concatenate([[0], np.cumsum(lens[sorted_] + 1)])
-        size = int(place[-1])
-        text = stored(np.zeros(size + 1, np.uint8))  # ends with the smallest symbol, 0
-        at = 0
-        for a, b in chunks(begin):
-            part = raw[begin[a]:begin[b]][np.repeat(~alone[a:b], lens[a:b] + 1)]
-            if (part > 0xFD).any():
-                raise ValueError("text is not UTF-8")
-            np.add(part, 1, out=text[at:at + len(part)])
-            at += len(part)
         docs = self.docs[:self.count]
         windows = lens - length + 1
+        # a segment that is its anchor's only one has nothing to be compared with, nor has a
+        # window whose hash no other has; what is sorted of a segment reaches from the
+        # first to the last of its windows that may repeat
+        sorted_ = np.flatnonzero(~self._alone())
+        offset, held = self._repeating(raw, begin, windows, sorted_, length)
+        sorted_, offset, held = (x[held > 0] for x in (sorted_, offset, held))
+        place = np.concatenate([[0], np.cumsum(held + length)])
+        size = int(place[-1])
+        text = stored(np.zeros(size + 1, np.uint8))  # ends with the smallest symbol, 0
+        for a, b in chunks(place):
+            part = raw[_ranges(begin[sorted_[a:b]] + offset[a:b], held[a:b] + length)]
+            part[place[a + 1:b + 1] - place[a] - 1] = 0xFD
+            np.add(part, 1, out=text[place[a]:place[b]])
         # the smallest document per window; segments lie one after the other
         base = np.concatenate([[0], np.cumsum(windows)])
         best = stored(np.repeat(docs, windows))
-        owner_of = stored(np.repeat(np.arange(len(sorted_), dtype=np.int32), lens[sorted_] + 1))
+        owner_of = stored(np.repeat(np.arange(len(sorted_), dtype=np.int32), held + length))
+        at_window = base[sorted_] + offset
 
         def slot(pos):
             """Index into ``best`` of suffixes that start a window, else -1."""
             own = owner_of[np.minimum(pos, size - 1)]
             inside = pos - place[own]
-            own = sorted_[own]
-            return np.where((pos < size) & (inside < windows[own]), base[own] + inside, -1)
+            return np.where((pos < size) & (inside < held[own]), at_window[own] + inside, -1)
 
         same: dict[int, int] = {}
         long_runs = []

@@ -308,6 +308,41 @@ def test_segments_cover_every_window_once(monkeypatch):
             assert of.setdefault(raw[p:p + 50].tobytes(), a) == a
 
 
+@pytest.mark.parametrize("spill", [induced.SPILL, 256])
+def test_shards_sort_only_what_may_repeat(monkeypatch, spill):
+    """Anchors in every segment, few repeated windows: the rest isn't sorted, all repeats are found."""
+    r = random.Random(2)
+    some = lambda n: bytes(r.choice(b"abcdefgh") for _ in range(n))
+    phrase = b"zyxwvutsrqponmlk"
+    rows = [some(34) + phrase + some(34) for _ in range(300)]
+    whole = [some(20) + phrase + some(40) for _ in range(5)]
+    rows += [some(7) + w[:60] + some(7) for w in whole] + [some(3) + w[10:] + some(3) for w in whole]
+    rows += [b"a" * 70 + some(20), some(9) + b"a" * 55, b"q" * 60]
+    sizes, order = [], suffix_dedup.ordered_suffixes
+
+    def sized(text, cap):
+        sizes.append(len(text))
+        return order(text, cap)
+    monkeypatch.setattr(suffix_dedup, "ordered_suffixes", sized)
+    monkeypatch.setattr(suffix_dedup, "PIECE", 300)
+    monkeypatch.setattr(induced, "SPILL", spill)
+    monkeypatch.setattr(suffix_dedup, "SPILL", spill)  # beyond, text and hashes go to files
+    shard = suffix_dedup.Shard()  # every segment is given the one anchor
+    for k, text in enumerate(rows):
+        shard.add(k, np.array([0], np.uint32).tobytes(), np.array([len(text)], np.uint16).tobytes(), np.array([k], np.int64).tobytes(),
+                  suffix_dedup.pa.compress(text, "zstd", asbytes=True), np.array([7], np.uint64).tobytes()[:6])
+    least = {}
+    for k, text in enumerate(rows):
+        for p in range(len(text) - 49):
+            least.setdefault(text[p:p + 50], k)
+    want = {k: [least[t[p:p + 50]] for p in range(len(t) - 49)] for k, t in enumerate(rows)}
+    got = {k: [k] * len(w) for k, w in want.items()}
+    for pack, _, counts, docs_ in shard.results(50):
+        got[pack] = np.repeat(np.frombuffer(docs_, np.int64), np.frombuffer(counts, np.uint16)).tolist()
+    assert got == want and sum(w != [k] * len(w) for k, w in want.items()) == 6
+    assert sum(sizes) < sum(map(len, rows)) / 20
+
+
 # ---------------------------------------------------------------- pipeline, oracles
 def test_oracles(spark):
     for t in ("documents", "pages", "benchmark", "conversations"):
